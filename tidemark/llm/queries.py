@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import line_dedup
+from tidemark.llm import decontamination, line_dedup
 from tidemark.llm.common import table
 
 
@@ -18,6 +18,44 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.encode("kept", "UTF-8"), 256).alias("kept_sha256"))
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontamination.hits(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"), window=10)
+    hit = decontamination.words_hit(F.col("spans")).cast("long")
+    return found.select(
+        "doc_id",
+        F.col("n_words").cast("long").alias("n_words"),
+        hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (hit > 0).alias("contaminated"),
+    )
+
+
+_WORDS_SQL = r"""[x FOR x IN string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+  'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+') IF x <> '']"""
+_OP5_SQL = rf"""
+WITH d AS MATERIALIZED (SELECT doc_id, {_WORDS_SQL} AS w FROM documents),
+b AS (SELECT item_id, {_WORDS_SQL} AS w FROM benchmark),
+win AS MATERIALIZED (
+  SELECT DISTINCT item_id, unnest(CASE WHEN len(w) < 10 THEN [array_to_string(w, ' ')]
+    ELSE [array_to_string(w[i + 1:i + 10], ' ') FOR i IN range(len(w) - 9)] END) AS key,
+    least(len(w), 10) AS size
+  FROM b WHERE len(w) > 0),
+sizes AS (SELECT DISTINCT size FROM win),
+run AS (
+  SELECT doc_id, size, unnest(range(len(w) - size + 1)) AS start,
+         unnest([array_to_string(w[i + 1:i + size], ' ') FOR i IN range(len(w) - size + 1)]) AS key
+  FROM d, sizes WHERE len(w) >= size),
+hit AS MATERIALIZED (SELECT doc_id, start, run.size AS size, item_id FROM run JOIN win ON run.key = win.key AND run.size = win.size),
+covered AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(start, start + size)) AS p FROM hit) GROUP BY 1),
+item AS (SELECT doc_id, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS ids
+         FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS i FROM hit) GROUP BY 1)
+SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN item USING (doc_id)
+"""
+
 _OP10_SQL = r"""
 WITH line AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
@@ -36,8 +74,8 @@ FROM keyed k LEFT JOIN hot h ON k.key = h.key GROUP BY k.doc_id
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op10_line_dedup,)}
+    return {f.__name__: f for f in (op5_decontaminate, op10_line_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_line_dedup": _OP10_SQL}
+    return {"op5_decontaminate": _OP5_SQL, "op10_line_dedup": _OP10_SQL}

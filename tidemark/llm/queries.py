@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontamination, line_dedup
+from tidemark.llm import decontamination, line_dedup, simhash
 from tidemark.llm.common import table
 
 
@@ -18,6 +18,12 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.encode("kept", "UTF-8"), 256).alias("kept_sha256"))
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = simhash.near_duplicates(docs, shingle=3, max_bits=2)
+    return found.select("doc_id", simhash.as_hex(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontamination.hits(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"), window=10)
@@ -74,7 +80,7 @@ FROM keyed k LEFT JOIN hot h ON k.key = h.key GROUP BY k.doc_id
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op5_decontaminate, op10_line_dedup)}
+    return {f.__name__: f for f in (op2_simhash, op5_decontaminate, op10_line_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:

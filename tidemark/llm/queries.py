@@ -4,11 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontamination, line_dedup, simhash
-from tidemark.llm.common import table
+from tidemark.llm import decontamination, line_dedup, quality, simhash
+from tidemark.llm.common import crc32_mod, table
+
+
+def _labelled(spark: SparkSession, sf_dir: str, docs: DataFrame, learn: Column) -> DataFrame:
+    """The labelled documents that may be learned from."""
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
+    return docs.where(learn).join(labels, "doc_id")
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = crc32_mod(F.col("doc_id"), 4) == 2
+    model = quality.fit(_labelled(spark, sf_dir, docs, ~held_out), "quality")
+    return quality.score(docs, model, extra={"held_out": held_out}).withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,7 +93,7 @@ FROM keyed k LEFT JOIN hot h ON k.key = h.key GROUP BY k.doc_id
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_simhash, op5_decontaminate, op10_line_dedup)}
+    return {f.__name__: f for f in (op2_simhash, op5_decontaminate, op9_quality, op10_line_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontamination, line_dedup, quality, simhash, toxicity
+from tidemark.llm import decontamination, language, line_dedup, quality, simhash, toxicity
 from tidemark.llm.common import crc32_mod, table
 
 
@@ -24,6 +24,12 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model, extra={"held_out": held_out}).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = crc32_mod(F.col("doc_id"), 5) == 0
+    return language.predict(docs, language.fit(docs.where(~held_out)), extra={"held_out": held_out})
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = crc32_mod(F.col("doc_id"), 4) == 2
@@ -100,7 +106,7 @@ FROM keyed k LEFT JOIN hot h ON k.key = h.key GROUP BY k.doc_id
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_simhash, op3_toxicity, op5_decontaminate, op9_quality, op10_line_dedup)}
+    return {f.__name__: f for f in (op2_simhash, op3_toxicity, op5_decontaminate, op8_language, op9_quality, op10_line_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:

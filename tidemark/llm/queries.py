@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontamination, language, line_dedup, quality, simhash, toxicity
+from tidemark.llm import decontamination, language, line_dedup, quality, simhash, topk, toxicity
 from tidemark.llm.common import crc32_mod, table
 
 
@@ -24,6 +24,22 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model, extra={"held_out": held_out}).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10, scale=1024)
+
+
+_OP6_SQL = """
+WITH v AS (
+  SELECT vec_id, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+c AS (SELECT vec_id, unnest(v) AS x, unnest(range(len(v))) AS i FROM v),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(sum(q.x * c.x) AS BIGINT) AS score
+      FROM c q JOIN c ON q.i = c.i AND q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0 GROUP BY 1, 2)
+SELECT * FROM (SELECT query_id, vec_id, score,
+  CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s) WHERE rank <= 10
+"""
+
+
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = crc32_mod(F.col("doc_id"), 5) == 0
@@ -106,8 +122,8 @@ FROM keyed k LEFT JOIN hot h ON k.key = h.key GROUP BY k.doc_id
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_simhash, op3_toxicity, op5_decontaminate, op8_language, op9_quality, op10_line_dedup)}
+    return {f.__name__: f for f in (op2_simhash, op3_toxicity, op5_decontaminate, op6_topk, op8_language, op9_quality, op10_line_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_decontaminate": _OP5_SQL, "op10_line_dedup": _OP10_SQL}
+    return {"op5_decontaminate": _OP5_SQL, "op6_topk": _OP6_SQL, "op10_line_dedup": _OP10_SQL}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontamination, language, line_dedup, quality, simhash, topk, toxicity
+from tidemark.llm import decontamination, language, line_dedup, mixing, quality, simhash, topk, toxicity
 from tidemark.llm.common import crc32_mod, table
 
 
@@ -60,6 +60,12 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.encode("kept", "UTF-8"), 256).alias("kept_sha256"))
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    mixed, _ = mixing.mix(docs, max_repeat=4.0)
+    return mixed.select("doc_id", "source", F.col("__tokens").alias("n_tokens"), F.col("__weight").alias("weight"), F.col("__copies").alias("copies"))
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = simhash.near_duplicates(docs, shingle=3, max_bits=2)
@@ -122,7 +128,7 @@ FROM keyed k LEFT JOIN hot h ON k.key = h.key GROUP BY k.doc_id
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_simhash, op3_toxicity, op5_decontaminate, op6_topk, op8_language, op9_quality, op10_line_dedup)}
+    return {f.__name__: f for f in (op1_mixing, op2_simhash, op3_toxicity, op5_decontaminate, op6_topk, op8_language, op9_quality, op10_line_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:

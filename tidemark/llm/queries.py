@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontamination, language, line_dedup, mixing, quality, simhash, topk, toxicity
-from tidemark.llm.common import crc32_mod, table
+from tidemark.llm import decontamination, language, line_dedup, mixing, quality, simhash, token_files, topk, toxicity
+from tidemark.llm.common import crc32_mod, shared_dir, table
 
 
 def _labelled(spark: SparkSession, sf_dir: str, docs: DataFrame, learn: Column) -> DataFrame:
@@ -72,6 +73,15 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.as_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = f"{shared_dir(spark)}/token-files-{uuid.uuid4().hex}"
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    token_files.write(docs, path, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    return token_files.read_documents(spark, path)
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontamination.hits(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"), window=10)
@@ -128,7 +138,7 @@ FROM keyed k LEFT JOIN hot h ON k.key = h.key GROUP BY k.doc_id
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_mixing, op2_simhash, op3_toxicity, op5_decontaminate, op6_topk, op8_language, op9_quality, op10_line_dedup)}
+    return {f.__name__: f for f in (op1_mixing, op2_simhash, op3_toxicity, op4_token_files, op5_decontaminate, op6_topk, op8_language, op9_quality, op10_line_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -5,9 +5,9 @@ holds CHUNK consecutive ids as unsigned 16- or 32-bit integers (what the vocabul
 planes (all low bytes, then all high bytes) or bit planes (bit i of every id), each plane compressed by zstandard. The
 planes of high bytes and high bits are far more regular than the ids, which is what the transposition is for.
 
-A set of files is two Parquet tables in one folder, written by Spark's own committer so that a lost executor's work is
-simply done again: `chunks` (shard, chunk, n_ids, width, planes) and the chunk index `docs` (doc_id, shard, first,
-n_tokens: where a document's ids start in its shard). Shards are ranges of ids, in order. Readers take the chunks of a
+A set of files is a Parquet table, written by Spark's own committer so that a lost executor's work is simply done
+again. Its rows are of two kinds: `chunks` (shard, chunk, n_ids, width, planes) and the index `docs` (doc_id, shard,
+first, n_tokens: where a document's ids start in its shard); readers of the index do not read planes. Shards are ranges of ids, in order. Readers take the chunks of a
 shard in order and hold one at a time; they need no memory for whole shards.
 
 Words are encoded once for each Python worker: the pretokenizer cuts at white space and drops it, so a text's ids are
@@ -151,7 +151,7 @@ def write(docs: DataFrame, path: str, encoder: str, end_id: int, bits: bool = Fa
     made = ordered.mapInArrow(run, schema).withColumn("shard", F.spark_partition_id())
     kinds = F.when(F.col("block").isNull(), "docs").otherwise("chunks")
     flat = made.select("shard", "doc_id", "first", "n_tokens", "block.*", kinds.alias("part"))
-    flat.write.partitionBy("part").parquet(path)
+    flat.write.parquet(path)
 
 
 def read_chunks(spark: SparkSession, path: str) -> DataFrame:

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontamination, language, line_dedup, mixing, quality, simhash, token_files, topk, toxicity
+from tidemark.llm import decontamination, language, line_dedup, mixing, quality, simhash, suffix_dedup, token_files, topk, toxicity
 from tidemark.llm.common import crc32_mod, shared_dir, table
 
 
@@ -41,6 +41,11 @@ SELECT * FROM (SELECT query_id, vec_id, score,
 """
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = crc32_mod(F.col("doc_id"), 5) == 0
@@ -138,7 +143,7 @@ FROM keyed k LEFT JOIN hot h ON k.key = h.key GROUP BY k.doc_id
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_mixing, op2_simhash, op3_toxicity, op4_token_files, op5_decontaminate, op6_topk, op8_language, op9_quality, op10_line_dedup)}
+    return {f.__name__: f for f in (op1_mixing, op2_simhash, op3_toxicity, op4_token_files, op5_decontaminate, op6_topk, op7_suffix_dedup, op8_language, op9_quality, op10_line_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-_MODULES: list = []
+from tidemark.plans import scalar_queries
+
+_MODULES = [scalar_queries]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # Patterns that results depend on.
 ISO_STAMP = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?)?(Z|z|[+-]\d{2}(:?\d{2})?)?$"
@@ -76,7 +77,7 @@ def iso_z(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def nfkc(texts: pd.Series) -> pd.Series:
     """NFKC normalisation, for which Spark has no function."""
     return texts.map(lambda t: unicodedata.normalize("NFKC", t), na_action="ignore")

@@ -112,7 +112,7 @@ def flatten_changelog(histories: DataFrame, order: str = "position") -> tuple[Da
     judged = items.withColumn("__reason", reason)
     clean, bad = _split(judged, "changelog", "issue_key", [])
     w = Window.partitionBy("issue_key").orderBy("__ts.ts", order, "__pos")
-    number = F.concat_ws(":", "issue_key", F.lpad(F.row_number().over(w).cast("string"), 6, "0"))
+    number = F.format_string("%s:%06d", F.col("issue_key"), F.row_number().over(w))
     return clean.select(
         number.alias("id"), "issue_key", F.col("__ts.ts").alias("ts"), F.coalesce(F.col("__ts.note") == "repaired_naive", F.lit(False)).alias("timestamp_repaired"),
         S.or_default(F.col("author.displayName"), "unknown").alias("author"), F.col("item.field").alias("field"),

@@ -122,7 +122,7 @@ def validate_windows(proposals: DataFrame, messages: DataFrame, issues: DataFram
 def number_windows(windows: DataFrame, prefix: str = "task") -> DataFrame:
     """window_id: prefix and a running number by start (windows are few, their order is global)."""
     n = F.row_number().over(Window.orderBy("start_ts", "task_id"))
-    return windows.withColumn("window_id", F.concat(F.lit(f"{prefix}-"), F.lpad(n.cast("string"), 3, "0")))
+    return windows.withColumn("window_id", F.format_string(f"{prefix}-%03d", n))
 
 
 def match_windows(hyp: DataFrame, ref: DataFrame, key: str = "task_id") -> DataFrame:

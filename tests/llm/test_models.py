@@ -36,7 +36,8 @@ def labelled(spark, good, bad):
 def test_classifiers_learn_and_score_every_row(spark, kind):
     good, bad = texts_of(PLAIN, 150, 1), [t.upper().replace(" ", "!! ") + " you gronk" for t in texts_of(PLAIN, 150, 2)]
     module = {"quality": quality, "toxicity": toxicity}[kind]
-    model = module.fit(labelled(spark, good, bad), "label")
+    rows_ = labelled(spark, good, bad)
+    model = module.fit(rows_, rows_, "label")
     test = spark.createDataFrame(list(enumerate(texts_of(PLAIN, 20, 3) + [t.upper().replace(" ", "!! ") + " you gronk" for t in texts_of(PLAIN, 20, 4)])), "doc_id bigint, text string")
     got = dict(rows(module.score(test, model)))
     assert all((got[i] >= 0.5) == (i < 20) for i in range(40)), got
@@ -47,9 +48,10 @@ def test_classifiers_learn_and_score_every_row(spark, kind):
 
 @pytest.mark.parametrize("module", [quality, toxicity])
 def test_classifiers_without_both_classes(spark, module):
-    one = module.fit(labelled(spark, texts_of(PLAIN, 5, 1), []), "label")
+    some = labelled(spark, texts_of(PLAIN, 5, 1), [])
+    one = module.fit(some, some, "label")
     assert {r[1] for r in rows(module.score(awkward(spark), one))} == {1.0}
-    none = module.fit(labelled(spark, [], []), "label")
+    none = module.fit(some, labelled(spark, [], []), "label")
     assert module.score(awkward(spark), none).count() == len(AWKWARD)
 
 

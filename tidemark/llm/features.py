@@ -24,6 +24,18 @@ def bounded_sample(rows: DataFrame, label: str, per_class: int, key: str = "doc_
     return rows.where(spread < share)
 
 
+def sampled_labels(labels: DataFrame, label: str, per_class: int, id: str = "doc_id") -> tuple[DataFrame, dict]:
+    """(doc_id, label) of a bounded sample of the rows of labels that say 0 or 1, and how many rows say each."""
+    named = labels.select(F.col(id).alias("doc_id"), F.col(label).cast("int").alias("label")).where("doc_id IS NOT NULL AND label IN (0, 1)")
+    totals = {r["label"]: r["n"] for r in named.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return bounded_sample(named, "label", per_class), totals
+
+
+def with_texts(docs: DataFrame, sample: DataFrame, id: str, text: str) -> DataFrame:
+    """(doc_id, text, *the sample's columns). The sample is bounded, so it goes to the documents, not they to it."""
+    return docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(sample), "doc_id")
+
+
 def text_parts(batch: pa.RecordBatch, column: str) -> Iterator[list[str]]:
     """The texts of a batch, null as empty, in parts of about PART_BYTES."""
     texts, held, size = batch[column].to_pylist(), [], 0

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.features import bounded_sample, score_texts, sigmoid
+from tidemark.llm.features import sampled_labels, score_texts, sigmoid, with_texts
 
 BITS = 18
 #: Words whose hashes a Python worker remembers at most.
@@ -115,17 +115,20 @@ def dual_coordinate_descent(rows: list[np.ndarray], signs: np.ndarray, r: np.nda
     return w * r, bias
 
 
-def fit(labelled: DataFrame, label: str, id: str = "doc_id", text: str = "text", per_class: int = 4000, epochs: int = 8, cost: float = 0.1, seed: int = 7) -> Quality:
-    """A model from at most about per_class labelled rows of each class."""
-    named = labelled.select(F.col(id).alias("doc_id"), F.col(text).alias("text"), F.col(label).alias("label")).where("label IN (0, 1)")
-    totals = {r["label"]: r["n"] for r in named.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+def fit(docs: DataFrame, labels: DataFrame, label: str, id: str = "doc_id", text: str = "text", per_class: int = 4000, epochs: int = 8,
+        cost: float = 0.1, seed: int = 7) -> Quality:
+    """A model from the documents of at most about per_class rows of labels of each class."""
+    sample, totals = sampled_labels(labels, label, per_class, id)
     if len(totals) < 2:
         prior = float(next(iter(totals))) if totals else 0.5
         return Quality(np.zeros(1), 0.0, 1.0, 0.0, prior)
-    kept = score_texts(bounded_sample(named, "label", per_class), lambda texts: {"x": [features(t) for t in texts]}, "x array<int>", "doc_id", "text", {"label": F.col("label")})
+    rows = with_texts(docs, sample, id, text)
+    kept = score_texts(rows, lambda texts: {"x": [features(t) for t in texts]}, "x array<int>", "doc_id", "text", {"label": F.col("label")})
     got = kept.toArrow().sort_by("doc_id")
     y = got["label"].to_numpy().astype(int)
     rows = [np.asarray(x, np.int32) for x in got["x"].to_numpy()]
+    if len(set(y)) < 2:
+        return Quality(np.zeros(1), 0.0, 1.0, 0.0, totals[1] / sum(totals.values()))
     test = np.arange(len(y)) % 4 == 3
     if len(set(y[test])) < 2 or len(set(y[~test])) < 2:
         test = np.zeros(len(y), bool)

@@ -5,23 +5,17 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontamination, language, line_dedup, mixing, quality, simhash, suffix_dedup, token_files, topk, toxicity
 from tidemark.llm.common import crc32_mod, shared_dir, table
 
 
-def _labelled(spark: SparkSession, sf_dir: str, docs: DataFrame, learn: Column) -> DataFrame:
-    """The labelled documents that may be learned from."""
-    labels = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
-    return docs.where(learn).join(labels, "doc_id")
-
-
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = crc32_mod(F.col("doc_id"), 5) == 0
-    model = toxicity.fit(_labelled(spark, sf_dir, docs, ~held_out), "toxic")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels").where(~held_out), "toxic")
     return toxicity.score(docs, model, extra={"held_out": held_out}).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
@@ -55,7 +49,7 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = crc32_mod(F.col("doc_id"), 4) == 2
-    model = quality.fit(_labelled(spark, sf_dir, docs, ~held_out), "quality")
+    model = quality.fit(docs, table(spark, sf_dir, "labels").where(~held_out), "quality")
     return quality.score(docs, model, extra={"held_out": held_out}).withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
 
 

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.features import bounded_sample, isotonic, score_texts, text_parts
+from tidemark.llm.features import isotonic, sampled_labels, score_texts, text_parts, with_texts
 
 #: Entries of the lexicon at most, and the least number of sampled documents for an entry.
 LEXICON, LEAST_DOCS = 4000, 5
@@ -207,14 +207,13 @@ class Toxicity:
         return np.clip(np.interp(margins, *self.knots) + 1e-6 * np.tanh(margins), 0, 1)
 
 
-def fit(labelled: DataFrame, label: str, id: str = "doc_id", text: str = "text", per_class: int = 6000) -> Toxicity:
-    """A model from at most about per_class labelled rows of each class."""
-    named = labelled.select(F.col(id).alias("doc_id"), F.col(text).alias("text"), F.col(label).cast("int").alias("label")).where("label IN (0, 1)")
-    totals = {r["label"]: r["n"] for r in named.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+def fit(docs: DataFrame, labels: DataFrame, label: str, id: str = "doc_id", text: str = "text", per_class: int = 6000) -> Toxicity:
+    """A model from the documents of at most about per_class rows of labels of each class."""
+    sample, totals = sampled_labels(labels, label, per_class, id)
     if len(totals) < 2:
         return Toxicity(Lexicon({}), None, (np.zeros(1), np.zeros(1)), float(next(iter(totals))) if totals else 0.0)
     part = F.pmod(F.xxhash64(F.lit("part"), F.col("doc_id")), F.lit(10))
-    sample = bounded_sample(named, "label", per_class).withColumn("part", part)
+    sample = with_texts(docs, sample.withColumn("part", part), id, text)
     lexicon = learn_lexicon(sample.where("part < 5"), "label", "text")
     extra = {"label": F.col("label"), "part": F.col("part")}
     got = score_texts(sample.where("part >= 5"), lambda texts: {"x": [lexicon.features(t) for t in texts]}, "x array<double>", "doc_id", "text", extra).toArrow().sort_by("doc_id")

@@ -19,6 +19,8 @@ _FENCE = re.compile(r"```[A-Za-z]*\s*\n?(.*?)(?:```|\Z)", re.S)
 _QUOTES = str.maketrans({"“": '"', "”": '"', "„": '"', "‘": "'", "’": "'", "​": None, "‌": None, "‍": None, "﻿": None})
 _TOKEN = re.compile(r'"(?:[^"\\]|\\.)*"|"(?:[^"\\]|\\.)*\Z|//[^\n]*|/\*.*?(?:\*/|\Z)|[{}\[\],]|[^"/{}\[\],]+|/', re.S)
 _PAIRS = {"{": "}", "[": "]"}
+#: Places, from the end of a cut-off value, at which closing it is tried.
+MOST_CUTS = 200
 
 
 def balanced_values(text: str) -> Iterator[tuple[int, str]]:
@@ -52,6 +54,8 @@ def repairs(text: str) -> Iterator[str]:
                 parts.pop()
             if depth and depth[-1] == t:
                 depth.pop()
+        if t == "," and depth:
+            marks.append((len(parts), list(depth)))
         parts.append(t)
         if t in _PAIRS:
             depth.append(_PAIRS[t])
@@ -63,7 +67,7 @@ def repairs(text: str) -> Iterator[str]:
     if tail.startswith('"') and (len(tail) == 1 or not re.fullmatch(r'"(?:[^"\\]|\\.)*"', tail, re.S)):
         plain += '"'
     yield plain.rstrip().rstrip(",") + "".join(reversed(depth))
-    for n, open_ in reversed(marks):
+    for n, open_ in marks[: -MOST_CUTS - 1 : -1]:
         yield "".join(parts[:n]) + "".join(reversed(open_))
 
 

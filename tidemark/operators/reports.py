@@ -73,8 +73,8 @@ def upper_median(c: Column) -> Column:
 def dataset_stats(conversations: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Examples; least, upper median and most messages and tool calls; roles; tokens (a quarter of the characters, divided
     once). by: of each split."""
-    size = F.size("messages")
-    calls = F.size(F.filter("messages", lambda m: m["role"] == "tool"))
+    size = F.size("messages").cast("bigint")
+    calls = F.size(F.filter("messages", lambda m: m["role"] == "tool")).cast("bigint")
     chars = F.aggregate("messages", F.lit(0).cast("bigint"), lambda n, m: n + F.coalesce(F.length(m["content"]), F.lit(0)))
     rows = conversations.select(*(by or []), size.alias("n"), calls.alias("c"), chars.alias("chars"), F.transform("messages", lambda m: m["role"]).alias("roles"))
     roles = [F.sum(F.size(F.filter("roles", (lambda r: lambda x: x == r)(r)))).alias(f"n_{r}") for r in ("system", "user", "assistant", "tool")]

@@ -75,7 +75,7 @@ def event_islands(spark, sf_dir):
     return f.select("user_id", "event_type", "first_pos", "n")
 
 
-@query("""SELECT conv_id, turn, row_number() OVER w - 1 AS ordinal, row_number() OVER w = 1 AS is_start, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) = 1 AS is_end
+@query("""SELECT conv_id, turn, CAST(row_number() OVER w - 1 AS INTEGER) AS ordinal, row_number() OVER w = 1 AS is_start, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) = 1 AS is_end
 FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)""")
 def turn_positions(spark, sf_dir):
     return dataset.position_flags(_turns(spark, sf_dir), ["conv_id"], ["turn"]).select("conv_id", "turn", "ordinal", "is_start", "is_end")

@@ -56,7 +56,7 @@ def nearest_purchase(spark, sf_dir):
   SELECT ticket AS entity, message_id, pr, ts FROM messages UNION ALL SELECT 'PR#' || pr, message_id, pr, ts FROM messages WHERE pr IS NOT NULL
   UNION ALL SELECT issue_key, NULL, NULL, created_at FROM issues UNION ALL SELECT 'PR#' || pr_number, NULL, pr_number, merged_at FROM pulls WHERE merged)
 SELECT entity, CASE WHEN entity LIKE 'PR#%' THEN 'pull_request' ELSE 'ticket' END AS kind, count(DISTINCT message_id) AS n_messages,
-  md5(string_agg(DISTINCT message_id, ',' ORDER BY message_id)) AS ids, list_sort(list_distinct(list(pr) FILTER (WHERE pr IS NOT NULL))) AS prs,
+  md5(coalesce(string_agg(DISTINCT message_id, ',' ORDER BY message_id), '')) AS ids, coalesce(list_sort(list_distinct(list(pr) FILTER (WHERE pr IS NOT NULL))), []) AS prs,
   CAST(epoch_us(min(ts)) AS BIGINT) AS first_us, CAST(epoch_us(max(ts)) AS BIGINT) AS last_us FROM edges GROUP BY 1""")
 def entity_links(spark, sf_dir):
     edges = links.message_edges(messages(spark, sf_dir)).unionByName(links.issue_edges(issues(spark, sf_dir))).unionByName(links.pull_edges(pulls(spark, sf_dir)))
@@ -99,7 +99,7 @@ def rule_windows(spark, sf_dir):
 @query(f"""WITH {SILVER_SQL}, n AS (SELECT d.issue_key, done_at, arg_min(p.pr_number, (abs(epoch_us(done_at) - epoch_us(merged_at)), p.pr_number)) AS pr_number
   FROM done d JOIN ticket_pr t ON t.ticket = d.issue_key JOIN pulls p ON p.pr_number = t.pr_number AND p.merged GROUP BY 1, 2)
 SELECT n.issue_key AS task_id, n.pr_number, CAST(epoch_us(greatest(done_at, merged_at)) AS BIGINT) AS end_us,
-  CASE WHEN abs(epoch(date_trunc('second', done_at)) - epoch(date_trunc('second', merged_at))) <= 3600 THEN 0.95 ELSE 0.7 END AS confidence FROM n JOIN pulls USING (pr_number)""")
+  CASE WHEN abs(epoch(date_trunc('second', done_at)) - epoch(date_trunc('second', merged_at))) <= 3600 THEN CAST(0.95 AS DOUBLE) ELSE CAST(0.7 AS DOUBLE) END AS confidence FROM n JOIN pulls USING (pr_number)""")
 def nearest_windows(spark, sf_dir):
     found = windows.nearest_windows(messages(spark, sf_dir), changelog(spark, sf_dir), pulls(spark, sf_dir))
     return found.select("task_id", "pr_number", F.unix_micros("end_ts").alias("end_us"), "confidence")

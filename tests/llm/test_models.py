@@ -138,6 +138,18 @@ def test_token_files_round_trip(spark, tmp_path, monkeypatch, bits):
     assert token_files.read_documents(spark, f"{tmp_path}/none").count() == 0
 
 
+def test_words_in_pieces_have_the_ids_of_whole_texts(monkeypatch):
+    monkeypatch.setattr(token_files, "PIECES", 40)
+    made, plain = token_files.PieceEncoder(ENCODER), Tokenizer.from_file(ENCODER)
+    rng = random.Random(8)
+    alphabet = list("abcXYZéÉßÿÖ,.!?<|>'`~[]{}#0 \t\n") + ["the ", "'s", "don't ", "é", "<|endoftext|>", "İ", "ﬁ", "ª", "×"]
+    for _ in range(60):
+        texts = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(80))) for _ in range(20)]
+        ids, counts = made.encode(texts)
+        want = [plain.encode(t, add_special_tokens=False).ids for t in texts]
+        assert counts.tolist() == list(map(len, want)) and ids.tolist() == sum(want, [])
+
+
 @pytest.mark.parametrize("width", [2, 4])
 @pytest.mark.parametrize("bits", [False, True])
 def test_planes_round_trip(width, bits):

@@ -10,8 +10,8 @@ again. Its rows are of two kinds: `chunks` (shard, chunk, n_ids, width, planes)
 first, n_tokens: where a document's ids start in its shard); readers of the index do not read planes. Shards are ranges of ids, in order. Readers take the chunks of a
 shard in order and hold one at a time; they need no memory for whole shards.
 
-Words are encoded once for each Python worker: the pretokenizer cuts at white space and drops it, so a text's ids are
-its words' ids in a row (tested against whole texts). Up to REMEMBERED words are kept.
+Pieces are encoded once for each Python worker while they are remembered: the pretokenizer cuts at white space, drops it,
+and cuts words at punctuation, so a text's ids are its pieces' ids in a row (tested against whole texts).
 
 Defined cases: null is the empty text, whose only id is the end id; rows that repeat an id are stored one by one, next
 to each other; null ids come first; an empty table makes an empty set of files.
@@ -21,50 +21,88 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-#: Ids of a block; words that a worker remembers; bytes of text that are encoded at once.
-CHUNK, REMEMBERED, PART_BYTES = 1 << 16, 400_000, 4_000_000
+#: Ids of a block; bytes of text that are encoded at once.
+CHUNK, PART_BYTES = 1 << 16, 4_000_000
+#: Pieces that a worker remembers at most in each of two generations.
+PIECES = 400_000
 #: Text that a shard holds, about.
 SHARD_BYTES = 64 << 20
 
-#: str.split() also cuts at these, which are no white space to the tokenizers; texts with them are cut at blanks only.
+#: Characters on which lower-casing and normalisation act one by one: printable ASCII, blanks, Latin-1 letters.
+_EASY = re.compile("[ -~\\t\\n\\rÀ-ÖØ-öø-ÿ]*")
+# Where the tokenizer's pattern cuts such a text once it is in lower case.
+_PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^ \\t\\n\\ra-zß-öø-ÿ0-9]+")
+#: White space for str.split(), but not for the tokenizers; texts with them are cut at blanks only.
 _NOT_SPACE, _BLANKS = re.compile("[\x1c-\x1f]"), re.compile("[ \\t\\n\\r]+")
-_encoders: dict[str, WordEncoder] = {}
+_encoders: dict[str, PieceEncoder] = {}
 
 
-class WordEncoder:
-    """Ids of whole texts by way of a dictionary of words; words that hold a special token's string go in untouched."""
+class Remembered:
+    """A dictionary of bounded size: when the young half is full, the old half goes. What is used stays."""
+
+    def __init__(self, size: int):
+        self.size, self.young, self.old = size, {}, {}
+
+    def turn(self) -> None:
+        if len(self.young) > self.size:
+            self.young, self.old = {}, self.young
+
+    def missing(self, keys: Iterable[str]) -> list[str]:
+        """The keys that are in neither half; those in the old half move to the young one."""
+        young, old, out = self.young, self.old, []
+        for key in keys:
+            if key not in young:
+                if key in old:
+                    young[key] = old[key]
+                else:
+                    out.append(key)
+        return out
+
+
+class PieceEncoder:
+    """Ids of whole texts by way of a dictionary of pieces, each encoded by the tokenizer once while it is remembered. Pieces
+    are what the tokenizer's pattern cuts out of a text of common characters; in other texts, whole words."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
+        self.tokenizer = Tokenizer.from_file(path)
         self.size = self.tokenizer.get_vocab_size()
+        self.kind = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
+        self.pieces = Remembered(PIECES)
+
+    def _cut(self, text: str) -> list[str]:
+        if _EASY.fullmatch(text) and "<|" not in text:
+            return _PIECE.findall(text.lower())
+        if _NOT_SPACE.search(text):
+            return [w for w in _BLANKS.split(text) if w]
+        return [p for w in text.split() for p in (_PIECE.findall(w.lower()) if _EASY.fullmatch(w) and "<|" not in w else (w,))]
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, and their number for each text."""
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        known = self.known
-        cut = [[w for w in _BLANKS.split(t) if w] if _NOT_SPACE.search(t) else t.split() for t in texts]
-        fresh = list({w for words in cut for w in words if w not in known})
-        for word, found in zip(fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False), strict=True):
-            known[word] = found.ids
-        ids = [[i for w in words for i in known[w]] for words in cut]
-        counts = np.fromiter(map(len, ids), np.int64, len(ids))
-        return np.fromiter((i for x in ids for i in x), np.uint32, int(counts.sum())), counts
-
-
-def _encoder(path: str) -> WordEncoder:
+        self.pieces.turn()
+        cut = [self._cut(t) for t in texts]
+        young = self.pieces.young
+        fresh = self.pieces.missing(set().union(*cut))
+        for piece, found in zip(fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False), strict=True):
+            young[piece] = np.array(found.ids, self.kind).tobytes()
+        ids = [b"".join(map(young.__getitem__, pieces)) for pieces in cut]
+        counts = np.fromiter(map(len, ids), np.int64, len(ids)) // self.kind.itemsize
+        return np.frombuffer(b"".join(ids), self.kind).astype(np.uint32), counts
+
+
+def _encoder(path: str) -> PieceEncoder:
     if path not in _encoders:
-        _encoders[path] = WordEncoder(path)
+        _encoders[path] = PieceEncoder(path)
     return _encoders[path]
 
 
@@ -122,13 +160,11 @@ def write(docs: DataFrame, path: str, encoder: str, end_id: int, bits: bool = Fa
         id_type = None
         for batch in batches:
             id_type = batch["doc_id"].type
-            texts, a = batch["text"].to_pylist(), 0
-            while a < len(texts):
-                b, size = a, 0
-                while b < len(texts) and (b == a or size < PART_BYTES):
-                    size += len(texts[b] or "")
-                    b += 1
-                ids, counts = made.encode([t or "" for t in texts[a:b]])
+            sizes = pc.fill_null(pc.binary_length(batch["text"]), 0).to_numpy(zero_copy_only=False)
+            upto, a = np.cumsum(sizes, dtype=np.int64), 0
+            while a < len(sizes):
+                b = max(a + 1, int(np.searchsorted(upto, upto[a] - sizes[a] + PART_BYTES)))
+                ids, counts = made.encode([t or "" for t in batch["text"].slice(a, b - a).to_pylist()])
                 ends = np.cumsum(counts)
                 ids, counts = np.insert(ids, ends, end_id), counts + 1
                 firsts = at + np.cumsum(counts) - counts

@@ -59,17 +59,22 @@ def merge_base(edges: DataFrame, pairs: DataFrame, order: DataFrame | None = Non
 def branch_commits(edges: DataFrame, heads: DataFrame, fallback: DataFrame | None = None) -> DataFrame:
     """(head, node): commits that a head (head, base) reaches and its base does not. A head without any gets those of
     fallback (head, node), such as the commits inside its task's window."""
-    tips = heads.select(F.explode(F.array("head", "base")).alias("tip")).where("tip IS NOT NULL").distinct()
-    up = ancestors(edges, tips).checkpoint()
-    mine = heads.join(up.select(F.col("tip").alias("head"), "node"), "head").select("head", "base", "node")
-    theirs = up.select(F.col("tip").alias("base"), "node")
-    own = mine.join(theirs, ["base", "node"], "left_anti").select("head", "node").distinct()
+    own = _beyond_base(edges, heads).select("head", "node").distinct()
     if fallback is None:
         return own
     rest = fallback.select("head", "node").join(own.select("head").distinct(), "head", "left_anti")
     return own.unionByName(rest)
 
 
+def _beyond_base(edges: DataFrame, heads: DataFrame) -> DataFrame:
+    """(head, base, node) of each pair."""
+    tips = heads.select(F.explode(F.array("head", "base")).alias("tip")).where("tip IS NOT NULL").distinct()
+    up = ancestors(edges, tips).checkpoint()
+    mine = heads.join(up.select(F.col("tip").alias("head"), "node"), "head").select("head", "base", "node")
+    theirs = up.select(F.col("tip").alias("base"), "node")
+    return mine.join(theirs, ["base", "node"], "left_anti").select("head", "base", "node").distinct()
+
+
 def derive_pulls(commits: DataFrame, edges: DataFrame) -> DataFrame:
     """Pull requests of merge commits: number and branch from the message, the author and times from the branch's commits.
 
@@ -79,9 +84,9 @@ def derive_pulls(commits: DataFrame, edges: DataFrame) -> DataFrame:
         number.cast("int").alias("pr_number"), F.regexp_extract("message", r"^Merge pull request #(\d+) from (\S+)", 2).alias("branch"),
         F.col("sha").alias("merge_sha"), F.col("authored_at").alias("merged_at"), F.get("parent_shas", F.lit(1)).alias("head"), F.get("parent_shas", F.lit(0)).alias("base"),
     )
-    own = branch_commits(edges, merges.select("head", "base").distinct())
+    own = _beyond_base(edges, merges.select("head", "base").distinct())
     facts = own.join(commits.select(F.col("sha").alias("node"), "authored_at", "author_name", "changed_files"), "node")
-    files = facts.select("head", F.explode("changed_files").alias("f")).groupBy("head").agg(F.count_distinct("f").alias("changed_files"))
-    per = facts.groupBy("head").agg(F.max("authored_at").alias("opened_at"), F.min_by("author_name", F.struct("authored_at", "node")).alias("author"), F.count(F.lit(1)).alias("commits"))
-    found = merges.join(per, "head", "left").join(files, "head", "left")
+    files = facts.select("head", "base", F.explode("changed_files").alias("f")).groupBy("head", "base").agg(F.count_distinct("f").alias("changed_files"))
+    per = facts.groupBy("head", "base").agg(F.max("authored_at").alias("opened_at"), F.min_by("author_name", F.struct("authored_at", "node")).alias("author"), F.count(F.lit(1)).alias("commits"))
+    found = merges.join(per, ["head", "base"], "left").join(files, ["head", "base"], "left")
     return found.select("pr_number", "branch", "merge_sha", "merged_at", "opened_at", "author", F.coalesce("commits", F.lit(0)).alias("commits"), F.coalesce("changed_files", F.lit(0)).alias("changed_files"))

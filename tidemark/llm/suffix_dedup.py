@@ -331,7 +331,8 @@ def repeats(docs: DataFrame) -> DataFrame:
     ranges = resolved.where("h1 IS NULL")
     wide = resolved.where("h1 IS NOT NULL")
     again = wide.groupBy("h1", "h2").agg(F.sum("seen").alias("times")).where("times > 1").select("h1", "h2")
-    late = wide.where("seen = 1").join(again, ["h1", "h2"])
+    # as a table of its own: a join with an aggregate in the same stage can't have its large keys split
+    late = wide.where("seen = 1").join(materialize(again, "suffix-again"), ["h1", "h2"])
     columns = ["doc_id", "mark", "start", "n"]
     return whole.select(columns).unionByName(ranges.select(columns)).unionByName(late.select(columns))
 

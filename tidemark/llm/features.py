@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,16 +38,13 @@ def with_texts(docs: DataFrame, sample: DataFrame, id: str, text: str) -> DataFr
 
 
 def text_parts(batch: pa.RecordBatch, column: str) -> Iterator[list[str]]:
-    """The texts of a batch, null as empty, in parts of about PART_BYTES."""
-    texts, held, size = batch[column].to_pylist(), [], 0
-    for text in texts:
-        held.append(text or "")
-        size += len(held[-1])
-        if size > PART_BYTES:
-            yield held
-            held, size = [], 0
-    if held:
-        yield held
+    """The texts of a batch, null as empty, in parts of about PART_BYTES; only a part is in Python's memory at a time."""
+    sizes = pc.fill_null(pc.binary_length(batch[column]), 0).to_numpy(zero_copy_only=False)
+    upto, a = np.cumsum(sizes, dtype=np.int64), 0
+    while a < len(sizes):
+        b = max(a + 1, int(np.searchsorted(upto, upto[a] - sizes[a] + PART_BYTES)))
+        yield [t or "" for t in batch[column].slice(a, b - a).to_pylist()]
+        a = b
 
 
 def score_texts(docs: DataFrame, score: Callable[[list[str]], dict[str, np.ndarray]], schema: str, id: str, text: str,

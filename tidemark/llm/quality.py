@@ -24,7 +24,7 @@ from tidemark.llm.features import sampled_labels, score_texts, sigmoid, with_tex
 
 BITS = 18
 #: Words whose hashes a Python worker remembers at most.
-REMEMBERED = 300_000
+REMEMBERED = 100_000
 _known: dict[str, int] = {}
 
 

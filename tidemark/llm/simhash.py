@@ -26,7 +26,7 @@ from __future__ import annotations
 
 import itertools
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import BLANKS, UPPER, LOWER, materialize
 from tidemark.llm.components import connected_components
+from tidemark.llm.features import text_parts
 
 #: Keys that more distinct fingerprints share are resolved by probes instead of a join; both ways are exact.
 JOIN_UP_TO = 32
@@ -74,7 +75,7 @@ def majority(hashes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return found
 
 
-def _in_parts(texts: list, size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _in_parts(texts: Iterable[str], size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Shingle hashes and their number for a few texts at a time, so that memory follows the longest text."""
     held, lengths, total = [], [], 0
     for text in texts:
@@ -93,7 +94,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3, id: str = "doc_id", text: st
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [majority(h, n) for h, n in _in_parts(batch["text"].to_pylist(), shingle)]
+            found = [majority(h, n) for h, n in _in_parts(itertools.chain.from_iterable(text_parts(batch, "text")), shingle)]
             fps = np.concatenate(found or [np.zeros(0, np.uint64)]).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(fps)], ["doc_id", "fp"])
 
@@ -197,7 +198,7 @@ def near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, bloc
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for h, n in _in_parts(batch["text"].to_pylist(), shingle):
+            for h, n in _in_parts(itertools.chain.from_iterable(text_parts(batch, "text")), shingle):
                 owner = np.repeat(np.arange(len(n)), n)
                 order = np.lexsort((h, owner))
                 h, owner = h[order], owner[order]

@@ -19,6 +19,7 @@ to each other; null ids come first; an empty table makes an empty set of files.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from collections.abc import Iterable, Iterator
@@ -30,10 +31,12 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import small_batches
+
 #: Ids of a block; bytes of text that are encoded at once.
 CHUNK, PART_BYTES = 1 << 16, 4_000_000
 #: Pieces that a worker remembers at most in each of two generations.
-PIECES = 400_000
+PIECES = 250_000
 #: Text that a shard holds, about.
 SHARD_BYTES = 64 << 20
 
@@ -73,6 +76,7 @@ class PieceEncoder:
     are what the tokenizer's pattern cuts out of a text of common characters; in other texts, whole words."""
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; threads would cost memory and time
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -187,7 +191,8 @@ def write(docs: DataFrame, path: str, encoder: str, end_id: int, bits: bool = Fa
     made = ordered.mapInArrow(run, schema).withColumn("shard", F.spark_partition_id())
     kinds = F.when(F.col("block").isNull(), "docs").otherwise("chunks")
     flat = made.select("shard", "doc_id", "first", "n_tokens", "block.*", kinds.alias("part"))
-    flat.write.parquet(path)
+    with small_batches(docs.sparkSession):
+        flat.write.parquet(path)
 
 
 def read_chunks(spark: SparkSession, path: str) -> DataFrame:

@@ -28,7 +28,7 @@ from tidemark.llm.features import isotonic, sampled_labels, score_texts, text_pa
 LEXICON, LEAST_DOCS = 4000, 5
 STEM = 5
 NEAR = 6
-REMEMBERED = 300_000
+REMEMBERED = 100_000
 SECOND_PERSON = frozenset("you your yours yourself u ur du dich dir dein deine ihr euch tu te toi ton ta tes vous votre vos ti tú tus usted ustedes vosotros".split())
 _LEET = str.maketrans("0134578@$!|", "oieastbasil")
 _LETTERS = re.compile(r"[^\W\d_]+")

@@ -158,7 +158,8 @@ def _with_components(found: DataFrame, fp: str, link) -> DataFrame:
     low = parts.join(distinct, parts["node"] == distinct[fp]).groupBy("component").agg(F.min("low").alias("component_id"))
     labels = parts.join(low, "component").select(F.col("node").alias(fp), "component_id")
     labels = distinct.join(labels, fp, "left").select(fp, F.coalesce("component_id", "low").alias("component_id"))
-    return found.join(labels, fp)
+    # as a table of its own, so that a fingerprint that very many rows have can be split in the join
+    return found.join(materialize(labels, "simhash-components"), fp)
 
 
 def _spread(h: np.ndarray, seed: int) -> np.ndarray:

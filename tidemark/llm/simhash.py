@@ -14,12 +14,13 @@ within max_bits of everything else under it.
 
 `near_copies` is the form for similar rather than almost equal texts. At a Jaccard similarity of 0.8 two 64-bit
 fingerprints differ in about ten bits, for which no pigeonhole has useful blocks. It takes 256-bit fingerprints to
-measure the distance, and as blocks the SimHashes of small min-wise samples of the shingles: similar texts share most
-samples. Pairs that share a block are verified by the Hamming distance that corresponds to the similarity.
+rule out distant pairs, and as blocks the SimHashes of small min-wise samples of the shingles: similar texts share most
+samples. Pairs that share a block are verified by the Jaccard similarity of their shingle sets.
 
 Defined cases: a null, empty or blank text has fingerprint zero and is linked to the others like any other text; a
 text of fewer words than a shingle is one shingle. Every row is returned, also where rows repeat a doc_id; null ids
-are kept, in a component of their own fingerprint's ids. Other columns of the input are not read.
+are kept, in a component of their own fingerprint's ids. Other columns of the input are read by `near_copies` only, to
+tell rows of one id apart.
 """
 
 from __future__ import annotations
@@ -38,7 +39,7 @@ from tidemark.llm.common import BLANKS, UPPER, LOWER, materialize
 from tidemark.llm.components import connected_components
 from tidemark.llm.features import text_parts
 
-#: Keys that more distinct fingerprints share are resolved by probes instead of a join; both ways are exact.
+#: link_fingerprints resolves keys that more distinct fingerprints share by probes instead of a join; both ways are exact.
 JOIN_UP_TO = 32
 _TO_LOWER = bytes.maketrans(UPPER.encode(), LOWER.encode())
 _BITS_OF_BYTE = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
@@ -183,58 +184,102 @@ def _sample_blocks(hashes: np.ndarray, lengths: np.ndarray, blocks: int, sample:
     return out
 
 
+def row_digest(docs: DataFrame) -> Column:
+    """64 bits of all columns of a row, nulls apart from values: with the id, what tells one row from another."""
+    columns = [docs[c] for c in docs.columns]
+    return F.xxhash64(*columns, *[c.isNull() for c in columns])
+
+
+def _shingle_sets(texts: Iterable[str], size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The distinct shingle hashes of each text in order, and their number, for a few texts at a time."""
+    for h, n in _in_parts(texts, size):
+        owner = np.repeat(np.arange(len(n)), n)
+        order = np.lexsort((h, owner))
+        h, owner = h[order], owner[order]
+        fresh = np.ones(len(h), bool)
+        fresh[1:] = (h[1:] != h[:-1]) | (owner[1:] != owner[:-1])
+        yield h[fresh], np.bincount(owner[fresh], minlength=len(n))
+
+
+def _lists(values: np.ndarray, lengths: np.ndarray) -> pa.Array:
+    ends = np.concatenate(([0], np.cumsum(lengths))).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(values.view(np.int64)))
+
+
+def _apart() -> Column:
+    return sum((F.bit_count(F.get("x", F.lit(i)).bitwiseXOR(F.get("y", F.lit(i)))) for i in range(4)), F.lit(0))
+
+
 def near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, blocks: int = 20, sample: int = 3,
                 id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, fp, component_id): documents whose shingle sets have about `similarity` (Jaccard) or more are linked.
-
-    fp is the digest of the 256-bit fingerprint and its blocks; texts with the same shingles share it. A pair of that
-    similarity shares a block with probability 1 - (1 - similarity ** sample) ** blocks, over 0.9999 here. A block
-    that up to JOIN_UP_TO fingerprints share is joined with itself; in a larger one each fingerprint is compared with
-    the block's smallest, so work stays in proportion to the documents. A large group's documents meet in many of the
-    blocks, each with another smallest, which is what connects them."""
-    # the angle between count vectors of sets with this Jaccard similarity, as a share of 256 bits, and two deviations
+    """(doc_id, row, fp, component, component_id): documents whose shingle sets have a Jaccard similarity of at least
+    `similarity` are linked. row is the row's digest, component the number of its component, component_id its smallest id.
+
+    fp is the digest of the set of shingle hashes. A pair of that similarity shares a block with probability
+    1 - (1 - similarity ** sample) ** blocks, over 0.9999 here. Pairs are verified by the Jaccard similarity of the two
+    sets of 64-bit hashes, unless their numbers of shingles or their 256-bit fingerprints (seven deviations) rule them
+    out. In a block of more than JOIN_UP_TO fingerprints each is compared with the block's smallest only."""
+    # the angle between count vectors of sets with this Jaccard similarity, as a share of 256 bits, and seven deviations
     share = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    within = round(256 * share + 2 * math.sqrt(256 * share * (1 - share)))
+    within = round(256 * share + 7 * math.sqrt(256 * share * (1 - share)))
+    rows = docs.select(F.col(id).alias("doc_id"), row_digest(docs).alias("row"), F.col(text).alias("text"))
+    kind = rows.schema["doc_id"].dataType.simpleString()
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for h, n in _in_parts(itertools.chain.from_iterable(text_parts(batch, "text")), shingle):
-                owner = np.repeat(np.arange(len(n)), n)
-                order = np.lexsort((h, owner))
-                h, owner = h[order], owner[order]
-                fresh = np.ones(len(h), bool)
-                fresh[1:] = (h[1:] != h[:-1]) | (owner[1:] != owner[:-1])
-                h, n = h[fresh], np.bincount(owner[fresh], minlength=len(n))
+            parts, digests, sizes = [], [], []
+            for h, n in _shingle_sets(itertools.chain.from_iterable(text_parts(batch, "text")), shingle):
                 wide = np.stack([majority(_spread(h, 1000 + i), n) for i in range(4)], 1)
-                rows.append(np.concatenate([wide, _sample_blocks(h, n, blocks, sample)], 1).view(np.int64))
-            both = np.concatenate(rows or [np.zeros((0, 4 + blocks), np.int64)])
-            digest = np.array([xxhash.xxh64_intdigest(r.tobytes(), 1) for r in both], np.uint64).view(np.int64)
+                parts.append(np.concatenate([wide, _sample_blocks(h, n, blocks, sample)], 1).view(np.int64))
+                digests += [xxhash.xxh64_intdigest(x.tobytes(), 1) for x in np.split(h, np.cumsum(n)[:-1])]
+                sizes.append(n)
+            both = np.concatenate(parts or [np.zeros((0, 4 + blocks), np.int64)])
             lists = [pa.FixedSizeListArray.from_arrays(part.reshape(-1), part.shape[1]).cast(pa.list_(pa.int64())) for part in (both[:, :4], both[:, 4:])]
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(digest), *lists], ["doc_id", "fp", "wide", "keys"])
+            fps, n = pa.array(np.array(digests, np.uint64).view(np.int64)), pa.array(np.concatenate(sizes or [np.zeros(0, int)]).astype(np.int64))
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["row"], fps, n, *lists], ["doc_id", "row", "fp", "n", "wide", "keys"])
 
-    kind = docs.select(F.col(id).alias("doc_id")).schema["doc_id"].dataType.simpleString()
-    rows = docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text"))
-    found = materialize(rows.mapInArrow(of, f"doc_id {kind}, fp bigint, wide array<bigint>, keys array<bigint>"), "simhash")
-
-    def link(_: DataFrame) -> DataFrame:
-        distinct = found.groupBy("fp").agg(F.first("wide").alias("wide"), F.first("keys").alias("keys"))
-        dealt = distinct.select("fp", "wide", F.posexplode("keys").alias("way", "key"))
-        size = dealt.groupBy("way", "key").agg(F.count(F.lit(1)).alias("sharing"), F.min_by(F.struct("fp", "wide"), "fp").alias("least")).where("sharing > 1")
-        shared = materialize(dealt.join(size, ["way", "key"]), "simhash-blocks")
-        differ = F.lit(0)
-        for i in range(4):
-            differ += F.bit_count(F.get("x", F.lit(i)).bitwiseXOR(F.get("y", F.lit(i))))
-        few = shared.where(F.col("sharing") <= JOIN_UP_TO)
-        left = few.select("way", "key", F.col("fp").alias("a"), F.col("wide").alias("x"))
-        right = few.select("way", "key", F.col("fp").alias("b"), F.col("wide").alias("y"))
-        pairs = left.join(right, ["way", "key"]).where("a < b").where(differ <= within).select("a", "b")
-        many = shared.where(F.col("sharing") > JOIN_UP_TO)
-        star = many.select(F.col("least.fp").alias("a"), F.col("least.wide").alias("x"), F.col("fp").alias("b"), F.col("wide").alias("y"))
-        star = star.where(differ <= within).select("a", "b")
-        return pairs.unionByName(star).where("a <> b").distinct()
-
-    return _with_components(found.select("doc_id", "fp"), "fp", link)
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = 0
+            for h, n in _shingle_sets(itertools.chain.from_iterable(text_parts(batch, "text")), shingle):
+                yield pa.RecordBatch.from_arrays([batch["fp"].slice(at, len(n)), _lists(h, n)], ["fp", "hashes"])
+                at += len(n)
+
+    found = materialize(rows.mapInArrow(of, f"doc_id {kind}, row bigint, fp bigint, n bigint, wide array<bigint>, keys array<bigint>"), "simhash")
+    distinct = found.groupBy("fp").agg(F.first("n").alias("n"), F.first("wide").alias("wide"), F.first("keys").alias("keys"))
+    dealt = distinct.select("fp", "n", "wide", F.posexplode("keys").alias("way", "key"))
+    crowd = dealt.groupBy("way", "key").agg(F.count(F.lit(1)).alias("sharing")).where("sharing > 1")
+    shared = materialize(dealt.join(crowd, ["way", "key"]).select("way", "key", "fp", "n", "wide"), "simhash-blocks")
+
+    # the sets of those fingerprints that share a block, each from one of the rows that have it
+    source = found.join(shared.select("fp").distinct(), "fp", "left_semi").groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("one"))
+    source = source.select("fp", F.col("one.doc_id").alias("__id"), F.col("one.row").alias("__row"))
+    texts = rows.join(source, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("row") == F.col("__row"))).groupBy("fp").agg(F.first("text").alias("text"))
+    hashes = materialize(texts.mapInArrow(sets, "fp bigint, hashes array<bigint>"), "simhash-sets")
+
+    possible = (F.least("n", "m") >= similarity * F.greatest("n", "m")) & (_apart() <= within)
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        pairs = materialize(pairs.distinct(), "simhash-pairs")  # a table of its own, so that a fingerprint in very many pairs can be split
+        both = pairs.join(hashes.select(F.col("fp").alias("b"), F.col("hashes").alias("y")), "b").join(hashes.select(F.col("fp").alias("a"), F.col("hashes").alias("x")), "a")
+        common = F.size(F.array_intersect("x", "y"))
+        return materialize(both.where(common >= F.lit(similarity) * (F.size("x") + F.size("y") - common)).select("a", "b"), "simhash-links")
+
+    size = shared.groupBy("way", "key").agg(F.count(F.lit(1)).alias("sharing"), F.min_by(F.struct("fp", "n", "wide"), "fp").alias("least"))
+    held = materialize(shared.join(size, ["way", "key"]), "simhash-held")
+    few = held.where(F.col("sharing") <= JOIN_UP_TO)
+    left = few.select("way", "key", F.col("fp").alias("a"), F.col("n").alias("m"), F.col("wide").alias("x"))
+    right = few.select("way", "key", F.col("fp").alias("b"), "n", F.col("wide").alias("y"))
+    pairs = left.join(right, ["way", "key"]).where("a < b").where(possible).select("a", "b")
+    many = held.where(F.col("sharing") > JOIN_UP_TO)
+    star = many.select(F.col("least.fp").alias("a"), F.col("least.n").alias("m"), F.col("least.wide").alias("x"), F.col("fp").alias("b"), "n", F.col("wide").alias("y"))
+    edges = verified(pairs.unionByName(star.where(possible).select("a", "b")).where("a <> b"))
+
+    links = connected_components(edges)
+    ids = found.select("fp", "doc_id").join(links.withColumnRenamed("node", "fp"), "fp", "left").groupBy(F.coalesce("component", "fp").alias("component")).agg(F.min("doc_id").alias("component_id"))
+    labels = found.select("fp").distinct().join(links.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("component", "fp").alias("component")).join(ids, "component")
+    # as a table of its own, so that a fingerprint that very many rows have can be split in the join
+    return found.select("doc_id", "row", "fp").join(materialize(labels, "simhash-components"), "fp").select("doc_id", "row", "fp", "component", "component_id")
 
 
 def keep_one(docs: DataFrame, found: DataFrame, id: str = "doc_id") -> DataFrame:

@@ -30,6 +30,22 @@ def components(spark, docs):
     return {r.doc_id: r.component_id for r in simhash.near_copies(spark.createDataFrame(docs, SCHEMA)).collect()}
 
 
+def test_crowded_blocks_keep_every_link(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "CHUNK", 16, raising=False)
+    rng = random.Random(5)
+    docs = []
+    for group in range(4):
+        base = words(rng, 200)
+        hub = rng.randrange(90)
+        for i in range(90):
+            # single edits ten words apart, at places of its own: each variant is near 0.8 to the hub, far less to the others
+            places = [] if i == hub else [5 * k + rng.randrange(5) + 2 for k in rng.sample(range(38), 4)]
+            docs.append((1000 * group + i, " ".join(edited(rng, base, places))))
+    want = brute_force(docs)
+    assert max(list(want.values()).count(r) for r in want.values()) > 60
+    assert components(spark, docs) == want
+
+
 def test_pairs_around_the_similarity(spark):
     rng = random.Random(6)
     docs = []

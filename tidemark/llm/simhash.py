@@ -41,6 +41,8 @@ from tidemark.llm.features import text_parts
 
 #: link_fingerprints resolves keys that more distinct fingerprints share by probes instead of a join; both ways are exact.
 JOIN_UP_TO = 32
+#: So many fingerprints of a crowded block of near_copies meet all of the block in one task.
+CHUNK = 256
 _TO_LOWER = bytes.maketrans(UPPER.encode(), LOWER.encode())
 _BITS_OF_BYTE = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
 
@@ -216,12 +218,16 @@ def near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, bloc
     `similarity` are linked. row is the row's digest, component the number of its component, component_id its smallest id.
 
     fp is the digest of the set of shingle hashes. A pair of that similarity shares a block with probability
-    1 - (1 - similarity ** sample) ** blocks, over 0.9999 here. Pairs are verified by the Jaccard similarity of the two
-    sets of 64-bit hashes, unless their numbers of shingles or their 256-bit fingerprints (seven deviations) rule them
-    out. In a block of more than JOIN_UP_TO fingerprints each is compared with the block's smallest only."""
+    1 - (1 - similarity ** sample) ** blocks, over 0.9999 here. Every pair that shares a block is settled: it is verified
+    by the Jaccard similarity of the two sets of 64-bit hashes, unless its numbers of shingles or its 256-bit
+    fingerprints (seven deviations) rule it out, or its two sides are known to be in one component already. That is why
+    each block first compares its fingerprints with one of them, twice; most blocks are then in one component, and only
+    pairs across components are left. Their number is that of the block's fingerprints times those outside its largest
+    component: it is the square of the block's size where many texts share blocks but are not similar enough."""
     # the angle between count vectors of sets with this Jaccard similarity, as a share of 256 bits, and seven deviations
     share = math.acos(2 * similarity / (1 + similarity)) / math.pi
     within = round(256 * share + 7 * math.sqrt(256 * share * (1 - share)))
+    spark = docs.sparkSession
     rows = docs.select(F.col(id).alias("doc_id"), row_digest(docs).alias("row"), F.col(text).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
 
@@ -265,15 +271,15 @@ def near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, bloc
         common = F.size(F.array_intersect("x", "y"))
         return materialize(both.where(common >= F.lit(similarity) * (F.size("x") + F.size("y") - common)).select("a", "b"), "simhash-links")
 
-    size = shared.groupBy("way", "key").agg(F.count(F.lit(1)).alias("sharing"), F.min_by(F.struct("fp", "n", "wide"), "fp").alias("least"))
-    held = materialize(shared.join(size, ["way", "key"]), "simhash-held")
-    few = held.where(F.col("sharing") <= JOIN_UP_TO)
-    left = few.select("way", "key", F.col("fp").alias("a"), F.col("n").alias("m"), F.col("wide").alias("x"))
-    right = few.select("way", "key", F.col("fp").alias("b"), "n", F.col("wide").alias("y"))
-    pairs = left.join(right, ["way", "key"]).where("a < b").where(possible).select("a", "b")
-    many = held.where(F.col("sharing") > JOIN_UP_TO)
-    star = many.select(F.col("least.fp").alias("a"), F.col("least.n").alias("m"), F.col("least.wide").alias("x"), F.col("fp").alias("b"), "n", F.col("wide").alias("y"))
-    edges = verified(pairs.unionByName(star.where(possible).select("a", "b")).where("a <> b"))
+    edges = spark.createDataFrame([], "a bigint, b bigint")
+    for turn in range(2):
+        now = _placed(shared, edges) if turn else shared.withColumn("c", F.col("fp"))
+        rank = F.xxhash64("fp", "way", "key") if turn else F.col("fp")
+        pivot = now.groupBy("way", "key").agg(F.min_by(F.struct("fp", "n", "wide", "c"), rank).alias("p"), (F.min("c") < F.max("c")).alias("open")).where("open")
+        met = now.join(pivot, ["way", "key"]).where(F.col("c") != F.col("p.c"))
+        met = met.select(F.col("p.fp").alias("a"), F.col("p.n").alias("m"), F.col("p.wide").alias("x"), F.col("fp").alias("b"), "n", F.col("wide").alias("y"))
+        edges = edges.unionByName(verified(met.where(possible).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))))
+    edges = edges.unionByName(verified(_across(_placed(shared, edges), possible)))
 
     links = connected_components(edges)
     ids = found.select("fp", "doc_id").join(links.withColumnRenamed("node", "fp"), "fp", "left").groupBy(F.coalesce("component", "fp").alias("component")).agg(F.min("doc_id").alias("component_id"))
@@ -282,6 +288,27 @@ def near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, bloc
     return found.select("doc_id", "row", "fp").join(materialize(labels, "simhash-components"), "fp").select("doc_id", "row", "fp", "component", "component_id")
 
 
+def _placed(shared: DataFrame, edges: DataFrame) -> DataFrame:
+    """The fingerprints of the blocks, with c, the component of each by these edges."""
+    parts = connected_components(edges)
+    return materialize(shared.join(parts.withColumnRenamed("node", "fp"), "fp", "left").withColumn("c", F.coalesce("component", "fp")).drop("component"), "simhash-placed")
+
+
+def _across(now: DataFrame, possible: Column) -> DataFrame:
+    """(a, b): all pairs of a block that are possible and in different components. Those outside the block's largest
+    component, in chunks of about CHUNK, meet all."""
+    held = now.groupBy("way", "key", "c").agg(F.count(F.lit(1)).alias("k"))
+    blocks = held.groupBy("way", "key").agg(F.max_by("c", F.struct("k", "c")).alias("main"), (F.sum("k") - F.max("k")).alias("rest")).where("rest > 0")
+    blocks = blocks.select("way", "key", "main", F.ceil(F.col("rest") / CHUNK).alias("chunks"))
+    members = materialize(now.join(blocks, ["way", "key"]), "simhash-open")
+    chunk = F.pmod(F.xxhash64("fp"), F.col("chunks"))
+    left = members.where("c <> main").select("way", "key", chunk.alias("chunk"), F.col("fp").alias("a"), F.col("n").alias("m"), F.col("wide").alias("x"), F.col("c").alias("d"))
+    right = members.select("way", "key", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1)).alias("chunk"), F.col("fp").alias("b"), "n", F.col("wide").alias("y"), "c", "main")
+    once = (F.col("c") != F.col("d")) & ((F.col("c") == F.col("main")) | (F.col("a") < F.col("b")))
+    same = [left[k] == right[k] for k in ("way", "key", "chunk")]
+    return left.join(right, same[0] & same[1] & same[2] & once & possible).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+
 def keep_one(docs: DataFrame, found: DataFrame, id: str = "doc_id") -> DataFrame:
     """The rows of docs whose id is the smallest of its component."""
     firsts = found.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("__kept")).distinct()

@@ -32,9 +32,9 @@ def reject_junk(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one with the smallest id, of each group of near copies (five words, similarity 0.8)."""
+    """One row, that of the smallest id, of each group of near copies (five words, similarity 0.8)."""
     found = simhash.near_copies(docs, shingle=5, similarity=0.8)
-    return simhash.keep_one(docs, found).dropDuplicates(["doc_id"])
+    return simhash.keep_one(docs, found)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@
 import random
 from itertools import combinations
 
+import corpus_pipeline
 from test_dedup import roots, shingles
 from tidemark.llm import simhash
 
@@ -55,3 +56,11 @@ def test_pairs_around_the_similarity(spark):
     want = brute_force(docs)
     assert 20 < sum(want[2 * i + 1] == 2 * i for i in range(300)) < 280
     assert components(spark, docs) == want
+
+
+def test_rows_without_an_id_or_with_one_id_and_other_texts(spark):
+    rng = random.Random(7)
+    one, two, three, four = (" ".join(words(rng, 60)) for _ in range(4))
+    rows = [(None, one), (None, two), (1, three), (1, four), (0, four), (2, three), (2, three), (None, three), (None, two)]
+    kept = corpus_pipeline.drop_near_copies(spark, spark.createDataFrame(rows, SCHEMA), "")
+    assert sorted(map(tuple, kept.collect()), key=repr) == sorted([(None, one), (None, two), (1, three), (0, four)], key=repr)

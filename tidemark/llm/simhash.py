@@ -310,9 +310,13 @@ def _across(now: DataFrame, possible: Column) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, found: DataFrame, id: str = "doc_id") -> DataFrame:
-    """The rows of docs whose id is the smallest of its component."""
-    firsts = found.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("__kept")).distinct()
-    return docs.join(firsts, docs[id] == firsts["__kept"], "left_semi")
+    """One row of docs for each component: that of the smallest id (a null id only if there is no other), and of its
+    rows that of the smallest digest. Equal rows count as one."""
+    one = found.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("one"))
+    firsts = one.select(F.col("one.doc_id").alias("__kept"), F.col("one.row").alias("__kept_row"))
+    named = docs.withColumn("__row", row_digest(docs))
+    kept = named.join(firsts, F.col(id).eqNullSafe(F.col("__kept")) & (F.col("__row") == F.col("__kept_row")), "left_semi")
+    return kept.dropDuplicates([id, "__row"]).drop("__row")
 
 
 def as_hex(fp: Column) -> Column:

@@ -140,9 +140,9 @@ def test_token_files_round_trip(spark, tmp_path, monkeypatch, bits):
 
 def test_words_in_pieces_have_the_ids_of_whole_texts(monkeypatch):
     monkeypatch.setattr(token_files, "PIECES", 40)
-    made, plain = token_files.PieceEncoder(ENCODER), Tokenizer.from_file(ENCODER)
+    made, plain = token_files.PieceEncoder(ENCODER, "</w>"), Tokenizer.from_file(ENCODER)
     rng = random.Random(8)
-    alphabet = list("abcXYZéÉßÿÖ,.!?<|>'`~[]{}#0 \t\n") + ["the ", "'s", "don't ", "é", "<|endoftext|>", "İ", "ﬁ", "ª", "×"]
+    alphabet = list("abcXYZéÉßÿÖ,.!?<|>'`~[]{}#0 \t\n") + ["the ", "'s", "don't ", "é", "<|endoftext|>", "İ", "ﬁ", "ª", "×", "\x1c", "\xa0", "中", "٣"]
     for _ in range(60):
         texts = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(80))) for _ in range(20)]
         ids, counts = made.encode(texts)
@@ -150,6 +150,16 @@ def test_words_in_pieces_have_the_ids_of_whole_texts(monkeypatch):
         assert counts.tolist() == list(map(len, want)) and ids.tolist() == sum(want, [])
 
 
+def test_a_tokenizer_of_another_kind_gets_whole_texts(spark, tmp_path):
+    other = public_tokenizers.path("byte_bpe_50k.json")
+    assert type(token_files._encoder(ENCODER)) is token_files.PieceEncoder and type(token_files._encoder(other)) is token_files.WholeEncoder
+    data = [(i, t) for i, t, _ in AWKWARD] + [(50 + i, t) for i, t in enumerate(ODD)]
+    token_files.write(spark.createDataFrame(data, "doc_id bigint, text string"), f"{tmp_path}/f", other, 50256, shards=2)
+    plain = Tokenizer.from_file(other)
+    want = Counter((i, zlib.crc32(np.array([*plain.encode(t or "", add_special_tokens=False).ids, 50256], "<u4").tobytes())) for i, t in data)
+    assert Counter((r.doc_id, r.ids_crc32) for r in token_files.read_documents(spark, f"{tmp_path}/f").collect()) == want
+
+
 @pytest.mark.parametrize("width", [2, 4])
 @pytest.mark.parametrize("bits", [False, True])
 def test_planes_round_trip(width, bits):

@@ -10,8 +10,9 @@ again. Its rows are of two kinds: `chunks` (shard, chunk, n_ids, width, planes)
 first, n_tokens: where a document's ids start in its shard); readers of the index do not read planes. Shards are ranges of ids, in order. Readers take the chunks of a
 shard in order and hold one at a time; they need no memory for whole shards.
 
-Pieces are encoded once for each Python worker while they are remembered: the pretokenizer cuts at white space, drops it,
-and cuts words at punctuation, so a text's ids are its pieces' ids in a row (tested against whole texts).
+A tokenizer that declares the normaliser and the pretokenizer below gets pieces, each encoded once for each Python worker
+while it is remembered: it cuts at white space, drops it, and cuts words at punctuation, so a text's ids are its pieces'
+ids in a row (tested against whole texts). Any other tokenizer gets whole texts.
 
 Defined cases: null is the empty text, whose only id is the end id; rows that repeat an id are stored one by one, next
 to each other; null ids come first; an empty table makes an empty set of files.
@@ -19,10 +20,12 @@ to each other; null ids come first; an empty table makes an empty set of files.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
 from collections.abc import Iterable, Iterator
+from itertools import chain, filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -44,9 +47,18 @@ SHARD_BYTES = 64 << 20
 _EASY = re.compile("[ -~\\t\\n\\rÀ-ÖØ-öø-ÿ]*")
 # Where the tokenizer's pattern cuts such a text once it is in lower case.
 _PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^ \\t\\n\\ra-zß-öø-ÿ0-9]+")
+# How a tokenizer file declares that it works in such pieces.
+_NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+_PRETOKENIZER = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
 #: White space for str.split(), but not for the tokenizers; texts with them are cut at blanks only.
 _NOT_SPACE, _BLANKS = re.compile("[\x1c-\x1f]"), re.compile("[ \\t\\n\\r]+")
-_encoders: dict[str, PieceEncoder] = {}
+_encoders: dict[str, WholeEncoder] = {}
 
 
 class Remembered:
@@ -62,27 +74,48 @@ class Remembered:
     def missing(self, keys: Iterable[str]) -> list[str]:
         """The keys that are in neither half; those in the old half move to the young one."""
         young, old, out = self.young, self.old, []
-        for key in keys:
-            if key not in young:
-                if key in old:
-                    young[key] = old[key]
-                else:
-                    out.append(key)
+        for key in set(filterfalse(young.__contains__, keys)):
+            if key in old:
+                young[key] = old[key]
+            else:
+                out.append(key)
         return out
 
 
-class PieceEncoder:
-    """Ids of whole texts by way of a dictionary of pieces, each encoded by the tokenizer once while it is remembered. Pieces
-    are what the tokenizer's pattern cuts out of a text of common characters; in other texts, whole words."""
+class WholeEncoder:
+    """Ids of whole texts, as the tokenizer gives them."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; threads would cost memory and time
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
         self.size = self.tokenizer.get_vocab_size()
         self.kind = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
+
+    def _each(self, texts: list[str]) -> list[bytes]:
+        return [np.array(found.ids, self.kind).tobytes() for found in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids in a row, and their number for each text."""
+        return self._joined(self._each(texts))
+
+    def _joined(self, ids: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        counts = np.fromiter(map(len, ids), np.int64, len(ids)) // self.kind.itemsize
+        return np.frombuffer(b"".join(ids), self.kind).astype(np.uint32), counts
+
+
+class PieceEncoder(WholeEncoder):
+    """Ids of whole texts by way of a dictionary of pieces, each encoded by the tokenizer once while it is remembered. Pieces
+    are what the tokenizer's pattern cuts out of a text of common characters; in other texts, whole words."""
+
+    def __init__(self, path: str, word_end: str):
+        super().__init__(path)
         self.pieces = Remembered(PIECES)
+        self.ends = np.zeros(self.size, bool)
+        self.ends[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith(word_end)]] = True
 
     def _cut(self, text: str) -> list[str]:
         if _EASY.fullmatch(text) and "<|" not in text:
@@ -91,22 +124,37 @@ class PieceEncoder:
             return [w for w in _BLANKS.split(text) if w]
         return [p for w in text.split() for p in (_PIECE.findall(w.lower()) if _EASY.fullmatch(w) and "<|" not in w else (w,))]
 
+    def _each(self, texts: list[str]) -> list[bytes]:
+        """Pieces in one text are cheaper than pieces alone: the tokens that end a word show where each piece ends. Where
+        they don't (a special token, a word of several pieces), each is encoded alone."""
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(texts)], add_special_tokens=False)[0].ids, self.kind)
+        upto = np.flatnonzero(self.ends[ids]) + 1
+        if len(upto) != len(texts) or upto[-1] != len(ids):
+            return super()._each(texts)
+        raw, bounds = ids.tobytes(), [0, *(upto * self.kind.itemsize).tolist()]
+        return [raw[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids in a row, and their number for each text."""
         self.pieces.turn()
         cut = [self._cut(t) for t in texts]
         young = self.pieces.young
-        fresh = self.pieces.missing(set().union(*cut))
-        for piece, found in zip(fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False), strict=True):
-            young[piece] = np.array(found.ids, self.kind).tobytes()
-        ids = [b"".join(map(young.__getitem__, pieces)) for pieces in cut]
-        counts = np.fromiter(map(len, ids), np.int64, len(ids)) // self.kind.itemsize
-        return np.frombuffer(b"".join(ids), self.kind).astype(np.uint32), counts
+        plain, other = [], []
+        for p in self.pieces.missing(chain.from_iterable(cut)):
+            (plain if _EASY.fullmatch(p) and _PIECE.fullmatch(p) else other).append(p)
+        if plain:
+            young.update(zip(plain, self._each(plain), strict=True))
+        if other:
+            young.update(zip(other, super()._each(other), strict=True))
+        return self._joined([b"".join(map(young.__getitem__, pieces)) for pieces in cut])
 
 
-def _encoder(path: str) -> PieceEncoder:
+def _encoder(path: str) -> WholeEncoder:
     if path not in _encoders:
-        _encoders[path] = PieceEncoder(path)
+        with open(path, encoding="utf-8") as file:
+            said = json.load(file)
+        word_end = said["model"].get("end_of_word_suffix")
+        known = said.get("normalizer") == _NORMALIZER and said.get("pre_tokenizer") == _PRETOKENIZER
+        _encoders[path] = PieceEncoder(path, word_end) if known and word_end else WholeEncoder(path)
     return _encoders[path]
 
 

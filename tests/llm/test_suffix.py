@@ -42,7 +42,7 @@ def corpus(seed):
     return docs
 
 
-@pytest.mark.parametrize(("groups", "part", "at_once"), [(256, 8 << 20, 4000), (2, 3000, 7)])
+@pytest.mark.parametrize(("groups", "part", "at_once"), [(4096, 1 << 20, 4000), (2, 3000, 7), (12, 3000, 50)])
 def test_repeats_match_plain_counting(spark, monkeypatch, groups, part, at_once):
     monkeypatch.setattr(suffix_dedup, "GROUP_RUNS", groups)
     monkeypatch.setattr(suffix_dedup, "PART", part)
@@ -61,6 +61,26 @@ def test_awkward_rows(spark):
     assert suffix_dedup.remove_repeats(awkward(spark, [])).count() == 0
 
 
+def test_a_very_long_text(spark):
+    rng = random.Random(4)
+    text = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(n))
+    passage, start, middle, end = text(60), text(500_000), text(300_000), text(10)
+    rows = [(1, f"{start}1{passage}2{middle}3{passage}4{end}"), (2, f"{end}/{passage}/"), (3, "ab" * 1_500_000), (4, None)]
+    got = {r.doc_id: r for r in suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert bytes(got[1].kept).decode() == f"{start}12{middle}34{end}" and (got[1].n_spans, got[1].n_removed) == (2, 2 * len(passage))
+    assert bytes(got[2].kept).decode() == f"{end}//" and got[3].n_removed == 3_000_000 and got[4].n_bytes == 0
+
+
+def test_a_passage_in_very_many_contexts(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "GROUP_RUNS", 20)
+    rng = random.Random(5)
+    text = lambda n: " ".join("".join(rng.choice("abcd") for _ in range(4)) for _ in range(n))
+    passage = text(70)
+    docs = [(i, text(rng.randrange(45)) + passage[rng.randrange(30) : 350 - rng.randrange(90)] + text(rng.randrange(45))) for i in range(400)]
+    got = suffix_dedup.remove_repeats(spark.createDataFrame(docs, "doc_id bigint, text string").repartition(7)).collect()
+    assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in got) == plain(docs)
+
+
 def test_suffixes_are_sorted_within_segments():
     rng = np.random.default_rng(3)
     raw = np.concatenate([rng.integers(97, 99, 3000).astype(np.uint8)] * 2 + [np.zeros(200, np.uint8)])

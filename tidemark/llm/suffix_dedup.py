@@ -4,17 +4,22 @@ Sorting every suffix of a corpus is not needed to find its long repeats. Two equ
 ANCHOR-byte substring of least hash, at the same offset, so only suffixes whose anchor occurs elsewhere can repeat:
 
 1. Runs. Prefix polynomial hashes give the hash of any substring in a few operations; a sliding minimum finds the
-   anchor of each start. Consecutive starts with one anchor are a run. A run's `key` is its anchor's hash and its `ctx`
-   the hash of all bytes that its strings cover. A key that occurs once ends there, which is most of them.
-2. Whole repeats. Of a key with one ctx, or for a ctx that occurs twice, every start of the run repeats.
-3. Open runs. A key with several ctx (the ends of a shared passage, an edited copy) has one run of each ctx, with its
+   anchor of each start. Consecutive starts with one anchor are a run. A run's `key` is its anchor's hash; `ctx` and `alt`
+   are two unrelated 64-bit hashes (the polynomial one and XXH3) of all bytes that its strings cover. A key that occurs
+   once ends there, which is most of them.
+2. Whole repeats. Of a key with one context, or for a context that occurs twice, every start of the run repeats.
+3. Open runs. A key with several contexts (the ends of a shared passage, an edited copy) has one run of each, with its
    bytes, brought together by key, and there the suffixes at their starts are sorted: a mergesort whose comparisons
    find the common extension of two suffixes by binary search on the prefix hashes. Neighbours with a common extension
-   of LENGTH are confirmed byte by byte. A key with very many ctx is dealt out over several groups; what a group cannot
-   decide alone (strings that are single in it) is decided by counting 128-bit digests over the groups of that key.
+   of LENGTH are confirmed byte by byte.
+4. Wide keys. Where a key has more contexts than one group takes, its runs are cut into pieces of fewer offsets to the
+   anchor, and a piece's new key is the hash of the bytes that all its strings share, so equal strings stay in one group.
+   Pieces that are equal are whole repeats again; the others go to the sort, or are cut finer. At one offset a piece is
+   one string.
 
-Counts are partial aggregates and large keys are dealt out, so no passage, however common, comes to one task. Texts
-travel twice, compressed, to the intervals of their documents.
+Counts are partial aggregates and wide keys are dealt out, so no passage, however common, comes to one task. Texts
+travel twice, compressed, to the intervals of their documents. What the sort decides is verified byte by byte; whole
+repeats rest on 128 bits of two hashes of their bytes (beside the anchor's).
 
 Defined cases: null and texts shorter than LENGTH lose nothing; rows that repeat an id are separate documents (so a
 repeated row repeats all its strings); null ids are kept. Other columns of the input are not read.
@@ -23,6 +28,7 @@ repeated row repeats all its strings); null ids are kept. Other columns of the i
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -31,15 +37,20 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import materialize
+from tidemark.llm.common import discard, materialize
 
 LENGTH, ANCHOR = 200, 32
 #: Bytes that are hashed at once (below 2 ** 24), runs of a key in one group, runs that are sorted at once.
-PART, GROUP_RUNS, SORTED_RUNS = 8 << 20, 256, 4000
+PART, GROUP_RUNS, SORTED_RUNS = 1 << 20, 4096, 4000
+#: Offsets of a piece of a wide key's runs, one level after another; a run has at most LENGTH - ANCHOR + 1.
+WIDTHS = (43, 11, 3, 1)
+#: Bytes of remaining text in one Arrow batch, about.
+OUT_BYTES = 4 << 20
 BASE = 0x9E3779B97F4A7C15
 _U = np.uint64
 
 
+@lru_cache(maxsize=8)
 def _powers(base: int, n: int) -> np.ndarray:
     out = np.full(n + 1, base, _U)
     out[0] = 1
@@ -51,9 +62,10 @@ class PrefixHashes:
 
     def __init__(self, raw: np.ndarray, base: int = BASE):
         n = len(raw)
+        whole = n + -n % (1 << 18)  # so that few lengths of powers are remembered
         self.sums = np.zeros(n + 1, _U)
-        np.cumsum((raw.astype(_U) + _U(1)) * _powers(base, n)[:n], out=self.sums[1:])
-        self.back = _powers(pow(base, -1, 1 << 64), n)
+        np.cumsum((raw.astype(_U) + _U(1)) * _powers(base, whole)[:n], out=self.sums[1:])
+        self.back = _powers(pow(base, -1, 1 << 64), whole)
 
     def of(self, start: np.ndarray, length) -> np.ndarray:
         return (self.sums[start + length] - self.sums[start]) * self.back[start]
@@ -67,7 +79,7 @@ def mixed(h: np.ndarray) -> np.ndarray:
 
 def find_runs(raw: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, ...]:
     """Of documents that lie one after another in raw: (first start, number of starts, offset of the anchor from the
-    first start, key, ctx) of every run; positions are in raw."""
+    first start, key, ctx, alt) of every run; positions are in raw."""
     hashes = PrefixHashes(raw)
     h = mixed(hashes.of(np.arange(max(0, len(raw) - ANCHOR + 1)), ANCHOR))
     window = LENGTH - ANCHOR + 1
@@ -87,7 +99,10 @@ def find_runs(raw: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, ...]:
     first, count = first[inside[first]], count[inside[first]]
     at = anchor[first]
     ctx = mixed(hashes.of(first, count + (LENGTH - 1)) + count.astype(_U) * _U(BASE))
-    return first, count, at - first, h[at], ctx
+    digest, view = xxhash.xxh3_64_intdigest, memoryview(raw)
+    ends = first + count + (LENGTH - 1)
+    alt = np.fromiter((digest(view[a:b]) for a, b in zip(first.tolist(), ends.tolist(), strict=True)), _U, len(first))
+    return first, count, at - first, h[at], ctx, alt
 
 
 def _pieces(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -115,22 +130,22 @@ def _joined(held: list) -> tuple:
 
 
 def runs(docs: DataFrame) -> DataFrame:
-    """(doc_id, mark, key, ctx, start, n, anchor) of every run of docs (doc_id, mark, text)."""
+    """(doc_id, mark, key, ctx, alt, start, n, anchor) of every run of docs (doc_id, mark, text)."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "mark", "key", "ctx", "start", "n", "anchor"]
+        names = ["doc_id", "mark", "key", "ctx", "alt", "start", "n", "anchor"]
         for batch in batches:
             for raw, lengths, which, offset in _pieces(batch["text"].to_pylist()):
-                first, count, anchor, key, ctx = find_runs(raw, lengths)
+                first, count, anchor, key, ctx, alt = find_runs(raw, lengths)
                 begin = np.cumsum(lengths) - lengths
                 piece = np.searchsorted(begin, first, "right") - 1
                 take = pa.array(which[piece])
                 start = first - begin[piece] + offset[piece]
-                numbers = [pa.array(key.view(np.int64)), pa.array(ctx.view(np.int64)), *(pa.array(x.astype(np.int32)) for x in (start, count, anchor))]
+                numbers = [*(pa.array(x.view(np.int64)) for x in (key, ctx, alt)), *(pa.array(x.astype(np.int32)) for x in (start, count, anchor))]
                 yield pa.RecordBatch.from_arrays([batch["doc_id"].take(take), batch["mark"].take(take), *numbers], names)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "mark", "text").mapInArrow(of, f"doc_id {kind}, mark bigint, key bigint, ctx bigint, start int, n int, anchor int")
+    return docs.select("doc_id", "mark", "text").mapInArrow(of, f"doc_id {kind}, mark bigint, key bigint, ctx bigint, alt bigint, start int, n int, anchor int")
 
 
 def common_extension(hashes: PrefixHashes, a: np.ndarray, b: np.ndarray, most: int = LENGTH) -> np.ndarray:
@@ -189,8 +204,8 @@ def repeated_starts(raw: np.ndarray, starts: np.ndarray, segment: np.ndarray) ->
     new = np.ones(len(s), bool)
     near = np.flatnonzero(segment[1:] == segment[:-1]) + 1
     near = near[common_extension(hashes, s[near], s[near - 1]) == LENGTH]
-    for i in range(0, len(near), 50_000):  # collisions of hashes end here
-        part = near[i : i + 50_000]
+    for i in range(0, len(near), 5000):  # collisions of hashes end here
+        part = near[i : i + 5000]
         span = np.arange(LENGTH)
         new[part] = (raw[s[part][:, None] + span] != raw[s[part - 1][:, None] + span]).any(1)
     found = np.empty(len(s), np.int64)
@@ -198,24 +213,22 @@ def repeated_starts(raw: np.ndarray, starts: np.ndarray, segment: np.ndarray) ->
     return found
 
 
-_OPEN = "key bigint, salt int, groups int, doc_id {kind}, mark bigint, start int, n int, anchor int, single boolean, raw binary"
-_FOUND = "doc_id {kind}, mark bigint, start int, n int, h1 bigint, h2 bigint, seen int"
+_OPEN = "key bigint, doc_id {kind}, mark bigint, start int, n int, anchor int, single boolean, raw binary"
 
 
 def _resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Open runs, sorted by key and salt, to the starts among them that repeat: ranges (h1 null), and for keys in
-    several groups the digests of their strings, with how often each was seen (2: at least twice)."""
+    """Open runs, sorted by key, to the ranges (doc_id, mark, start, n) of their starts whose strings repeat. Runs that
+    are not single are only there for others to be found equal to."""
     held: list[pa.RecordBatch] = []
 
     def work(table: pa.Table) -> pa.RecordBatch:
-        rows = [table[c].to_numpy() for c in ("key", "salt", "groups", "start", "n", "anchor", "single")]
-        key, salt, groups, start, n, anchor, single = rows
+        key, start, n, anchor, single = (table[c].to_numpy() for c in ("key", "start", "n", "anchor", "single"))
         parts = table["raw"].to_pylist()
         raw = np.frombuffer(b"".join(parts) + bytes(LENGTH), np.uint8)
         begin = np.cumsum([len(p) for p in parts]) - [len(p) for p in parts]
         owner = np.repeat(np.arange(len(n)), n)
         step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        group = np.cumsum(np.concatenate(([0], (key[1:] != key[:-1]) | (salt[1:] != salt[:-1])))) if len(key) else key
+        group = np.cumsum(np.concatenate(([0], key[1:] != key[:-1])))
         # equal strings have their anchor at one offset
         segment = group[owner] * 1024 + (anchor[owner] - step)
         order = np.argsort(segment, kind="stable")
@@ -229,42 +242,30 @@ def _resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         twin[1:] |= equal
         twin[:-1] |= equal
         live = order[np.sort(pair[twin])]
-        multiple = np.zeros(len(at), bool)
-        leader = np.zeros(len(at), bool)
+        hit = np.zeros(len(at), bool)
         if len(live):
             classes = repeated_starts(raw, at[live], segment[live])
-            counts = np.bincount(classes)
-            multiple[live] = counts[classes] > 1
-            leader[live[np.unique(classes, return_index=True)[1]]] = True
-        hit = multiple & single[owner]
+            hit[live] = np.bincount(classes)[classes] > 1
+        hit &= single[owner]
         edge = np.flatnonzero(hit & ~np.concatenate(([False], hit[:-1] & (owner[1:] == owner[:-1]))))
         ends = np.flatnonzero(hit & ~np.concatenate((hit[1:] & (owner[1:] == owner[:-1]), [False])))
-        wide = (groups[owner] > 1) & (leader | ~multiple)
-        told = np.flatnonzero(wide)
-        take = pa.array(np.concatenate([owner[edge], owner[told]]))
-        firsts = np.concatenate([start[owner[edge]] + step[edge], start[owner[told]] + step[told]]).astype(np.int32)
-        lengths = np.concatenate([ends - edge + 1, np.ones(len(told), np.int64)]).astype(np.int32)
-        digests = np.array([divmod(xxhash.xxh3_128_intdigest(raw[p : p + LENGTH]), 1 << 64) for p in at[told]], dtype=object).reshape(-1, 2)
-        signed = lambda c: pa.array([None] * len(edge) + [int(x) - (1 << 64) if x >> 63 else int(x) for x in digests[:, c]], pa.int64())
-        seen = np.concatenate([np.zeros(len(edge)), np.where(multiple[told], 2, np.where(single[owner[told]], 1, 2))]).astype(np.int32)
-        ids = table.combine_chunks()
-        return pa.RecordBatch.from_arrays(
-            [ids["doc_id"].combine_chunks().take(take), ids["mark"].combine_chunks().take(take), pa.array(firsts), pa.array(lengths), signed(0), signed(1), pa.array(seen)],
-            ["doc_id", "mark", "start", "n", "h1", "h2", "seen"],
-        )
+        take = pa.array(owner[edge])
+        ids = [table[c].combine_chunks().take(take) for c in ("doc_id", "mark")]
+        numbers = [pa.array(x.astype(np.int32)) for x in (start[owner[edge]] + step[edge], ends - edge + 1)]
+        return pa.RecordBatch.from_arrays([*ids, *numbers], ["doc_id", "mark", "start", "n"])
 
     for batch in batches:
         held.append(batch)
         if sum(map(len, held)) < SORTED_RUNS:
             continue
         table = pa.Table.from_batches(held)
-        key, salt = table["key"].to_numpy(), table["salt"].to_numpy()
-        last = np.flatnonzero((key != key[-1]) | (salt != salt[-1]))
+        key = table["key"].to_numpy()
+        last = np.flatnonzero(key != key[-1])
         whole = int(last[-1]) + 1 if len(last) else 0  # the last group may go on
         at = 0
         while at < whole:
             end = min(at + SORTED_RUNS, whole)
-            while end < whole and key[end] == key[end - 1] and salt[end] == salt[end - 1]:
+            while end < whole and key[end] == key[end - 1]:
                 end += 1
             yield work(table.slice(at, end - at))
             at = end
@@ -273,6 +274,56 @@ def _resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield work(pa.Table.from_batches(held))
 
 
+def _finer(wide: DataFrame, width: int) -> DataFrame:
+    """Open runs cut into pieces of `width` offsets: (key, ctx, alt, doc_id, mark, start, n, anchor, single, raw), where
+    key is the hash of the bytes that all strings at a piece's offsets share, ctx and alt of the piece's bytes."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["key", "ctx", "alt", "doc_id", "mark", "start", "n", "anchor", "single", "raw"]
+        for batch in batches:
+            key, start, n, anchor = (batch[c].to_numpy() for c in ("key", "start", "n", "anchor"))
+            made, owner = [], []
+            for i, raw in enumerate(batch["raw"].to_pylist()):
+                a, first = 0, int(anchor[i])  # the offset of step a is first - a
+                while a < n[i]:
+                    low = (first - a) // width * width
+                    b = min(int(n[i]), first - low + 1)
+                    core, piece = raw[first - low : first - low - width + 1 + LENGTH], raw[a : b + LENGTH - 1]
+                    high, rest = divmod(xxhash.xxh3_128_intdigest(piece, first - a), 1 << 64)
+                    made.append((xxhash.xxh3_64_intdigest(core, int(key[i]) & (1 << 64) - 1), high, rest, start[i] + a, b - a, first - a, piece))
+                    owner.append(i)
+                    a = b
+            columns = list(zip(*made, strict=True)) or [()] * 7
+            take = pa.array(owner, pa.int64())
+            hashes = [pa.array(np.array(c, _U).view(np.int64)) for c in columns[:3]]
+            numbers = [pa.array(np.array(c, np.int32)) for c in columns[3:6]]
+            yield pa.RecordBatch.from_arrays([*hashes, batch["doc_id"].take(take), batch["mark"].take(take), *numbers, batch["single"].take(take), pa.array(columns[6], pa.binary())], names)
+
+    kind = wide.schema["doc_id"].dataType.simpleString()
+    return wide.mapInArrow(cut, f"key bigint, ctx bigint, alt bigint, doc_id {kind}, mark bigint, start int, n int, anchor int, single boolean, raw binary")
+
+
+def _dealt(wide: DataFrame) -> tuple[list[DataFrame], list[DataFrame]]:
+    """Runs of wide keys to (ranges that repeat, runs for the sort in groups of GROUP_RUNS at most)."""
+    ranges, sortable = [], []
+    for width in WIDTHS:
+        pieces = materialize(_finer(wide, width).withColumn("piece", F.monotonically_increasing_id()), "suffix-pieces")
+        kinds = materialize(pieces.groupBy("key", "ctx", "alt").agg(F.count(F.lit(1)).alias("often"), F.min("piece").alias("piece")), "suffix-kinds")
+        twice = kinds.where("often > 1").select("key", "ctx", "alt")
+        ranges.append(pieces.where("single").join(twice, ["key", "ctx", "alt"]).select("doc_id", "mark", "start", "n"))
+        if width == 1:  # different strings
+            break
+        sizes = kinds.groupBy("key").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
+        firsts = kinds.select("key", "piece", "often").join(sizes, "key").select("piece", "often", "kinds")
+        own = pieces.join(firsts, "piece").withColumn("single", F.col("single") & (F.col("often") == 1))
+        own = materialize(own.select("key", "doc_id", "mark", "start", "n", "anchor", "single", "raw", "kinds"), "suffix-finer")
+        sortable.append(own.where(F.col("kinds") <= GROUP_RUNS).drop("kinds"))
+        wide = own.where(F.col("kinds") > GROUP_RUNS).drop("kinds")
+        if wide.isEmpty():
+            break
+    return ranges, sortable
+
+
 def _packed(docs: DataFrame) -> DataFrame:
     """docs with the text as zstandard-compressed UTF-8."""
 
@@ -294,22 +345,25 @@ def _with_lists(docs: DataFrame, lists: DataFrame, how: str) -> DataFrame:
 def repeats(docs: DataFrame) -> DataFrame:
     """(doc_id, mark, start, n): for documents (doc_id, mark, text), ranges of starts whose strings start elsewhere."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    found = runs(docs)
-    keys = found.groupBy("key").agg(F.count(F.lit(1)).alias("often"), F.min("ctx").alias("c1"), F.max("ctx").alias("c2"))
-    keys = materialize(keys.where("often > 1").select("key", (F.col("c1") != F.col("c2")).alias("several")), "suffix-keys")
-    shared = materialize(found.join(keys, "key"), "suffix-runs")
+    found = materialize(runs(docs), "suffix-runs")
+    ends = [f(c).alias(f"{c}_{f.__name__}") for c in ("ctx", "alt") for f in (F.min, F.max)]
+    keys = found.groupBy("key").agg(F.count(F.lit(1)).alias("often"), *ends).where("often > 1")
+    keys = materialize(keys.select("key", F.expr("ctx_min <> ctx_max OR alt_min <> alt_max").alias("several")), "suffix-keys")
+    shared = materialize(found.join(keys, "key"), "suffix-shared")
+    discard(found)
     several = shared.where("several")
     own = F.struct("doc_id", "mark", "start", "n", "anchor")
-    kinds = materialize(several.groupBy("key", "ctx").agg(F.count(F.lit(1)).alias("often"), F.min_by(own, F.struct("mark", "start")).alias("own")), "suffix-kinds")
-    whole = shared.where("NOT several").unionByName(several.join(kinds.where("often > 1").select("key", "ctx"), ["key", "ctx"]), allowMissingColumns=True)
+    kinds = materialize(several.groupBy("key", "ctx", "alt").agg(F.count(F.lit(1)).alias("often"), F.min_by(own, F.struct("mark", "start")).alias("own")), "suffix-kinds")
+    twice = kinds.where("often > 1").select("key", "ctx", "alt")
+    whole = shared.where("NOT several").unionByName(several.join(twice, ["key", "ctx", "alt"]), allowMissingColumns=True)
 
-    groups = kinds.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / GROUP_RUNS).cast("int").alias("groups"))
-    salt = F.pmod(F.xxhash64("own"), F.col("groups")).cast("int").alias("salt")
-    open_ = kinds.join(groups, "key").select("own.doc_id", "own.mark", F.struct("key", salt, "groups", "own.start", "own.n", "own.anchor", (F.col("often") == 1).alias("single")).alias("item"))
+    groups = kinds.groupBy("key").agg((F.count(F.lit(1)) > GROUP_RUNS).alias("wide"))
+    item = F.struct("key", "wide", "own.start", "own.n", "own.anchor", (F.col("often") == 1).alias("single"))
+    open_ = kinds.join(groups, "key").select("own.doc_id", "own.mark", item.alias("item"))
     lists = open_.groupBy("doc_id", "mark").agg(F.collect_list("item").alias("items"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fields = ["key", "salt", "groups", "start", "n", "anchor", "single"]
+        fields = ["key", "wide", "start", "n", "anchor", "single"]
         read = zstandard.ZstdDecompressor()
         for batch in batches:
             items = batch["items"]
@@ -322,19 +376,15 @@ def repeats(docs: DataFrame) -> DataFrame:
                 at += size
             take = pa.array(np.repeat(np.arange(len(batch)), sizes))
             got = {f: flat.field(f) for f in fields} | {"doc_id": batch["doc_id"].take(take), "mark": batch["mark"].take(take), "raw": pa.array(raws, pa.binary())}
-            order = ["key", "salt", "groups", "doc_id", "mark", "start", "n", "anchor", "single", "raw"]
+            order = ["wide", "key", "doc_id", "mark", "start", "n", "anchor", "single", "raw"]
             yield pa.RecordBatch.from_arrays([got[c] for c in order], order)
 
-    pieces = _with_lists(docs, lists, "inner").mapInArrow(cut, _OPEN.format(kind=kind))
-    sorted_ = pieces.repartition("key", "salt").sortWithinPartitions("key", "salt")
-    resolved = materialize(sorted_.mapInArrow(_resolve, _FOUND.format(kind=kind)), "suffix-found")
-    ranges = resolved.where("h1 IS NULL")
-    wide = resolved.where("h1 IS NOT NULL")
-    again = wide.groupBy("h1", "h2").agg(F.sum("seen").alias("times")).where("times > 1").select("h1", "h2")
-    # as a table of its own: a join with an aggregate in the same stage can't have its large keys split
-    late = wide.where("seen = 1").join(materialize(again, "suffix-again"), ["h1", "h2"])
-    columns = ["doc_id", "mark", "start", "n"]
-    return whole.select(columns).unionByName(ranges.select(columns)).unionByName(late.select(columns))
+    pieces = materialize(_with_lists(docs, lists, "inner").mapInArrow(cut, f"wide boolean, {_OPEN.format(kind=kind)}"), "suffix-open")
+    wide = pieces.where("wide").drop("wide")
+    ranges, sortable = ([], []) if wide.isEmpty() else _dealt(wide)
+    groups = reduce(DataFrame.unionByName, sortable, pieces.where("NOT wide").drop("wide"))
+    resolved = groups.repartition("key").sortWithinPartitions("key").mapInArrow(_resolve, f"doc_id {kind}, mark bigint, start int, n int")
+    return reduce(DataFrame.unionByName, ranges, whole.select("doc_id", "mark", "start", "n").unionByName(resolved))
 
 
 def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -354,9 +404,9 @@ def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text") -> D
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         read = zstandard.ZstdDecompressor()
         for batch in batches:
-            rows = []
-            for packed, items in zip(batch["packed"].to_pylist(), batch["items"], strict=True):
-                raw = read.decompress(packed)
+            rows, size, done = [], 0, 0
+            for i, packed in enumerate(batch["packed"]):
+                raw, items = read.decompress(packed.as_py()), batch["items"][i]
                 kept, at, removed, spans = [], 0, 0, 0
                 if items.is_valid:
                     start, n = (items.values.field(f).to_numpy().astype(np.int64) for f in ("start", "n"))
@@ -369,8 +419,11 @@ def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text") -> D
                         removed, spans, at = removed + b - a, spans + 1, b
                 kept.append(raw[at:])
                 rows.append((len(raw), removed, spans, b"".join(kept)))
-            columns = [pa.array([r[i] for r in rows], pa.int64() if i < 3 else pa.binary()) for i in range(4)]
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], *columns], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
+                size += len(raw)
+                if size > OUT_BYTES or i == len(batch) - 1:
+                    columns = [pa.array([r[k] for r in rows], pa.int64() if k < 3 else pa.binary()) for k in range(4)]
+                    yield pa.RecordBatch.from_arrays([batch["doc_id"].slice(done, len(rows)), *columns], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
+                    rows, size, done = [], 0, i + 1
 
     kind = named.schema["doc_id"].dataType.simpleString()
     return _with_lists(named, lists, "left").mapInArrow(cut, f"doc_id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")

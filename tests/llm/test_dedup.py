@@ -125,6 +125,15 @@ def test_line_dedup_is_reversible(spark):
     assert Counter(rows(third.counts)) == Counter(rows(first.counts))
 
 
+def test_an_insertion_far_beyond_the_first_build(spark):
+    make = lambda a, b: spark.createDataFrame([(i, f"line {i % 400}\nother {i}", "en") for i in range(a, b)], "doc_id bigint, text string, lang string")
+    first = line_dedup.LineDedup.build(make(0, 430), 2)
+    grown = first.insert(make(430, 4000))
+    all_docs = make(0, 4000)
+    assert Counter(rows(grown.apply(all_docs))) == plain_lines([tuple(r) for r in all_docs.collect()], 2)
+    assert Counter(rows(grown.delete(make(430, 4000)).apply(make(0, 430)))) == plain_lines([tuple(r) for r in make(0, 430).collect()], 2)
+
+
 def test_cuckoo_filter_keeps_and_forgets():
     rng = np.random.default_rng(4)
     h = rng.integers(-(2**63), 2**63, (4000, 2), dtype=np.int64)

@@ -179,6 +179,16 @@ def test_bisection_meets_its_targets():
     assert min(limited.budgets[s] - n for s, n in tokens.items()) >= -1
 
 
+def test_mixing_takes_equal_rows_one_by_one(spark):
+    data = [(1, "w " * 10, "a")] * 400 + [(i, "w " * 10, "b") for i in range(2, 202)]
+    df = spark.createDataFrame(data, "doc_id bigint, text string, source string")
+    mixed, plan = mixing.mix(df, target_entropy=0.69, budget=5000)
+    spent = Counter()
+    for r in mixed.collect():
+        spent[r.source] += r["__tokens"] * r["__copies"]
+    assert all(0 <= spent[s] - plan.budgets[s, False] < 10 for s in "ab"), (spent, plan.budgets)
+
+
 def test_mixing_spends_each_budget(spark):
     rng = random.Random(7)
     data = [(i, " ".join(["w"] * rng.randrange(1, 30)), rng.choice("aaaaaaaab") if i % 9 else None) for i in range(3000)]

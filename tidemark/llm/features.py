@@ -16,13 +16,14 @@ PART_BYTES = 4_000_000
 
 def bounded_sample(rows: DataFrame, label: str, per_class: int, key: str = "doc_id") -> DataFrame:
     """About per_class rows of each class, fewer where there are fewer, chosen by a hash of the key: first the classes
-    are counted over all rows, then each class keeps a share of the hash's range. No class is gathered or sorted."""
-    sizes = {r[label]: r["n"] for r in rows.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n")).limit(1000).collect()}
+    are counted over all rows, then each class keeps a share of the hash's range. No class is gathered or sorted; a number
+    for each class comes to the driver, where a model has a column for each."""
+    sizes = {r[label]: r["n"] for r in rows.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
+    if not sizes:
+        return rows.where("false")
     spread = F.pmod(F.xxhash64(F.lit("sample"), F.col(key)), F.lit(1_000_000))
-    share = F.lit(0)
-    for value, n in sizes.items():
-        share = F.when(F.col(label) == F.lit(value), F.lit(min(1_000_000, round(1_000_000 * per_class / n)))).otherwise(share)
-    return rows.where(spread < share)
+    shares = F.create_map(*[F.lit(x) for value, n in sizes.items() for x in (value, min(1_000_000, -(-1_000_000 * per_class // n)))])
+    return rows.where(spread < F.element_at(shares, F.col(label)))
 
 
 def sampled_labels(labels: DataFrame, label: str, per_class: int, id: str = "doc_id") -> tuple[DataFrame, dict]:

@@ -82,7 +82,7 @@ class Languages:
 
 def fit(rows: DataFrame, label: str = "lang", id: str = "doc_id", text: str = "text", ridge: float = 1e-2) -> Languages:
     named = rows.select(F.col(id).alias("doc_id"), F.col(text).alias("text"), F.col(label).alias("label")).where("label IS NOT NULL AND text IS NOT NULL")
-    kinds = max(1, named.select("label").distinct().limit(1000).count())
+    kinds = max(1, named.select("label").distinct().count())
     sample = bounded_sample(named, "label", min(PER_CLASS, ROWS // kinds))
     got = score_texts(sample, lambda texts: {"x": [b.tobytes() for a, z in _groups(texts) for b in np.packbits(presence(texts[a:z]), axis=1)]}, "x binary", "doc_id", "text", {"label": F.col("label")})
     got = got.toArrow().sort_by("doc_id")

@@ -7,7 +7,8 @@ Bloom filter, can forget a key, so a deletion that takes a key below the thresho
 filter answer of "no" is final; a "yes" is confirmed against `counts`.
 
 Defined cases: a null or empty text is one empty line, and empty keys are never dropped. Each row counts as one
-document, also where rows repeat a doc_id. Null ids are kept. Other columns of the input are not read.
+document, also where rows repeat a doc_id. Null ids are kept. Other columns of the input are not read. A change that
+outgrows a shard's filter builds that filter anew from the exact counts.
 """
 
 from __future__ import annotations
@@ -142,11 +143,14 @@ def update_filters(filters: DataFrame, before: DataFrame, after: DataFrame, min_
             if step < 0:
                 held.delete(h1, h2)
             elif not held.insert(h1, h2):
-                raise OverflowError("a shard's filter is full: build the filters anew from the counts")
+                return pd.DataFrame({"shard": [shard], "filter": [None]})  # full
         return pd.DataFrame({"shard": [shard], "filter": [held.table.tobytes()]})
 
     grouped = filters.groupBy("shard").cogroup(changes.groupBy("shard"))
-    return grouped.applyInPandas(change, "shard int, filter binary")
+    changed = materialize(grouped.applyInPandas(change, "shard int, filter binary"), "line-changes")
+    full = changed.where("filter IS NULL").select("shard")
+    anew = build_filters(after.withColumn("shard", _shard(shards)).join(full, "shard", "left_semi").select("h1", "h2", "n_docs"), min_docs, shards)
+    return changed.where("filter IS NOT NULL").unionByName(anew)
 
 
 def frequent_keys(keys: DataFrame, counts: DataFrame, filters: DataFrame, min_docs: int, shards: int) -> DataFrame:

@@ -12,8 +12,8 @@ third of the corpus is never gathered; only the one block of each source in whic
 document. What comes back to the documents is one row a source, the place in the permutation where its budget ends.
 
 Defined cases: a null source is a source of its own; null and empty texts have no tokens and are taken as often as
-whole passes say; rows that repeat an id are taken or left one by one; null ids are kept like others; an empty corpus
-gives no rows. Extra columns of the input are kept.
+whole passes say; rows that repeat an id, or all of a row, are taken or left one by one; null ids are kept like others;
+an empty corpus gives no rows. Extra columns of the input are kept.
 """
 
 from __future__ import annotations
@@ -126,15 +126,23 @@ def mix(docs: DataFrame, target_entropy: float | None = None, max_repeat: float
     end = F.broadcast(materialize(end.select("name", "none", F.col("end.turn").alias("turn"), F.col("end.block").alias("block"), F.col("end.before").alias("before")), "mix-ends"))
     inside = placed.join(end, ["name", "none", "turn", "block"])
     by_order = Window.partitionBy("name", "none").orderBy("order").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    taken = inside.withColumn("before", F.col("before") + F.sum("tokens").over(by_order) - F.col("tokens")).where("before < rest")
-    cut = taken.groupBy("name", "none").agg(F.max(F.struct("turn", "block", "order")).alias("cut"))
+    # equal rows stand at one place; `many` of those at the last place are taken
+    one = inside.groupBy("name", "none", "turn", "block", "order", "before", "rest").agg(F.sum("tokens").alias("size"), F.max("tokens").alias("tokens"))
+    taken = one.withColumn("before", F.col("before") + F.sum("size").over(by_order) - F.col("size")).where("before < rest")
+    many = F.coalesce(F.ceil(F.try_divide(F.col("rest") - F.col("before"), F.col("tokens"))), F.lit((1 << 63) - 1))
+    cut = taken.groupBy("name", "none").agg(F.max(F.struct("turn", "block", "order", many.alias("many"))).alias("cut"))
     cut = materialize(facts.join(cut, ["name", "none"], "left"), "mix-cuts")
     cut = F.broadcast(cut.select(*[F.col(c).alias(f"__{c}") for c in cut.columns]))
 
-    rows = docs.withColumns({"__name": key[0], "__none": key[1], "__tokens": size, "__order": order}).join(cut, ["__name", "__none"])
+    rows = docs.withColumns({"__name": key[0], "__none": key[1], "__order": order}).join(cut, ["__name", "__none"])
     here = F.struct(*places("__"), F.col("__order").alias("order"))
-    more = F.when(F.col("__cut").isNotNull() & (here <= F.col("__cut")), 1).otherwise(0)
-    return rows.select(*docs.columns, "__tokens", (F.col("__passes") + more).alias("__copies"), F.col("__weight")), made
+    last = F.struct("__cut.turn", "__cut.block", "__cut.order")
+    at_cut = F.coalesce(F.col("__cut").isNotNull() & (here == last), F.lit(False))
+    plain = rows.where(~at_cut).withColumn("__more", F.when(F.col("__cut").isNotNull() & (here < last), 1).otherwise(0))
+    same = F.row_number().over(Window.partitionBy("__name", "__none").orderBy("__order"))  # few: rows equal to the last one
+    edge = rows.where(at_cut).withColumn("__more", F.when(same <= F.col("__cut.many"), 1).otherwise(0))
+    mixed = plain.unionByName(edge)
+    return mixed.select(*docs.columns, size.alias("__tokens"), (F.col("__passes") + F.col("__more")).alias("__copies"), F.col("__weight")), made
 
 
 def repeated(mixed: DataFrame) -> DataFrame:

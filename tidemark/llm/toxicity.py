@@ -8,7 +8,8 @@ third, weighted back to the classes' true shares. Counting the lexicon and makin
 driver sees the strongest `LEXICON` words and a few dozen numbers for each sampled row.
 
 Defined cases: null is scored like the empty text; every row is scored, also where rows repeat an id; with labels of
-one class only, or none, every score is that class's share (0 without labels).
+one class only, or none, every score is that class's share (0 without labels); likewise where the sampled documents of
+the trees' part are all of one class. Where the third part lacks a class, calibration uses the second part's rows.
 """
 
 from __future__ import annotations
@@ -218,7 +219,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, id: str = "doc_id", text
     extra = {"label": F.col("label"), "part": F.col("part")}
     got = score_texts(sample.where("part >= 5"), lambda texts: {"x": [lexicon.features(t) for t in texts]}, "x array<double>", "doc_id", "text", extra).toArrow().sort_by("doc_id")
     y, part = got["label"].to_numpy().astype(float), got["part"].to_numpy()
-    if len(y) < 40 or len(set(y[part < 8])) < 2:
+    if len(set(y[part < 8])) < 2:
         return Toxicity(lexicon, None, (np.zeros(1), np.zeros(1)), totals[1] / sum(totals.values()))
     x = np.stack(got["x"].to_numpy())
     trees = boost(x[part < 8], y[part < 8])

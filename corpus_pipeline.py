@@ -38,10 +38,13 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no window of a benchmark item occurs."""
-    found = decontamination.hits(docs.select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
-    dirty = found.where(F.size("spans") > 0).select(F.col("doc_id").alias("__dirty"))
-    return docs.join(dirty, F.col("doc_id").eqNullSafe(F.col("__dirty")), "left_anti")
+    """Documents in which no window of a benchmark item occurs. Each row is judged by itself: of rows that share an id, or
+    have none, only those go that hold a window."""
+    named = docs.select(F.struct("doc_id", simhash.row_digest(docs).alias("row")).alias("__id"), "text")
+    found = decontamination.hits(named, table(spark, sf_dir, "benchmark"), id="__id")
+    dirty = found.where(F.size("spans") > 0).select(F.col("doc_id.doc_id").alias("__dirty"), F.col("doc_id.row").alias("__dirty_row"))
+    same = F.col("doc_id").eqNullSafe(F.col("__dirty")) & (F.col("__row") == F.col("__dirty_row"))
+    return docs.withColumn("__row", simhash.row_digest(docs)).join(dirty, same, "left_anti").drop("__row")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

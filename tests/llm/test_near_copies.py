@@ -64,3 +64,12 @@ def test_rows_without_an_id_or_with_one_id_and_other_texts(spark):
     rows = [(None, one), (None, two), (1, three), (1, four), (0, four), (2, three), (2, three), (None, three), (None, two)]
     kept = corpus_pipeline.drop_near_copies(spark, spark.createDataFrame(rows, SCHEMA), "")
     assert sorted(map(tuple, kept.collect()), key=repr) == sorted([(None, one), (None, two), (1, three), (0, four)], key=repr)
+
+
+def test_benchmark_rows_without_an_id_or_with_one_id(spark, tmp_path):
+    rng = random.Random(8)
+    item, clean, other = (" ".join(words(rng, 40)) for _ in range(3))
+    spark.createDataFrame([(1, item)], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = [(None, item), (None, clean), (1, f"{other} {item}"), (1, other), (2, None)]
+    kept = corpus_pipeline.drop_benchmark(spark, spark.createDataFrame(rows, SCHEMA), str(tmp_path))
+    assert kept.columns == ["doc_id", "text"] and sorted(map(tuple, kept.collect()), key=repr) == sorted([(None, clean), (1, other), (2, None)], key=repr)

@@ -13,9 +13,9 @@ probe's smallest fingerprint, verified the same way. This is exact: for an even
 within max_bits of everything else under it.
 
 `near_copies` is the form for similar rather than almost equal texts. At a Jaccard similarity of 0.8 two 64-bit
-fingerprints differ in about ten bits, for which no pigeonhole has useful blocks. It takes 256-bit fingerprints to
-rule out distant pairs, and as blocks the SimHashes of small min-wise samples of the shingles: similar texts share most
-samples. Pairs that share a block are verified by the Jaccard similarity of their shingle sets.
+fingerprints differ in about ten bits, for which no pigeonhole has useful blocks. It takes 256-bit fingerprints, whose
+Hamming distance rules out distant pairs, and as blocks keys of small min-wise samples of the shingles: similar texts share
+some samples whole. Pairs that share a block are verified by the Jaccard similarity of their shingle sets.
 
 Defined cases: a null, empty or blank text has fingerprint zero and is linked to the others like any other text; a
 text of fewer words than a shingle is one shingle. Every row is returned, also where rows repeat a doc_id; null ids
@@ -174,15 +174,18 @@ def _spread(h: np.ndarray, seed: int) -> np.ndarray:
 
 
 def _sample_blocks(hashes: np.ndarray, lengths: np.ndarray, blocks: int, sample: int) -> np.ndarray:
-    """blocks SimHashes for each run of hashes, each of a min-wise sample: of `sample` classes of the hashes, the
-    smallest hash in each. Two texts agree in a block if they agree in these smallest hashes."""
+    """blocks keys for each run of hashes, each of a min-wise sample: the smallest of the hashes times an odd number, for
+    `sample` such numbers. Two texts share a block if they agree in all of these smallest ones."""
     n = len(lengths)
     live = np.flatnonzero(lengths)
     out = np.zeros((n, blocks), np.uint64)
     starts = (np.cumsum(lengths) - lengths)[live]
-    for block in range(blocks):
-        picked = np.stack([np.minimum.reduceat(_spread(hashes, 1 + block * sample + i), starts) for i in range(sample)], 1) if len(live) else np.zeros((0, sample), np.uint64)
-        out[live, block] = majority(_spread(picked.reshape(-1), 0), np.full(len(live), sample))
+    factors = _spread(np.arange(blocks * sample, dtype=np.uint64), 7) | np.uint64(1)
+    for block in range(blocks if len(live) else 0):
+        key = np.full(len(live), block, np.uint64)
+        for factor in factors[block * sample : (block + 1) * sample]:
+            key = _spread(key ^ np.minimum.reduceat(hashes * factor, starts), block)
+        out[live, block] = key
     return out
 
 
@@ -212,21 +215,21 @@ def _apart() -> Column:
     return sum((F.bit_count(F.get("x", F.lit(i)).bitwiseXOR(F.get("y", F.lit(i)))) for i in range(4)), F.lit(0))
 
 
-def near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, blocks: int = 20, sample: int = 3,
+def near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, blocks: int = 30, sample: int = 6,
                 id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, row, fp, component, component_id): documents whose shingle sets have a Jaccard similarity of at least
     `similarity` are linked. row is the row's digest, component the number of its component, component_id its smallest id.
 
     fp is the digest of the set of shingle hashes. A pair of that similarity shares a block with probability
-    1 - (1 - similarity ** sample) ** blocks, over 0.9999 here. Every pair that shares a block is settled: it is verified
-    by the Jaccard similarity of the two sets of 64-bit hashes, unless its numbers of shingles or its 256-bit
-    fingerprints (seven deviations) rule it out, or its two sides are known to be in one component already. That is why
-    each block first compares its fingerprints with one of them, twice; most blocks are then in one component, and only
-    pairs across components are left. Their number is that of the block's fingerprints times those outside its largest
-    component: it is the square of the block's size where many texts share blocks but are not similar enough."""
-    # the angle between count vectors of sets with this Jaccard similarity, as a share of 256 bits, and seven deviations
+    1 - (1 - similarity ** sample) ** blocks, 0.9999 here. Every pair that shares a block is settled: it is verified by the
+    Jaccard similarity of the two sets of 64-bit hashes, unless its numbers of shingles or its 256-bit fingerprints (four
+    deviations) rule it out, or its two sides are known to be in one component already. That is why each block first
+    compares its fingerprints with two of them; most blocks are then in one component, and only pairs across components are
+    left. Their number is that of the block's fingerprints times those outside its largest component: it is the square of
+    the block's size where many texts share a block but are not similar enough."""
+    # the angle between count vectors of sets with this Jaccard similarity, as a share of 256 bits, and four deviations
     share = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    within = round(256 * share + 7 * math.sqrt(256 * share * (1 - share)))
+    within = round(256 * share + 4 * math.sqrt(256 * share * (1 - share)))
     spark = docs.sparkSession
     rows = docs.select(F.col(id).alias("doc_id"), row_digest(docs).alias("row"), F.col(text).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
@@ -252,61 +255,65 @@ def near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, bloc
                 at += len(n)
 
     found = materialize(rows.mapInArrow(of, f"doc_id {kind}, row bigint, fp bigint, n bigint, wide array<bigint>, keys array<bigint>"), "simhash")
-    distinct = found.groupBy("fp").agg(F.first("n").alias("n"), F.first("wide").alias("wide"), F.first("keys").alias("keys"))
-    dealt = distinct.select("fp", "n", "wide", F.posexplode("keys").alias("way", "key"))
-    crowd = dealt.groupBy("way", "key").agg(F.count(F.lit(1)).alias("sharing")).where("sharing > 1")
-    shared = materialize(dealt.join(crowd, ["way", "key"]).select("way", "key", "fp", "n", "wide"), "simhash-blocks")
-
-    # the sets of those fingerprints that share a block, each from one of the rows that have it
-    source = found.join(shared.select("fp").distinct(), "fp", "left_semi").groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("one"))
-    source = source.select("fp", F.col("one.doc_id").alias("__id"), F.col("one.row").alias("__row"))
+    one = F.struct(F.col("doc_id").isNull(), "doc_id", "row")  # of the rows of a fingerprint, that whose text is read again
+    distinct = found.groupBy("fp").agg(F.first("n").alias("n"), F.first("wide").alias("wide"), F.first("keys").alias("keys"), F.min(one).alias("one"))
+    distinct = materialize(distinct.select("fp", "n", "wide", "keys", F.col("one.doc_id").alias("__id"), F.col("one.row").alias("__row")), "simhash-distinct")
+    dealt = distinct.select("fp", F.explode("keys").alias("key"))
+    pivots = dealt.groupBy("key").agg(F.min("fp").alias("p"), F.max("fp").alias("q")).where("p < q")
+    shared = materialize(dealt.join(pivots, "key"), "simhash-blocks")
+    some = materialize(distinct.join(shared.select("fp").distinct(), "fp", "left_semi").drop("keys"), "simhash-some")
+
+    # the sets of those fingerprints that share a block
+    source = some.select("fp", "__id", "__row")
     texts = rows.join(source, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("row") == F.col("__row"))).groupBy("fp").agg(F.first("text").alias("text"))
     hashes = materialize(texts.mapInArrow(sets, "fp bigint, hashes array<bigint>"), "simhash-sets")
 
-    possible = (F.least("n", "m") >= similarity * F.greatest("n", "m")) & (_apart() <= within)
-
     def verified(pairs: DataFrame) -> DataFrame:
-        pairs = materialize(pairs.distinct(), "simhash-pairs")  # a table of its own, so that a fingerprint in very many pairs can be split
-        both = pairs.join(hashes.select(F.col("fp").alias("b"), F.col("hashes").alias("y")), "b").join(hashes.select(F.col("fp").alias("a"), F.col("hashes").alias("x")), "a")
+        """Those of the pairs (a, b, x, y, m, n), with their fingerprints and sizes, that are similar."""
+        possible = (F.least("n", "m") >= similarity * F.greatest("n", "m")) & (_apart() <= within)
+        # a table of its own, so that a fingerprint in very many pairs can be split
+        likely = materialize(pairs.where(possible).select("a", "b").distinct(), "simhash-pairs")
+        both = likely.join(hashes.select(F.col("fp").alias("b"), F.col("hashes").alias("y")), "b").join(hashes.select(F.col("fp").alias("a"), F.col("hashes").alias("x")), "a")
         common = F.size(F.array_intersect("x", "y"))
         return materialize(both.where(common >= F.lit(similarity) * (F.size("x") + F.size("y") - common)).select("a", "b"), "simhash-links")
 
-    edges = spark.createDataFrame([], "a bigint, b bigint")
-    for turn in range(2):
-        now = _placed(shared, edges) if turn else shared.withColumn("c", F.col("fp"))
-        rank = F.xxhash64("fp", "way", "key") if turn else F.col("fp")
-        pivot = now.groupBy("way", "key").agg(F.min_by(F.struct("fp", "n", "wide", "c"), rank).alias("p"), (F.min("c") < F.max("c")).alias("open")).where("open")
-        met = now.join(pivot, ["way", "key"]).where(F.col("c") != F.col("p.c"))
-        met = met.select(F.col("p.fp").alias("a"), F.col("p.n").alias("m"), F.col("p.wide").alias("x"), F.col("fp").alias("b"), "n", F.col("wide").alias("y"))
-        edges = edges.unionByName(verified(met.where(possible).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))))
-    edges = edges.unionByName(verified(_across(_placed(shared, edges), possible)))
-
-    links = connected_components(edges)
-    ids = found.select("fp", "doc_id").join(links.withColumnRenamed("node", "fp"), "fp", "left").groupBy(F.coalesce("component", "fp").alias("component")).agg(F.min("doc_id").alias("component_id"))
-    labels = found.select("fp").distinct().join(links.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("component", "fp").alias("component")).join(ids, "component")
+    def side(own: str, size: str, wide: str) -> DataFrame:
+        return some.select(F.col("fp").alias(own), F.col("n").alias(size), F.col("wide").alias(wide))
+
+    first = shared.select("fp", F.explode(F.array("p", "q")).alias("p")).where("fp <> p").select(F.least("fp", "p").alias("a"), F.greatest("fp", "p").alias("b")).distinct()
+    first = materialize(first, "simhash-first")
+    near = connected_components(verified(first.join(side("a", "m", "x"), "a").join(side("b", "n", "y"), "b")))
+    now = shared.select("key", "fp").join(near.withColumnRenamed("node", "fp"), "fp", "left").select("key", "fp", F.coalesce("component", "fp").alias("c"))
+    rest = verified(_across(materialize(now, "simhash-placed"), some))
+    names = near.select(F.col("node"), F.col("component").alias("to"))
+    for end in ("a", "b"):
+        rest = rest.join(names.withColumnRenamed("node", end), end, "left").withColumn(end, F.coalesce("to", end)).drop("to")
+    more = connected_components(rest).select(F.col("node").alias("c"), "component")
+
+    labels = found.select("fp").distinct().join(near.select(F.col("node").alias("fp"), F.col("component").alias("c")), "fp", "left").select("fp", F.coalesce("c", "fp").alias("c"))
+    labels = materialize(labels.join(more, "c", "left").select("fp", F.coalesce("component", "c").alias("component")), "simhash-labels")
+    ids = found.select("fp", "doc_id").join(labels, "fp").groupBy("component").agg(F.min("doc_id").alias("component_id"))
     # as a table of its own, so that a fingerprint that very many rows have can be split in the join
-    return found.select("doc_id", "row", "fp").join(materialize(labels, "simhash-components"), "fp").select("doc_id", "row", "fp", "component", "component_id")
-
-
-def _placed(shared: DataFrame, edges: DataFrame) -> DataFrame:
-    """The fingerprints of the blocks, with c, the component of each by these edges."""
-    parts = connected_components(edges)
-    return materialize(shared.join(parts.withColumnRenamed("node", "fp"), "fp", "left").withColumn("c", F.coalesce("component", "fp")).drop("component"), "simhash-placed")
+    named = materialize(labels.join(ids, "component"), "simhash-components")
+    return found.select("doc_id", "row", "fp").join(named, "fp").select("doc_id", "row", "fp", "component", "component_id")
 
 
-def _across(now: DataFrame, possible: Column) -> DataFrame:
-    """(a, b): all pairs of a block that are possible and in different components. Those outside the block's largest
+def _across(now: DataFrame, some: DataFrame) -> DataFrame:
+    """(a, b, x, y, m, n): all pairs of a block (key, fp, c) in different components c. Those outside the block's largest
     component, in chunks of about CHUNK, meet all."""
-    held = now.groupBy("way", "key", "c").agg(F.count(F.lit(1)).alias("k"))
-    blocks = held.groupBy("way", "key").agg(F.max_by("c", F.struct("k", "c")).alias("main"), (F.sum("k") - F.max("k")).alias("rest")).where("rest > 0")
-    blocks = blocks.select("way", "key", "main", F.ceil(F.col("rest") / CHUNK).alias("chunks"))
-    members = materialize(now.join(blocks, ["way", "key"]), "simhash-open")
+    held = now.groupBy("key", "c").agg(F.count(F.lit(1)).alias("k"))
+    blocks = held.groupBy("key").agg(F.max_by("c", F.struct("k", "c")).alias("main"), (F.sum("k") - F.max("k")).alias("rest")).where("rest > 0")
+    blocks = blocks.select("key", "main", F.ceil(F.col("rest") / CHUNK).alias("chunks"))
+    members = materialize(now.join(blocks, "key").join(some.select("fp", "n", "wide"), "fp"), "simhash-open")
     chunk = F.pmod(F.xxhash64("fp"), F.col("chunks"))
-    left = members.where("c <> main").select("way", "key", chunk.alias("chunk"), F.col("fp").alias("a"), F.col("n").alias("m"), F.col("wide").alias("x"), F.col("c").alias("d"))
-    right = members.select("way", "key", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1)).alias("chunk"), F.col("fp").alias("b"), "n", F.col("wide").alias("y"), "c", "main")
+    left = members.where("c <> main").select("key", chunk.alias("chunk"), F.col("fp").alias("a"), F.col("n").alias("m"), F.col("wide").alias("x"), F.col("c").alias("d"))
+    right = members.select("key", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1)).alias("chunk"), F.col("fp").alias("b"), "n", F.col("wide").alias("y"), "c", "main")
     once = (F.col("c") != F.col("d")) & ((F.col("c") == F.col("main")) | (F.col("a") < F.col("b")))
-    same = [left[k] == right[k] for k in ("way", "key", "chunk")]
-    return left.join(right, same[0] & same[1] & same[2] & once & possible).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    pairs = left.join(right, ["key", "chunk"]).where(once)
+    swap = F.col("a") > F.col("b")
+    return pairs.select(
+        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.when(swap, F.col("y")).otherwise(F.col("x")).alias("x"), F.when(swap, F.col("x")).otherwise(F.col("y")).alias("y"), "m", "n"
+    )
 
 
 def keep_one(docs: DataFrame, found: DataFrame, id: str = "doc_id") -> DataFrame:

@@ -1,7 +1,8 @@
 """From documents to token files in five stages; each is written as Parquet and read again as the next one's docs.
 
 Every stage works on all that its predecessor kept. Labels come from the labels table of the same folder, the
-benchmark from its own; all else comes from the documents of the stage.
+benchmark from its own; all else comes from the documents of the stage. The session's Arrow batches are kept small, as
+whole texts by the ten thousand fill the memory of executors.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontamination, mixing, quality, simhash, token_files
-from tidemark.llm.common import shared_dir, table
+from tidemark.llm.common import keep_batches_small, shared_dir, table
 
 #: A document is rejected below this score. Clean documents score far above it, junk far below.
 REJECT_BELOW = 0.5
@@ -24,6 +25,7 @@ ENCODER, END_ID = "word_bpe_49k.json", 1
 
 def reject_junk(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier, fitted on the labelled ones, does not reject."""
+    keep_batches_small(spark)
     model = quality.fit(docs, table(spark, sf_dir, "labels"), "quality")
     columns = [F.col(c) for c in docs.columns]
     scored = quality.score(docs, model, extra={f"__{i}": c for i, c in enumerate(columns)})
@@ -55,6 +57,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token files' index, read back: (doc_id, start, n_tokens, ids_crc32) of each document."""
+    keep_batches_small(spark)
     path = f"{shared_dir(spark)}/token-files-{uuid.uuid4().hex}"
     token_files.write(docs, path, public_tokenizers.path(ENCODER), END_ID)
     return token_files.read_documents(spark, path)

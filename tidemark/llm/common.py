@@ -43,6 +43,13 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
+def keep_batches_small(spark: SparkSession, rows: int = 1000) -> None:
+    """From now on Arrow batches of this session have at most so many rows, also where the caller runs what is returned."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, str(rows))
+
+
 @contextmanager
 def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
     """Arrow batches of fewer rows for what is computed inside: long texts by the ten thousand fill a worker's memory, and

@@ -39,7 +39,7 @@ from tidemark.llm.common import small_batches
 #: Ids of a block; bytes of text that are encoded at once.
 CHUNK, PART_BYTES = 1 << 16, 4_000_000
 #: Pieces that a worker remembers at most in each of two generations.
-PIECES = 250_000
+PIECES = 150_000
 #: Text that a shard holds, about.
 SHARD_BYTES = 64 << 20
 

@@ -44,6 +44,33 @@ def test_bounds_of_a_window_are_inside(spark):
     assert plain == [("long", 1), ("long", 2), ("long", 3), ("point", 2), ("w", 1), ("w", 2)]
 
 
+def test_counts_by_window_make_no_pairs_and_lose_none(spark, monkeypatch):
+    w = spark.createDataFrame([("w", at(0), at(10)), ("point", at(10), at(10)), ("reversed", at(10), at(0)), ("long", at(-500_000), at(500_000)), ("none", at(900_000), at(900_001)), ("open", None, at(1))], "window_id string, start_ts timestamp, end_ts timestamp")
+    r = spark.createDataFrame([("a", at(0)), ("a", at(10)), ("a", at(10)), ("b", at(11)), (None, at(5)), ("b", None), ("b", at(-400_000))], "kind string, ts timestamp")
+    plain = rows(interval.slice_by_windows(w, r, "ts", bucket_seconds=None).groupBy("window_id", "kind").agg(F.count(F.lit(1)).alias("n")))
+    for size in (1, 600, 86_400):
+        assert rows(interval.count_by_windows(w, r, "ts", "kind", bucket_seconds=size)) == plain
+    monkeypatch.setattr(interval, "MOST_KINDS", 1)
+    assert rows(interval.count_by_windows(w, r, "ts", "kind")) == plain
+    keyed = w.where("window_id <> 'open'").withColumn("kind", F.when(F.col("window_id") == "w", None).otherwise(F.lit("a")))
+    for size in (None, 600):
+        assert rows(interval.slice_by_windows(keyed, r, "ts", key="kind", bucket_seconds=size).where("window_id = 'w'").select("ts")) == [(at(5),)]
+
+
+def test_numbers_threads_and_payloads(spark, silver):
+    w = spark.createDataFrame([("b", at(5)), ("a", at(5)), ("z", None), ("c", at(-5000)), ("d", at(9000))], "task_id string, start_ts timestamp")
+    assert [(r.window_id, r.task_id) for r in windows.number_windows(w).orderBy("window_id").collect()] == [("task-001", "z"), ("task-002", "c"), ("task-003", "a"), ("task-004", "b"), ("task-005", "d")]
+    said = spark.createDataFrame([(str(i), at(i), "ann", f"text {i}", [], [], "c") for i in range(7)], MESSAGES)
+    loose = windows.orphan_threads(said, most=3).orderBy("part").collect()
+    assert [[m.message_id for m in r.messages] for r in loose] == [["0", "1", "2"], ["3", "4", "5"], ["6"]]
+    digest = windows.ticket_digest(silver["issues"], silver["events"], silver["messages"], silver["pulls"], most_lines=1)
+    one = json.loads(digest.where("issue_key = 'AB-1'").first()["digest"])
+    assert one["n_messages"] == 2 and [d["id"] for d in one["discussion"]] == ["1"]
+    made = windows.prompt_payload(digest, windows.orphan_threads(said, most=3), most_tokens=1, ranges=2).collect()
+    assert sorted(t["ticket"] for r in made if r.kind == "tickets" for t in json.loads(r.payload)["tickets"]) == ["AB-1", "AB-2"]
+    assert sorted(m["message_id"] for r in made if r.kind == "threads" for t in json.loads(r.payload)["threads"] for m in t["messages"]) == list("0123456")
+
+
 def test_baseline_and_nearest(silver):
     s = silver
     base = windows.baseline_windows(s["messages"], s["issues"], s["events"], s["pulls"]).collect()
@@ -122,6 +149,11 @@ def test_nearest_in_either_direction(spark):
     right = spark.createDataFrame([("k", at(8), 5), ("k", at(12), 4), ("k", at(12), 9)], "key string, r_ts timestamp, r_id int")
     got = {r.id: r.r_id for r in links.nearest(left, right, "key", "ts", "r_ts", "r_id").collect()}
     assert got == {1: 4, 2: 5, 3: None}
+    more = left.unionByName(spark.createDataFrame([(None, 4, at(0)), ("k", 5, None), ("k", 6, at(90_000))], left.schema))
+    right = right.unionByName(spark.createDataFrame([(None, at(99_999), 7), ("k", None, 1)], right.schema))
+    for size in (1, 600, 86_400):
+        got = {r.id: r.r_id for r in links.nearest(more, right, "key", "ts", "r_ts", "r_id", size).collect()}
+        assert got == {1: 4, 2: 5, 3: None, 4: 7, 5: None, 6: 4}
 
 
 STEP = "run_id string, turn int, step int, content string, tool_name string, tool_args string, tool_result string"
@@ -165,9 +197,12 @@ def test_replies(spark):
     texts = {
         "plain": one, "fence": f"Before {{\"windows\": []}}\n```json\n{one}\n```\nafter", "list": one[12:-1], "comments": one.replace('"a",', '"a", // note\n /* x */'),
         "commas": one.replace('["m"]', '["m",]'), "cut": one[:-14], "quotes": one.replace('"', "“"), "zero": "​" + one, "none": "sorry", "string": '{"windows": [{"task_id": "a", "title": "} // no"}]}',
+        "spaces": one.replace(": ", ":\u00a0").replace("}]}", "}\r\n]\u2028}"), "low": one.replace('"', "\u201f"),
+        "long": one[:-2] + "".join(f', {{"task_id": "a", "x": {i}}}' for i in range(300)) + ', {"task_id": bad' + ", 1" * 500,
     }
     df = spark.createDataFrame([*texts.items(), ("null", None)], "reply_id string, text string")
     got = {r.reply_id: r for r in replies.load_proposals(df).collect()}
+    assert replies.load_proposals(df).where("reply_id = 'long'").count() == 301
     assert set(got) == set(texts) - {"none"} and {r.task_id for r in got.values()} == {"a"}
     assert got["string"].title == "} // no"
     assert got["plain"].evidence.message_ids == ["m"]

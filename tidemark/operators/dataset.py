@@ -106,7 +106,10 @@ def build_conversations(runs: DataFrame, steps: DataFrame, windows: DataFrame, t
 def examples_from_slices(windows: DataFrame, chunks: DataFrame, system: str, limit: int = SLICE_LIMIT) -> DataFrame:
     """(window_id, messages): system, the text of the window's slice as the user, its summary as the assistant."""
     text = F.coalesce(F.get_json_object("row", "$.content"), F.get_json_object("row", "$.message"), F.get_json_object("row", "$.title"))
-    lines = chunks.withColumn("t", text).where("t IS NOT NULL").groupBy("window_id").agg(F.array_sort(F.collect_list(F.struct("ts", "source_table", "ordinal", "t"))).alias("x"))
+    said = chunks.select("window_id", "ts", "source_table", "ordinal", F.substring(text, 1, limit).alias("t")).where("t IS NOT NULL")
+    upto = Window.partitionBy("window_id").orderBy("ts", "source_table", "ordinal").rowsBetween(Window.unboundedPreceding, -1)
+    first = said.withColumn("before", F.coalesce(F.sum(F.length("t") + 1).over(upto), F.lit(0))).where(F.col("before") < limit)  # the rest would be cut off
+    lines = first.groupBy("window_id").agg(F.array_sort(F.collect_list(F.struct("ts", "source_table", "ordinal", "t"))).alias("x"))
     body = lines.select("window_id", F.substring(F.array_join(F.transform("x", lambda x: x["t"]), "\n"), 1, limit).alias("body"))
     answer = F.coalesce(S.present(F.col("summary")), S.present(F.col("title")))
     return windows.join(body, "window_id").where(answer.isNotNull()).select("window_id", F.array(_message("system", F.lit(system)), _message("user", F.col("body")), _message("assistant", answer)).alias("messages"))

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import itertools
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MOST_STEPS = 10_000
 #: Steps after which the frontier is written to the checkpoint folder, which ends its lineage.
 CHECKPOINT_EVERY = 5
 
@@ -15,18 +17,21 @@ def commit_edges(commits: DataFrame) -> DataFrame:
     return commits.select(F.col("sha").alias("child"), F.posexplode("parent_shas").alias("ordinal", "parent"))
 
 
+def _needs_checkpoints(edges: DataFrame) -> None:
+    if not edges.sparkSession.sparkContext.getCheckpointDir():
+        raise ValueError("set spark.checkpoint.dir, or the context's checkpoint folder, to one that all executors share")
+
+
 def ancestors(edges: DataFrame, tips: DataFrame) -> DataFrame:
     """(tip, node): every node that a tip (one column, tip) reaches over edges (child, parent), itself included.
 
     Breadth first: each step joins the frontier with the edges and takes away what was seen. Frontier and result are
     checkpointed, to the shared folder, as the steps add up."""
-    spark = edges.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        raise ValueError("set spark.checkpoint.dir, or the context's checkpoint folder, to one that all executors share")
+    _needs_checkpoints(edges)
     step = edges.select("child", "parent").distinct()
     frontier = tips.select("tip", F.col("tip").alias("node")).distinct()
     seen = frontier
-    for i in range(MOST_STEPS):
+    for i in itertools.count():
         found = frontier.join(step, frontier["node"] == step["child"]).select("tip", F.col("parent").alias("node")).distinct()
         frontier = found.join(seen, ["tip", "node"], "left_anti")
         frontier = frontier.checkpoint()
@@ -35,20 +40,61 @@ def ancestors(edges: DataFrame, tips: DataFrame) -> DataFrame:
         seen = seen.unionByName(frontier)
         if i % CHECKPOINT_EVERY == CHECKPOINT_EVERY - 1:
             seen = seen.checkpoint()
-    raise RuntimeError(f"the graph is deeper than {MOST_STEPS} steps")
+
+
+def generations(edges: DataFrame) -> DataFrame:
+    """(node, gen): how many edges the longest way down from a node has; nodes on cycles get none. Layer by layer: a node
+    is numbered when all its parents are."""
+    _needs_checkpoints(edges)
+    step = edges.select("child", "parent").distinct()
+    layer = step.select(F.col("parent").alias("node")).distinct().join(step.select(F.col("child").alias("node")), "node", "left_anti")
+    found = layer = layer.withColumn("gen", F.lit(0)).checkpoint()
+    waiting = step.groupBy(F.col("child").alias("node")).agg(F.count(F.lit(1)).alias("open")).checkpoint()
+    for i in itertools.count(1):
+        met = layer.join(step, layer["node"] == step["parent"]).groupBy(F.col("child").alias("node")).agg(F.count(F.lit(1)).alias("met"))
+        waiting = waiting.join(met, "node", "left").select("node", (F.col("open") - F.coalesce("met", F.lit(0))).alias("open")).checkpoint()
+        layer = waiting.where("open = 0").select("node", F.lit(i).alias("gen"))
+        waiting = waiting.where("open > 0")
+        if layer.isEmpty():
+            return found
+        found = found.unionByName(layer)
+        if i % CHECKPOINT_EVERY == 0:
+            found = found.checkpoint()
+
+
+def _painted(edges: DataFrame, pairs: DataFrame, taken: Column, going: Column) -> DataFrame:
+    """(left, right, node): for each pair the nodes that are `taken`, walking down from both at once. A node carries
+    whether left reaches it (l), whether right does (r), and whether a common node above it does (stale). Nodes are visited
+    by falling generation, so all that is above one has been seen; a pair ends when none of its open nodes is `going`,
+    which is near the branch, not at the root of the history."""
+    gens = generations(edges)
+    step = edges.select("child", "parent").distinct()
+    no = F.lit(False)
+    starts = pairs.select("left", "right", F.col("left").alias("node"), F.lit(True).alias("l"), no.alias("r")).unionByName(pairs.select("left", "right", F.col("right").alias("node"), no.alias("l"), F.lit(True).alias("r")))
+    rows = starts.where("node IS NOT NULL").join(gens, "node", "left").select("left", "right", "node", F.coalesce("gen", F.lit(0)).alias("gen"), "l", "r", no.alias("stale"))
+    flags = [F.bool_or(c).alias(c) for c in ("l", "r", "stale")]
+    done = []
+    for i in itertools.count(1):
+        rows = rows.groupBy("left", "right", "node", "gen").agg(*flags)
+        tops = rows.groupBy("left", "right").agg(F.max("gen").alias("top"), going.alias("going")).where("going").drop("going")
+        both = ["left", "right"]
+        rows = rows.join(tops.select(*[F.col(c).alias(f"__{c}") for c in both], "top"), F.expr("left <=> __left AND right <=> __right")).drop("__left", "__right").checkpoint()
+        if rows.isEmpty():
+            break
+        now, later = rows.where("gen = top").drop("top"), rows.where("gen < top").drop("top")
+        done.append(now.where(taken).select("left", "right", "node"))
+        down = now.join(step, now["node"] == step["child"]).select("left", "right", F.col("parent").alias("node"), "l", "r", (F.col("stale") | (F.col("l") & F.col("r"))).alias("stale"))
+        rows = later.unionByName(down.join(gens, "node").select("left", "right", "node", "gen", "l", "r", "stale"))
+    empty = pairs.where("false").select("left", "right", F.col("left").alias("node"))
+    return reduce(DataFrame.unionByName, done, empty)
 
 
 def merge_base(edges: DataFrame, pairs: DataFrame, order: DataFrame | None = None) -> DataFrame:
     """(left, right, base): the best common ancestors of each pair (left, right), those that no other common ancestor
     descends from. There may be several; order (node, committed_at) keeps one, the latest, then the smallest."""
-    tips = pairs.select(F.explode(F.array("left", "right")).alias("tip")).distinct()
-    up = ancestors(edges, tips).checkpoint()
-    one = pairs.join(up.select(F.col("tip").alias("left"), "node"), "left")
-    common = one.join(up.select(F.col("tip").alias("right"), "node"), ["right", "node"]).select("left", "right", "node").checkpoint()
-    # a common ancestor that is a proper ancestor of another one is reachable from a parent of that one
-    reach = ancestors(edges, common.select(F.col("node").alias("tip")).distinct()).where("tip <> node")
-    lesser = common.join(reach.select(F.col("tip").alias("node"), F.col("node").alias("below")), "node").select("left", "right", F.col("below").alias("node")).distinct()
-    best = common.join(lesser, ["left", "right", "node"], "left_anti").withColumnRenamed("node", "base")
+    fresh = ~F.col("stale")
+    going = F.bool_or(F.col("l") & fresh) & F.bool_or(F.col("r") & fresh)
+    best = _painted(edges, pairs.distinct(), F.col("l") & F.col("r") & fresh, going).withColumnRenamed("node", "base")
     if order is None:
         return best
     dated = best.join(order.select(F.col("node").alias("base"), "committed_at"), "base", "left")
@@ -67,21 +113,21 @@ def branch_commits(edges: DataFrame, heads: DataFrame, fallback: DataFrame | Non
 
 
 def _beyond_base(edges: DataFrame, heads: DataFrame) -> DataFrame:
-    """(head, base, node) of each pair."""
-    tips = heads.select(F.explode(F.array("head", "base")).alias("tip")).where("tip IS NOT NULL").distinct()
-    up = ancestors(edges, tips).checkpoint()
-    mine = heads.join(up.select(F.col("tip").alias("head"), "node"), "head").select("head", "base", "node")
-    theirs = up.select(F.col("tip").alias("base"), "node")
-    return mine.join(theirs, ["base", "node"], "left_anti").select("head", "base", "node").distinct()
+    """(head, base, node) of each pair: what the head reaches and its base does not. A null base reaches nothing."""
+    mine = F.col("l") & ~F.col("r")
+    pairs = heads.select(F.col("head").alias("left"), F.col("base").alias("right")).where("left IS NOT NULL").distinct()
+    return _painted(edges, pairs, mine, F.bool_or(mine)).select(F.col("left").alias("head"), F.col("right").alias("base"), "node")
 
 
 def derive_pulls(commits: DataFrame, edges: DataFrame) -> DataFrame:
     """Pull requests of merge commits: number and branch from the message, the author and times from the branch's commits.
 
     (pr_number, branch, merge_sha, merged_at, opened_at, author, commits, changed_files)"""
-    number = F.regexp_extract("message", r"^Merge pull request #(\d+) from (\S+)", 1)
+    # Fixed value: how a merge commit names its pull request
+    said = r"^Merge pull request #(\d+) from (\S+)"
+    number = F.regexp_extract("message", said, 1)
     merges = commits.where((number != "") & (F.size("parent_shas") > 1)).select(
-        number.cast("int").alias("pr_number"), F.regexp_extract("message", r"^Merge pull request #(\d+) from (\S+)", 2).alias("branch"),
+        number.cast("int").alias("pr_number"), F.regexp_extract("message", said, 2).alias("branch"),
         F.col("sha").alias("merge_sha"), F.col("authored_at").alias("merged_at"), F.get("parent_shas", F.lit(1)).alias("head"), F.get("parent_shas", F.lit(0)).alias("base"),
     )
     own = _beyond_base(edges, merges.select("head", "base").distinct())

@@ -57,20 +57,29 @@ def shas_by_ticket(tickets: DataFrame, pulls: DataFrame) -> DataFrame:
     return found.groupBy("ticket").agg(F.array_sort(F.collect_set("merge_sha")).alias("shas"))
 
 
-def nearest(left: DataFrame, right: DataFrame, key: str, left_ts: str, right_ts: str, right_id: str) -> DataFrame:
+def nearest(left: DataFrame, right: DataFrame, key: str, left_ts: str, right_ts: str, right_id: str, bucket_seconds: int = 86_400) -> DataFrame:
     """For each row of left the right row of the same key whose time is nearest, before or after; ties to the smaller id.
-    Adds right_id, right_ts and gap_seconds; rows without a match are kept.
+    Adds right_id, right_ts and gap_seconds; rows without a match, or without a time, are kept. A null key equals a null key.
 
-    Two running values over the union of both sides in time order, the last right row before and the first one after,
-    need no pairs: a key with many rows on both sides costs a sort, not a product."""
+    No pairs are made: the last right row before and the first one after are running values over both sides in time
+    order. They run inside buckets of time, so that a key with very many rows is dealt out; what lies in other buckets is
+    carried over from a table with a row for each bucket of a key."""
     l_cols = [c for c in left.columns if c != key]
     one = left.select(key, F.col(left_ts).alias("__ts"), F.struct(*l_cols).alias("__left"), F.lit(None).cast(f"struct<ts: timestamp, id: {right.schema[right_id].dataType.simpleString()}>").alias("__right"))
-    two = right.select(key, F.col(right_ts).alias("__ts"), F.lit(None).cast(one.schema["__left"].dataType).alias("__left"), F.struct(F.col(right_ts).cast("timestamp").alias("ts"), F.col(right_id).alias("id")).alias("__right"))
+    two = right.where(F.col(right_ts).isNotNull()).select(key, F.col(right_ts).alias("__ts"), F.lit(None).cast(one.schema["__left"].dataType).alias("__left"), F.struct(F.col(right_ts).cast("timestamp").alias("ts"), F.col(right_id).alias("id")).alias("__right"))
     two = two.groupBy(key, "__ts").agg(F.first("__left").alias("__left"), F.min("__right").alias("__right"))
-    both = one.unionByName(two)
-    back = Window.partitionBy(key).orderBy("__ts").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    ahead = Window.partitionBy(key).orderBy("__ts").rangeBetween(Window.currentRow, Window.unboundedFollowing)
+    both = one.unionByName(two).withColumn("__bucket", F.floor(F.unix_seconds(F.col("__ts").cast("timestamp")) / bucket_seconds))
+    back = Window.partitionBy(key, "__bucket").orderBy("__ts").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    ahead = Window.partitionBy(key, "__bucket").orderBy("__ts").rangeBetween(Window.currentRow, Window.unboundedFollowing)
     seen = both.withColumns({"__b": F.last("__right", ignorenulls=True).over(back), "__a": F.first("__right", ignorenulls=True).over(ahead)}).where("__left IS NOT NULL")
+    ends = both.where("__bucket IS NOT NULL").groupBy(F.col(key).alias("__key"), F.col("__bucket").alias("__at")).agg(F.min("__right").alias("__first"), F.max("__right").alias("__last"))
+    by_bucket = Window.partitionBy("__key").orderBy("__at")
+    carried = ends.select(
+        "__key", "__at", F.last("__last", ignorenulls=True).over(by_bucket.rowsBetween(Window.unboundedPreceding, -1)).alias("__earlier"),
+        F.first("__first", ignorenulls=True).over(by_bucket.rowsBetween(1, Window.unboundedFollowing)).alias("__later"),
+    )
+    seen = seen.join(carried, F.col(key).eqNullSafe(F.col("__key")) & (F.col("__bucket") == F.col("__at")), "left")
+    seen = seen.withColumns({"__b": F.coalesce("__b", "__earlier"), "__a": F.coalesce("__a", "__later")})
 
     def gap(c: str) -> Column:
         return F.abs(F.unix_micros(F.col(f"{c}.ts")) - F.unix_micros(F.col("__ts").cast("timestamp")))

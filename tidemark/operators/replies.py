@@ -8,6 +8,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -16,11 +17,13 @@ from pyspark.sql import functions as F
 from tidemark.operators.dataset import newest_per
 
 _FENCE = re.compile(r"```[A-Za-z]*\s*\n?(.*?)(?:```|\Z)", re.S)
-_QUOTES = str.maketrans({"“": '"', "”": '"', "„": '"', "‘": "'", "’": "'", "​": None, "‌": None, "‍": None, "﻿": None})
+# Quotes and spaces of other scripts, and characters without width, as models write them.
+_QUOTES = str.maketrans({
+    "\u2018": "'", "\u2019": "'", "\u201a": "'", "\u201b": "'", "\u201c": '"', "\u201d": '"', "\u201e": '"', "\u201f": '"',
+    "\u00a0": " ", "\u2028": "\n", "\u2029": "\n", "\u200b": None, "\u200c": None, "\u200d": None, "\u2060": None, "\ufeff": None,
+})
 _TOKEN = re.compile(r'"(?:[^"\\]|\\.)*"|"(?:[^"\\]|\\.)*\Z|//[^\n]*|/\*.*?(?:\*/|\Z)|[{}\[\],]|[^"/{}\[\],]+|/', re.S)
 _PAIRS = {"{": "}", "[": "]"}
-#: Places, from the end of a cut-off value, at which closing it is tried.
-MOST_CUTS = 200
 
 
 def balanced_values(text: str) -> Iterator[tuple[int, str]]:
@@ -39,10 +42,10 @@ def balanced_values(text: str) -> Iterator[tuple[int, str]]:
         yield start, text[start:]
 
 
-def repairs(text: str) -> Iterator[str]:
-    """The text, then without comments and trailing commas, then with what is open closed, then cut back to where it can be
-    closed."""
-    yield text
+def repairs(text: str) -> Iterator[tuple[str, int | None]]:
+    """(attempt, None): the text, then without comments and trailing commas, then with what is open closed; then (attempt,
+    length of what is left) cut back to each place where it can be closed, from the end."""
+    yield text, None
     parts, depth = [], []
     marks: list[tuple[int, list[str]]] = []
     for m in _TOKEN.finditer(text):
@@ -62,22 +65,27 @@ def repairs(text: str) -> Iterator[str]:
         elif t in ("}", "]"):
             marks.append((len(parts), list(depth)))
     plain = "".join(parts)
-    yield plain
+    yield plain, None
     tail = parts[-1] if parts else ""
     if tail.startswith('"') and (len(tail) == 1 or not re.fullmatch(r'"(?:[^"\\]|\\.)*"', tail, re.S)):
         plain += '"'
-    yield plain.rstrip().rstrip(",") + "".join(reversed(depth))
-    for n, open_ in marks[: -MOST_CUTS - 1 : -1]:
-        yield "".join(parts[:n]) + "".join(reversed(open_))
+    yield plain.rstrip().rstrip(",") + "".join(reversed(depth)), None
+    sizes = [0, *accumulate(map(len, parts))]
+    for n, open_ in reversed(marks):
+        yield "".join(parts[:n]) + "".join(reversed(open_)), sizes[n]
 
 
 def parsed(text: str):
-    """The first repair that is JSON, or None."""
-    for attempt in repairs(text):
+    """The first repair that is JSON, or None. Where a text is wrong at some place, so is every cut behind that place."""
+    wrong = None
+    for attempt, size in repairs(text):
+        if size is not None and wrong is not None and size > wrong:
+            continue
         try:
             return json.loads(attempt)
-        except ValueError:
-            continue
+        except ValueError as e:
+            if size is not None:
+                wrong = e.pos
     return None
 
 
@@ -103,7 +111,7 @@ def parse_model_replies(df: DataFrame, required: list[str], id: str = "reply_id"
         for batch in batches:
             rows = []
             for key, reply in zip(batch["id"], batch["text"], strict=True):
-                clean = (reply or "").translate(_QUOTES)
+                clean = (reply or "").replace("\r\n", "\n").replace("\r", "\n").translate(_QUOTES)
                 for rank, blobs in enumerate(([m[1] for m in _FENCE.finditer(clean)], [clean])):
                     for n, blob in enumerate(blobs):
                         for at, raw in balanced_values(blob):

@@ -120,9 +120,14 @@ def validate_windows(proposals: DataFrame, messages: DataFrame, issues: DataFram
 
 
 def number_windows(windows: DataFrame, prefix: str = "task") -> DataFrame:
-    """window_id: prefix and a running number by start (windows are few, their order is global)."""
-    n = F.row_number().over(Window.orderBy("start_ts", "task_id"))
-    return windows.withColumn("window_id", F.format_string(f"{prefix}-%03d", n))
+    """window_id: prefix and a running number by start, then task. Rows are ranked inside their day; only a row a day is
+    ordered as a whole."""
+    days = windows.withColumn("__day", F.coalesce(F.unix_date(F.col("start_ts").cast("date")), F.lit(-(1 << 31))))
+    upto = Window.orderBy("__day").rowsBetween(Window.unboundedPreceding, -1)
+    before = days.groupBy("__day").agg(F.count(F.lit(1)).alias("__n")).select("__day", F.coalesce(F.sum("__n").over(upto), F.lit(0)).alias("__before"))
+    rank = F.row_number().over(Window.partitionBy("__day").orderBy("start_ts", "task_id"))
+    n = F.col("__before") + F.col("__rank")
+    return days.withColumn("__rank", rank).join(before, "__day").withColumn("window_id", F.format_string(f"{prefix}-%03d", n)).drop("__day", "__rank", "__before")
 
 
 def match_windows(hyp: DataFrame, ref: DataFrame, key: str = "task_id") -> DataFrame:
@@ -211,9 +216,12 @@ def ticket_digest(issues: DataFrame, events: DataFrame, messages: DataFrame, pul
     trail = events.where(F.lower("field") == "status").groupBy("issue_key").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("ts", "id", "to_value"))), lambda x: F.struct(S.iso_z(x["ts"]).alias("ts"), x["to_value"].alias("to"))).alias("status_trail")
     )
-    lines = ticket_messages(messages).groupBy("issue_key").agg(F.array_sort(F.collect_list(F.struct("ts", "message_id", "author_name", "content"))).alias("x"))
-    line = lambda x: F.struct(x["message_id"].alias("id"), S.iso_z(x["ts"]).alias("ts"), x["author_name"].alias("author"), S.clip(x["content"], 300).alias("text"))
-    talk = lines.select("issue_key", F.transform(F.slice("x", 1, most_lines), line).alias("discussion"), F.size("x").alias("n_messages"))
+    said = ticket_messages(messages)
+    rank = F.row_number().over(Window.partitionBy("issue_key").orderBy("ts", "message_id", "author_name", "content"))
+    first = said.withColumn("n", rank).where(F.col("n") <= most_lines)
+    line = F.struct(F.col("message_id").alias("id"), S.iso_z(F.col("ts")).alias("ts"), F.col("author_name").alias("author"), S.clip(F.col("content"), 300).alias("text"))
+    lines = first.groupBy("issue_key").agg(F.transform(F.array_sort(F.collect_list(F.struct("n", line.alias("line")))), lambda x: x["line"]).alias("discussion"))
+    talk = lines.join(said.groupBy("issue_key").agg(F.count(F.lit(1)).alias("n_messages")), "issue_key")
     numbers = prs_by_ticket(messages, pulls).select(F.col("ticket").alias("issue_key"), F.explode("pr_numbers").alias("pr_number"))
     requests = numbers.join(pulls.select("pr_number", "title", "merged_at"), "pr_number").groupBy("issue_key").agg(
         F.array_sort(F.collect_list(F.struct("pr_number", S.clip(F.col("title"), 120).alias("title"), S.iso_z(F.col("merged_at")).alias("merged_at")))).alias("pulls")
@@ -223,20 +231,28 @@ def ticket_digest(issues: DataFrame, events: DataFrame, messages: DataFrame, pul
     return full.select("issue_key", F.to_json(made).alias("digest"))
 
 
-def orphan_threads(messages: DataFrame, channel: str = "channel") -> DataFrame:
-    """(channel, messages): messages that name no ticket, in order, by channel."""
-    loose = messages.where(F.size("mentions_ticket") == 0)
-    return loose.groupBy(channel).agg(F.array_sort(F.collect_list(F.struct("ts", "message_id", "author_name", S.clip(F.col("content"), 200).alias("text")))).alias("messages"))
-
-
-def prompt_payload(digest: DataFrame, orphans: DataFrame, ranges: int = 1) -> DataFrame:
-    """(part, payload, tokens): the digests of a range of tickets as one JSON text each, orphan threads with the first."""
-    part = F.pmod(F.crc32(F.col("issue_key").cast("binary")), F.lit(ranges)).cast("int")
-    tickets = digest.groupBy(part.alias("part")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("issue_key", "digest"))), lambda x: x["digest"]), ",").alias("t"))
-    loose = orphans.agg(F.to_json(F.array_sort(F.collect_list(F.struct(*orphans.columns)))).alias("o"))
-    both = tickets.join(F.broadcast(loose), F.col("part") == 0, "left")
-    text = F.concat(F.lit('{"tickets":['), "t", F.lit('],"threads":'), F.coalesce("o", F.lit("[]")), F.lit("}"))
-    return both.select("part", text.alias("payload"), S.approx_tokens(text).alias("tokens"))
+def orphan_threads(messages: DataFrame, channel: str = "channel", most: int = 200) -> DataFrame:
+    """(channel, day, part, messages): messages that name no ticket, in order, by channel and day, in parts of at most
+    `most` messages, so that no channel is gathered."""
+    loose = messages.where(F.size("mentions_ticket") == 0).withColumn("day", F.col("ts").cast("date"))
+    rank = F.row_number().over(Window.partitionBy(channel, "day").orderBy("ts", "message_id"))
+    line = F.struct("ts", "message_id", "author_name", S.clip(F.col("content"), 200).alias("text"))
+    parts = loose.withColumn("part", F.floor((rank - 1) / most).cast("int"))
+    return parts.groupBy(channel, "day", "part").agg(F.array_sort(F.collect_list(line)).alias("messages"))
+
+
+def prompt_payload(digest: DataFrame, orphans: DataFrame, most_tokens: int = 20_000, ranges: int = 256) -> DataFrame:
+    """(kind, part, payload, tokens): the tickets' digests as JSON texts of about most_tokens each (one digest at least), and
+    a text for each part of the orphan threads. A part is a range of ticket keys by hash and a number in it; more ranges
+    spread more tickets. Nothing is gathered beyond a part."""
+    one = digest.select("issue_key", "digest", S.approx_tokens(F.col("digest")).alias("size"), F.pmod(F.crc32(F.col("issue_key").cast("binary")), F.lit(ranges)).cast("int").alias("range"))
+    upto = Window.partitionBy("range").orderBy("issue_key").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = one.withColumn("n", F.floor((F.sum("size").over(upto) - F.col("size")) / most_tokens))
+    texts = placed.groupBy("range", "n").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("issue_key", "digest"))), lambda x: x["digest"]), ",").alias("t"))
+    tickets = texts.select(F.lit("tickets").alias("kind"), F.concat_ws(":", "range", "n").alias("part"), F.concat(F.lit('{"tickets":['), "t", F.lit("]}")).alias("payload"))
+    named = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in orphans.columns if c != "messages"])
+    threads = orphans.select(F.lit("threads").alias("kind"), named.alias("part"), F.concat(F.lit('{"threads":['), F.to_json(F.struct(*orphans.columns)), F.lit("]}")).alias("payload"))
+    return tickets.unionByName(threads).withColumn("tokens", S.approx_tokens(F.col("payload")))
 
 
 def task_briefs(windows: DataFrame, chunks: DataFrame, documents: DataFrame) -> DataFrame:

@@ -94,10 +94,10 @@ def attachments_verified(spark, sf_dir):
     return clean.verify_attachments(e, there)[0].select("message_id", "size_ok")
 
 
-@query("""SELECT CAST(p_partkey AS VARCHAR) AS path, CASE WHEN p_partkey % 2 = 0 THEN 'ticket' ELSE 'chat' END AS source, substr(sha256(CAST(p_partkey AS VARCHAR)), 1, 16) AS doc_key FROM part WHERE p_partkey % 2 = 0 OR p_partkey % 3 = 0""")
+@query("""SELECT CAST(p_partkey AS VARCHAR) AS path, CASE WHEN p_partkey % 2 = 0 THEN 'ticket' ELSE 'chat' END AS source, substr(sha256(CAST(p_partkey AS VARCHAR)), 1, 16) AS doc_key FROM part""")
 def documents_unified(spark, sf_dir):
     p = table(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("path"), "p_partkey")
-    return clean.unify_documents(p.where("p_partkey % 2 = 0"), p.where("p_partkey % 3 = 0")).select("path", "source", "doc_key")
+    return clean.unify_documents(p.where("p_partkey % 2 = 0"), p.where("p_partkey % 2 = 1 OR p_partkey % 3 = 0")).select("path", "source", "doc_key")
 
 
 @query("""WITH RECURSIVE edge AS (SELECT p_partkey AS child, p_partkey // 2 AS parent FROM part WHERE p_partkey > 1 UNION SELECT p_partkey, p_partkey // 3 FROM part WHERE p_partkey > 2),
@@ -140,10 +140,11 @@ def sessions_active(spark, sf_dir):
     return links.active_sessions(s, users, F.lit("2024-01-15 00:00:00").cast("timestamp")).select("event_id", "user_id", "name")
 
 
-@query(f"""WITH {SILVER_SQL} SELECT channel, count(*) AS n FROM messages WHERE author_name = 'view' GROUP BY 1""")
+@query(f"""WITH {SILVER_SQL}, r AS (SELECT channel, CAST(ts AS DATE) AS day, (row_number() OVER (PARTITION BY channel, CAST(ts AS DATE) ORDER BY ts, message_id) - 1) // 200 AS part FROM messages WHERE author_name = 'view')
+SELECT channel, CAST(day AS VARCHAR) AS day, CAST(part AS INTEGER) AS part, count(*) AS n FROM r GROUP BY 1, 2, 3""")
 def threads_without_ticket(spark, sf_dir):
     m = messages(spark, sf_dir).withColumn("mentions_ticket", F.when(F.col("author_name") == "view", F.array().cast("array<string>")).otherwise(F.col("mentions_ticket")))
-    return windows.orphan_threads(m).select("channel", F.size("messages").cast("bigint").alias("n"))
+    return windows.orphan_threads(m).select("channel", F.col("day").cast("string").alias("day"), "part", F.size("messages").cast("bigint").alias("n"))
 
 
 @query(f"""WITH {SILVER_SQL} SELECT count(DISTINCT channel) AS channels, count(*) AS messages, 0::BIGINT AS with_attachments, count(*) AS with_tickets, CAST(epoch_us(min(ts)) AS BIGINT) AS earliest, CAST(epoch_us(max(ts)) AS BIGINT) AS latest FROM messages""")
@@ -206,9 +207,12 @@ def jsonl_round_trip(spark, sf_dir):
 
 
 @query(f"""WITH {SILVER_SQL} SELECT 'message_outside_range' AS "check", count(*) AS n FROM messages WHERE ts < TIMESTAMP '2024-01-05' OR ts > TIMESTAMP '2024-01-20' HAVING count(*) > 0
-UNION ALL SELECT 'sha_shape', count(*) FROM part WHERE p_partkey % 50 = 7 HAVING count(*) > 0""")
+UNION ALL SELECT 'sha_shape', count(*) FROM part WHERE p_partkey % 50 = 7 HAVING count(*) > 0
+UNION ALL SELECT 'quarantine_without_reason', count(*) FROM part WHERE p_partkey % 50 = 9 HAVING count(*) > 0""")
 def silver_checks(spark, sf_dir):
-    found = validate.check_silver(messages(spark, sf_dir), issues(spark, sf_dir), _commits(spark, sf_dir), spark.createDataFrame([], "target_table string, entity_key string, reason string, raw string"), "2024-01-05", "2024-01-20")
+    bad = clean.clean_commits(_commits(spark, sf_dir))[1]
+    bad = bad.withColumn("reason", F.when(F.col("reason") == "no_author", "").otherwise(F.col("reason")))
+    found = validate.check_silver(messages(spark, sf_dir), issues(spark, sf_dir), _commits(spark, sf_dir), bad, "2024-01-05", "2024-01-20")
     return found.groupBy("check").agg(F.count(F.lit(1)).alias("n"))
 
 

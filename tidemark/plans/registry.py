@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.plans import record_queries, report_queries, scalar_queries, silver_queries
+from tidemark.plans import landed_queries, record_queries, report_queries, scalar_queries, silver_queries
 
-_MODULES = [scalar_queries, silver_queries, report_queries, record_queries]
+_MODULES = [scalar_queries, silver_queries, report_queries, record_queries, landed_queries]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

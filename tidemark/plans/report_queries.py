@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import dataset, replies, reports, validate
 from tidemark.plans.tables import Registry, table
+from tidemark.sources import sinks
 from tidemark.streaming import stream
 
 query = Registry()
@@ -130,12 +131,16 @@ def conversations_built(spark, sf_dir):
     return made.select("window_id", "run_id", "n_tool_calls", "dropped_tool_names", F.size("messages").cast("bigint").alias("n_messages"), (F.element_at("messages", -1)["content"] != "").alias("said"))
 
 
-@query()
+@query("""WITH newest AS (SELECT conv_id // 2 AS w, max(conv_id) AS conv_id FROM conversations WHERE conv_id % 5 <> 4 GROUP BY 1),
+s AS (SELECT w, turn, role = 'assistant' AS call, turn % 4 = 3 AS odd FROM newest JOIN conversations USING (conv_id)),
+g AS (SELECT w, count(CASE WHEN call THEN 1 END) AS calls, count(CASE WHEN call AND odd THEN 1 END) AS odd, arg_max(call, turn) AS last_call FROM s GROUP BY 1),
+kept AS (SELECT * FROM g WHERE calls > 0 AND NOT last_call)
+SELECT 'unanswered_call' AS "check", CAST(sum(calls) AS BIGINT) AS n FROM kept WHERE w % 2 = 0 HAVING sum(calls) > 0 UNION ALL SELECT 'unknown_tool', CAST(sum(odd) AS BIGINT) FROM kept HAVING sum(odd) > 0""")
 def tool_pairing_checks(spark, sf_dir):
     runs, steps, wins = _runs(spark, sf_dir)
     made = dataset.build_conversations(runs, steps, wins, ["search", "telepathy"], "s")
-    broken = made.withColumn("messages", F.when(F.crc32(F.col("window_id").cast("binary")) % 2 == 0, F.filter("messages", lambda m: m["role"] != "tool")).otherwise(F.col("messages")))
-    return validate.all_of(validate.check_tool_pairing(broken), validate.check_tools(made, ["search"])).groupBy("check", "detail").agg(F.count(F.lit(1)).alias("n"))
+    broken = made.withColumn("messages", F.when(F.expr("CAST(substr(window_id, 2) AS BIGINT)") % 2 == 0, F.filter("messages", lambda m: m["role"] != "tool")).otherwise(F.col("messages")))
+    return validate.all_of(validate.check_tool_pairing(broken), validate.check_tools(made, ["search"])).groupBy("check").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("""SELECT CAST(w AS VARCHAR) AS key, 'train,val' AS detail FROM (SELECT doc_id // 3 AS w, count(*) AS n, count(DISTINCT doc_id % 2) AS s FROM documents GROUP BY 1) WHERE n > 1 AND s = 2""")
@@ -237,7 +242,8 @@ def assembled_calls(spark, sf_dir):
     return reports.assemble_calls(chunks).select("reply_id", "idx", "arguments")
 
 
-@query()
+@query("""SELECT event_id AS reply_id, 't' || event_id AS task_id, '1' AS start_ts, '2' AS end_ts, 'USR-1' AS ticket FROM events WHERE event_id % 4 <> 3
+UNION ALL SELECT event_id, 'cut', NULL, NULL, NULL FROM events WHERE event_id % 4 = 2""")
 def replies_parsed(spark, sf_dir):
     """Model replies made of the events: prose, fences, an example before the answer, comments, and cut-off ends."""
     e = table(spark, sf_dir, "events")
@@ -271,11 +277,7 @@ def order_of_values(spark, sf_dir):
 
 
 def _shared(spark) -> str:
-    from pathlib import Path
-    from tempfile import mkdtemp
-
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or Path(mkdtemp(prefix="shared-")).as_uri()
-    return f"{base}/stream-{uuid.uuid4().hex}"
+    return f"{sinks.shared_folder(spark)}/stream-{uuid.uuid4().hex}"
 
 
 def _event_stream(spark, sf_dir):

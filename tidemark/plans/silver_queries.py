@@ -25,8 +25,7 @@ def _week(spark, sf_dir):
 
 @query(f"""WITH {_SPANS_SQL} SELECT window_id, event_type, count(*) AS n FROM spans JOIN events ON ts BETWEEN start_ts AND end_ts GROUP BY 1, 2""")
 def interval_slice(spark, sf_dir):
-    found = interval.slice_by_windows(_spans(spark, sf_dir), events(spark, sf_dir).select("ts", "event_type"), "ts")
-    return found.groupBy("window_id", "event_type").agg(F.count(F.lit(1)).alias("n"))
+    return interval.count_by_windows(_spans(spark, sf_dir), events(spark, sf_dir).select("ts", "event_type"), "ts", "event_type")
 
 
 @query("""SELECT w.event_id AS window_id, e.event_id FROM events w JOIN events e ON e.ts BETWEEN w.ts AND w.ts + INTERVAL 20 MINUTE WHERE w.event_type = 'signup'""")
@@ -107,7 +106,7 @@ def nearest_windows(spark, sf_dir):
 
 def _proposals(spark, sf_dir):
     """A proposal for each ticket, some of them wrong: bounds that are no numbers, reversed, far off, cited ids invented."""
-    i, k = issues(spark, sf_dir), F.crc32(F.col("issue_key").cast("binary"))
+    i, k = issues(spark, sf_dir), F.expr("CAST(substr(issue_key, 5) AS BIGINT)")
     m = messages(spark, sf_dir).groupBy(F.get("mentions_ticket", F.lit(0)).alias("issue_key")).agg(F.min("message_id").alias("one"))
     a, b = F.unix_seconds("created_at"), F.unix_seconds("updated_at")
     start = F.when(k % 6 == 1, "soon").when(k % 6 == 2, (b + 10).cast("string")).when(k % 6 == 3, (a - 400 * 86400).cast("string")).otherwise(a.cast("string"))
@@ -119,13 +118,21 @@ def _proposals(spark, sf_dir):
     )
 
 
-@query()
+_JUDGED_SQL = f"""{SILVER_SQL}, p AS (SELECT lower(issue_key) AS task_id, CAST(substr(issue_key, 5) AS BIGINT) AS k, issue_key, CAST(floor(epoch(created_at)) AS BIGINT) AS a0, CAST(floor(epoch(updated_at)) AS BIGINT) AS b FROM issues),
+q AS (SELECT *, CASE WHEN k % 6 = 2 THEN b + 10 WHEN k % 6 = 3 THEN a0 - 400 * 86400 ELSE a0 END AS a FROM p),
+span AS (SELECT CAST(floor(epoch(min(ts))) AS BIGINT) AS lo, CAST(floor(epoch(max(ts))) AS BIGINT) AS hi FROM events),
+judged AS (SELECT q.*, CASE WHEN k % 6 = 1 THEN 'bounds are not whole numbers' WHEN b < a THEN 'ends before it starts' WHEN a < lo - 86400 OR b > hi + 86400 THEN 'outside the history'
+  WHEN k % 6 = 4 THEN 'no evidence' END AS reason FROM q, span)"""
+
+
+@query(f"""WITH {_JUDGED_SQL} SELECT task_id, a, b, CAST(1 AS DOUBLE) AS confidence, CASE WHEN k % 5 <> 0 THEN issue_key END AS ticket, ['nope'] AS hallucinated,
+  CAST((SELECT count(DISTINCT event_type) FROM events WHERE ts BETWEEN TIMESTAMP '1970-01-01' + to_seconds(a) AND TIMESTAMP '1970-01-01' + to_seconds(b)) AS INTEGER) AS n FROM judged WHERE reason IS NULL""")
 def proposals_kept(spark, sf_dir):
     kept, _ = _judged(spark, sf_dir)
     return kept.select("task_id", F.unix_seconds("start_ts").alias("a"), F.unix_seconds("end_ts").alias("b"), "confidence", "evidence.ticket", "evidence.hallucinated", F.size("participants").alias("n"))
 
 
-@query()
+@query(f"WITH {_JUDGED_SQL} SELECT reason, count(*) AS n FROM judged WHERE reason IS NOT NULL GROUP BY 1")
 def proposals_dropped(spark, sf_dir):
     return _judged(spark, sf_dir)[1].groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
 
@@ -236,12 +243,16 @@ def ticket_digests(spark, sf_dir):
     return d.select("issue_key", F.get_json_object("digest", "$.n_messages").cast("bigint").alias("n_messages"), n("$.status_trail").alias("n_trail"), n("$.pulls").alias("n_pulls"))
 
 
-@query()
+@query(f"""WITH {SILVER_SQL} SELECT 'tickets' AS kind, issue_key AS key, 1::BIGINT AS n FROM issues UNION ALL SELECT 'threads', message_id, 1 FROM messages WHERE author_name = 'view'""")
 def prompt_payloads(spark, sf_dir):
     m = messages(spark, sf_dir)
     d = windows.ticket_digest(issues(spark, sf_dir), changelog(spark, sf_dir), m, pulls(spark, sf_dir))
     loose = windows.orphan_threads(m.withColumn("mentions_ticket", F.when(F.col("author_name") == "view", F.array().cast("array<string>")).otherwise(F.col("mentions_ticket"))))
-    return windows.prompt_payload(d, loose, ranges=8).select("part", F.length("payload").alias("n"), "tokens")
+    made = windows.prompt_payload(d, loose, most_tokens=5000)
+    tickets = F.transform(F.from_json("payload", "tickets array<struct<ticket: string>>")["tickets"], lambda t: t["ticket"])
+    said = F.flatten(F.transform(F.from_json("payload", "threads array<struct<messages: array<struct<message_id: string>>>>")["threads"], lambda t: F.transform(t["messages"], lambda m: m["message_id"])))
+    keys = made.where("tokens > 0").select("kind", F.explode(F.when(F.col("kind") == "tickets", tickets).otherwise(said)).alias("key"))
+    return keys.groupBy("kind", "key").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(f"""WITH {_CHUNKS_SQL}, b AS (SELECT 'w-' || task_id AS window_id, start_ts, end_ts FROM baseline) SELECT window_id,
@@ -316,11 +327,14 @@ def branch_commits(spark, sf_dir):
 
 
 @query(f"""WITH {SILVER_SQL} SELECT 'no_duration' AS "check", count(*) AS n FROM baseline WHERE end_ts <= start_ts HAVING count(*) > 0
-UNION ALL SELECT 'window_empty', count(*) FROM (SELECT task_id FROM baseline WHERE task_id LIKE '%7') HAVING count(*) > 0""")
+UNION ALL SELECT 'window_empty', count(*) FROM (SELECT task_id FROM baseline WHERE task_id LIKE '%7') HAVING count(*) > 0
+UNION ALL SELECT 'patch_not_a_diff', count(*) FROM orders WHERE o_orderkey % 5 = 0 OR o_orderkey % 7 = 0 HAVING count(*) > 0""")
 def gold_checks(spark, sf_dir):
     b = _baseline(spark, sf_dir).withColumn("window_id", F.col("task_id")).select("window_id", "start_ts", "end_ts")
     chunks = b.where("window_id NOT LIKE '%7'").select("window_id")
-    patches = spark.createDataFrame([], "window_id string, patch string")
+    k = F.col("o_orderkey")
+    text = F.concat(F.when(k % 5 == 0, "changed ").otherwise("diff --git a/f b/f "), F.repeat(F.lit("+"), F.when(k % 7 == 0, 10).otherwise(300)))
+    patches = table(spark, sf_dir, "orders").select(k.cast("string").alias("window_id"), text.alias("patch"))
     return validate.check_gold(b, chunks, patches).groupBy("check").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -44,7 +44,7 @@ def seconds(c: str) -> F.Column:
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     ticket = F.concat(F.lit("USR-"), F.col("user_id").cast("string"))
-    pr = F.when(F.col("event_type") == "click", F.array((F.col("event_id") % 200).cast("int"))).otherwise(F.array().cast("array<int>"))
+    pr = F.when(F.col("event_type") == "click", F.array(F.floor(F.col("event_id") / 50).cast("int"))).otherwise(F.array().cast("array<int>"))
     return events(spark, sf_dir).select(
         F.col("event_id").cast("string").alias("message_id"), "ts", F.col("event_type").alias("author_name"), F.col("event_type").alias("channel"),
         F.concat(F.lit("about "), ticket, F.lit(" "), F.col("props")).alias("content"), F.array(ticket).alias("mentions_ticket"), pr.alias("mentions_pr"),
@@ -69,8 +69,8 @@ def changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pulls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """200 pull requests at most, made of the first event of each number; two thirds are merged, half a day later."""
-    first = events(spark, sf_dir).groupBy((F.col("event_id") % 200).cast("int").alias("pr_number")).agg(F.min("ts").alias("opened_at"))
+    """A pull request for every fifty events, opened with the first of them; two thirds are merged, half a day later."""
+    first = events(spark, sf_dir).groupBy(F.floor(F.col("event_id") / 50).cast("int").alias("pr_number")).agg(F.min("ts").alias("opened_at"))
     merged = F.col("pr_number") % 3 != 0
     return first.select(
         "pr_number", F.concat(F.lit("change "), F.col("pr_number").cast("string")).alias("title"), merged.alias("merged"), F.lit("dev").alias("author"), "opened_at",
@@ -81,13 +81,13 @@ def pulls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SILVER_SQL = """
 messages AS (SELECT event_id, CAST(event_id AS VARCHAR) AS message_id, ts, event_type AS author_name, event_type AS channel,
-  'USR-' || user_id AS ticket, CASE WHEN event_type = 'click' THEN CAST(event_id % 200 AS INTEGER) END AS pr FROM events),
+  'USR-' || user_id AS ticket, CASE WHEN event_type = 'click' THEN CAST(event_id // 50 AS INTEGER) END AS pr FROM events),
 issues AS (SELECT 'USR-' || user_id AS issue_key, min(ts) + INTERVAL 1 HOUR AS created_at, max(ts) AS updated_at FROM events GROUP BY user_id),
 changelog AS (SELECT 'h' || event_id AS id, 'USR-' || user_id AS issue_key, ts,
   CASE WHEN event_type = 'purchase' THEN 'Done' ELSE 'Reopened' END AS to_value FROM events WHERE event_type IN ('purchase', 'error')),
 pulls AS (SELECT pr_number, opened_at, pr_number % 3 <> 0 AS merged, CASE WHEN pr_number % 3 <> 0 THEN opened_at + INTERVAL 12 HOUR END AS merged_at,
   CASE WHEN pr_number % 3 <> 0 THEN sha1(CAST(pr_number AS VARCHAR)) END AS merge_sha
-  FROM (SELECT CAST(event_id % 200 AS INTEGER) AS pr_number, min(ts) AS opened_at FROM events GROUP BY 1)),
+  FROM (SELECT CAST(event_id // 50 AS INTEGER) AS pr_number, min(ts) AS opened_at FROM events GROUP BY 1)),
 ticket_pr AS (SELECT ticket, pr AS pr_number, min(ts) AS first_ts FROM messages WHERE pr IS NOT NULL GROUP BY 1, 2),
 merges AS (SELECT t.ticket, max(p.merged_at) AS last_merge, count(*) AS n_prs FROM ticket_pr t JOIN pulls p USING (pr_number) WHERE p.merged GROUP BY 1),
 done AS (SELECT issue_key, max(ts) AS done_at FROM changelog WHERE to_value = 'Done' GROUP BY 1),

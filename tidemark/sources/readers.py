@@ -81,16 +81,19 @@ def read_zip_json(spark: SparkSession, path: str) -> DataFrame:
     """Like read_chat_archives, for zip files whose members are JSON documents, and for plain JSON files among them. A
     file that is neither gives a row whose error says so. Members are read one at a time."""
 
+    def each(name: str, content: bytes) -> Iterator[tuple[str, bytes]]:
+        if not zipfile.is_zipfile(io.BytesIO(content)):
+            yield name, content
+            return
+        with zipfile.ZipFile(io.BytesIO(content)) as held:
+            for m in sorted(held.namelist()):
+                if m.endswith(".json"):
+                    yield f"{name}!{m}", held.read(m)
+
     def members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for name, content in zip(batch["path"], batch["content"], strict=True):
-                blobs, error = [], None
-                if zipfile.is_zipfile(io.BytesIO(content)):
-                    with zipfile.ZipFile(io.BytesIO(content)) as held:
-                        blobs = [(f"{name}!{m}", held.read(m)) for m in sorted(held.namelist()) if m.endswith(".json")]
-                else:
-                    blobs = [(name, content)]
-                for where, blob in blobs:
+                for where, blob in each(name, content):
                     try:
                         text, error = blob.decode("utf-8-sig"), None
                         json.loads(text)

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +39,17 @@ def _move(spark: SparkSession, source: str, target: str) -> None:
     fs.delete(aside, True)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder in spark.checkpoint.dir, which driver and executors share; one of our own only on one machine."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not found:
+        if not re.match(r"local($|\[)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        found = Path(tempfile.mkdtemp(prefix="shared-")).as_uri()
+        spark.sparkContext.setCheckpointDir(found)
+    return found
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)

@@ -41,8 +41,8 @@ from tidemark.llm.features import text_parts
 
 #: link_fingerprints resolves keys that more distinct fingerprints share by probes instead of a join; both ways are exact.
 JOIN_UP_TO = 32
-#: So many fingerprints of a crowded block of near_copies meet all of the block in one task.
-CHUNK = 256
+#: Crowded blocks of near_copies are dealt into chunks of about so many fingerprints, and of so many shingles.
+CHUNK, CHUNK_SHINGLES = 256, 500_000
 _TO_LOWER = bytes.maketrans(UPPER.encode(), LOWER.encode())
 _BITS_OF_BYTE = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
 
@@ -225,8 +225,9 @@ def near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, bloc
     Jaccard similarity of the two sets of 64-bit hashes, unless its numbers of shingles or its 256-bit fingerprints (four
     deviations) rule it out, or its two sides are known to be in one component already. That is why each block first
     compares its fingerprints with two of them; most blocks are then in one component, and only pairs across components are
-    left. Their number is that of the block's fingerprints times those outside its largest component: it is the square of
-    the block's size where many texts share a block but are not similar enough."""
+    left. Those of a block of up to JOIN_UP_TO fingerprints are joined. A larger block is dealt into chunks, and each pair
+    of chunks meets in a group of bounded size, which counts common shingles and gives out links only. So no pairs become
+    rows there; the comparisons are still those of the block's fingerprints with those outside its largest component."""
     # the angle between count vectors of sets with this Jaccard similarity, as a share of 256 bits, and four deviations
     share = math.acos(2 * similarity / (1 + similarity)) / math.pi
     within = round(256 * share + 4 * math.sqrt(256 * share * (1 - share)))
@@ -284,7 +285,9 @@ def near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, bloc
     first = materialize(first, "simhash-first")
     near = connected_components(verified(first.join(side("a", "m", "x"), "a").join(side("b", "n", "y"), "b")))
     now = shared.select("key", "fp").join(near.withColumnRenamed("node", "fp"), "fp", "left").select("key", "fp", F.coalesce("component", "fp").alias("c"))
-    rest = verified(_across(materialize(now, "simhash-placed"), some))
+    members = _open_blocks(materialize(now, "simhash-placed"), some)
+    few, many = members.where(F.col("sharing") <= JOIN_UP_TO), members.where(F.col("sharing") > JOIN_UP_TO)
+    rest = verified(_across(few)).unionByName(_links_of_chunks(many, hashes, similarity))
     names = near.select(F.col("node"), F.col("component").alias("to"))
     for end in ("a", "b"):
         rest = rest.join(names.withColumnRenamed("node", end), end, "left").withColumn(end, F.coalesce("to", end)).drop("to")
@@ -298,24 +301,68 @@ def near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, bloc
     return found.select("doc_id", "row", "fp").join(named, "fp").select("doc_id", "row", "fp", "component", "component_id")
 
 
-def _across(now: DataFrame, some: DataFrame) -> DataFrame:
-    """(a, b, x, y, m, n): all pairs of a block (key, fp, c) in different components c. Those outside the block's largest
-    component, in chunks of about CHUNK, meet all."""
-    held = now.groupBy("key", "c").agg(F.count(F.lit(1)).alias("k"))
-    blocks = held.groupBy("key").agg(F.max_by("c", F.struct("k", "c")).alias("main"), (F.sum("k") - F.max("k")).alias("rest")).where("rest > 0")
-    blocks = blocks.select("key", "main", F.ceil(F.col("rest") / CHUNK).alias("chunks"))
-    members = materialize(now.join(blocks, "key").join(some.select("fp", "n", "wide"), "fp"), "simhash-open")
-    chunk = F.pmod(F.xxhash64("fp"), F.col("chunks"))
-    left = members.where("c <> main").select("key", chunk.alias("chunk"), F.col("fp").alias("a"), F.col("n").alias("m"), F.col("wide").alias("x"), F.col("c").alias("d"))
-    right = members.select("key", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1)).alias("chunk"), F.col("fp").alias("b"), "n", F.col("wide").alias("y"), "c", "main")
+def _open_blocks(now: DataFrame, some: DataFrame) -> DataFrame:
+    """The members (key, fp, c, n, wide) of blocks that more than one component c has, with the block's largest component,
+    its size, and the numbers of chunks of those outside of that component and of all."""
+    sized = now.join(some.select("fp", "n", "wide"), "fp")
+    held = sized.groupBy("key", "c").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("shingles"))
+    most = F.max(F.struct("k", "c", "shingles"))
+    blocks = held.groupBy("key").agg(most.alias("most"), F.sum("k").alias("sharing"), F.sum("shingles").alias("shingles"))
+
+    def chunks(k: Column, shingles: Column) -> Column:
+        return F.greatest(F.ceil(k / CHUNK), F.ceil(shingles / CHUNK_SHINGLES), F.lit(1))
+
+    outside = chunks(F.col("sharing") - F.col("most.k"), F.col("shingles") - F.col("most.shingles"))
+    blocks = blocks.where("sharing > most.k").select("key", "sharing", F.col("most.c").alias("main"), outside.alias("rows"), chunks(F.col("sharing"), F.col("shingles")).alias("columns"))
+    return materialize(sized.join(blocks, "key"), "simhash-open")
+
+
+def _across(members: DataFrame) -> DataFrame:
+    """(a, b, x, y, m, n): all pairs of a block in different components; one of the two is outside the largest."""
+    left = members.where("c <> main").select("key", F.col("fp").alias("a"), F.col("n").alias("m"), F.col("wide").alias("x"), F.col("c").alias("d"))
+    right = members.select("key", F.col("fp").alias("b"), "n", F.col("wide").alias("y"), "c", "main")
     once = (F.col("c") != F.col("d")) & ((F.col("c") == F.col("main")) | (F.col("a") < F.col("b")))
-    pairs = left.join(right, ["key", "chunk"]).where(once)
+    pairs = left.join(right, "key").where(once)
     swap = F.col("a") > F.col("b")
     return pairs.select(
         F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.when(swap, F.col("y")).otherwise(F.col("x")).alias("x"), F.when(swap, F.col("x")).otherwise(F.col("y")).alias("y"), "m", "n"
     )
 
 
+def _links_of_chunks(members: DataFrame, hashes: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): the similar pairs of a block in different components. A chunk of those outside the largest component meets a
+    chunk of all members in a group, where the shingles that they have in common are counted."""
+
+    def links(group: pa.Table) -> pa.Table:
+        group = group.combine_chunks()
+        fp, c, asks = (group[x].to_numpy() for x in ("fp", "c", "asks"))
+        sets = group["hashes"].chunk(0) if group["hashes"].num_chunks else group["hashes"].combine_chunks()
+        n = sets.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        _, ids = np.unique(sets.flatten().to_numpy(), return_inverse=True)
+        ends = np.cumsum(n)
+        held = np.flatnonzero(~asks & (n > 0))
+        theirs = ids[np.repeat(~asks, n)]
+        starts = np.cumsum(n[held]) - n[held]
+        mark, found = np.zeros(len(ids), np.int32), []
+        for i in np.flatnonzero(asks & (n > 0)) if len(held) else ():
+            own = ids[ends[i] - n[i] : ends[i]]
+            mark[own] = 1
+            common = np.add.reduceat(mark[theirs], starts)
+            mark[own] = 0
+            near = held[(c[held] != c[i]) & (common >= similarity * (n[i] + n[held] - common))]
+            found.append(np.stack([np.minimum(fp[near], fp[i]), np.maximum(fp[near], fp[i])]))
+        both = np.concatenate(found or [np.zeros((2, 0), np.int64)], 1)
+        return pa.table({"a": both[0], "b": both[1]})
+
+    dealt = F.xxhash64("fp")
+    row, column = F.pmod(dealt, F.col("rows")), F.pmod(dealt, F.col("columns"))
+    every = members.select("key", "fp", "c", "main", "rows", "columns").join(hashes, "fp")
+    left = every.where("c <> main").withColumn("row", row).withColumn("column", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("columns") - 1)))
+    right = every.withColumn("column", column).withColumn("row", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("rows") - 1)))
+    met = left.withColumn("asks", F.lit(True)).unionByName(right.withColumn("asks", F.lit(False))).select("key", "row", "column", "asks", "fp", "c", "hashes")
+    return met.groupBy("key", "row", "column").applyInArrow(links, "a bigint, b bigint").distinct()
+
+
 def keep_one(docs: DataFrame, found: DataFrame, id: str = "doc_id") -> DataFrame:
     """One row of docs for each component: that of the smallest id (a null id only if there is no other), and of its
     rows that of the smallest digest. Equal rows count as one."""

@@ -70,12 +70,14 @@ def score_texts(docs: DataFrame, score: Callable[[list[str]], dict[str, np.ndarr
 
 def isotonic(scores: np.ndarray, labels: np.ndarray, weights: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Knots (score, share of label 1) of the non-decreasing step fit: pool adjacent violators."""
-    order = np.argsort(scores, kind="stable")
-    w = np.ones(len(scores)) if weights is None else weights[order]
+    w = np.ones(len(scores)) if weights is None else weights
+    at, place = np.unique(scores, return_inverse=True)  # equal scores are one place, whatever their labels
+    whole = np.bincount(place, w, len(at))
+    mean = np.bincount(place, w * labels, len(at)) / whole
     levels: list[list[float]] = []  # value, weight, first score, last score
-    for x, y, z in zip(scores[order], labels[order].astype(float), w, strict=True):
+    for x, y, z in zip(at, mean, whole, strict=True):
         levels.append([y, z, x, x])
-        while len(levels) > 1 and (levels[-2][0] >= levels[-1][0] or levels[-2][3] == levels[-1][2]):
+        while len(levels) > 1 and levels[-2][0] >= levels[-1][0]:
             y2, z2, _, last = levels.pop()
             y1, z1, first, _ = levels.pop()
             levels.append([(y1 * z1 + y2 * z2) / (z1 + z2), z1 + z2, first, last])

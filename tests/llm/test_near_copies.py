@@ -4,6 +4,7 @@ import random
 from itertools import combinations
 
 import corpus_pipeline
+import pytest
 from test_dedup import roots, shingles
 from tidemark.llm import simhash
 
@@ -31,8 +32,12 @@ def components(spark, docs):
     return {r.doc_id: r.component_id for r in simhash.near_copies(spark.createDataFrame(docs, SCHEMA)).collect()}
 
 
-def test_crowded_blocks_keep_every_link(spark, monkeypatch):
-    monkeypatch.setattr(simhash, "CHUNK", 16, raising=False)
+@pytest.mark.parametrize(("joined", "shingles"), [(1000, 500_000), (4, 500_000), (4, 3000)])
+def test_crowded_blocks_keep_every_link(spark, monkeypatch, joined, shingles):
+    """All blocks joined, all but the smallest in chunks, and chunks cut by their shingles."""
+    monkeypatch.setattr(simhash, "CHUNK", 16)
+    monkeypatch.setattr(simhash, "CHUNK_SHINGLES", shingles)
+    monkeypatch.setattr(simhash, "JOIN_UP_TO", joined)
     rng = random.Random(5)
     docs = []
     for group in range(4):

@@ -13,9 +13,11 @@ one class only, or none, every score is that class's share (0.5 without labels).
 
 from __future__ import annotations
 
+import itertools
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -99,13 +101,15 @@ def log_count_ratios(rows: list[np.ndarray], labels: np.ndarray, alpha: float =
 def dual_coordinate_descent(rows: list[np.ndarray], signs: np.ndarray, r: np.ndarray, cost: np.ndarray, epochs: int, seed: int) -> tuple[np.ndarray, float]:
     """Weights and bias of the L1-loss linear SVM over rows of r-scaled indicators divided by sqrt(their number)."""
     w, bias = np.zeros(len(r)), 0.0
-    values = [r[x] / np.sqrt(max(1, len(x))) for x in rows]
-    norms = np.array([v @ v + 1 for v in values])
+    # values are made anew at each step: all of them at once would take three times the memory of the rows
+    value = lambda x: r[x] / np.sqrt(max(1, len(x)))
+    norms = np.array([(v := value(x)) @ v + 1 for x in rows])
     alpha = np.zeros(len(rows))
     rng = np.random.default_rng(seed)
     for _ in range(epochs):
         for i in rng.permutation(len(rows)):
-            x, v, y = rows[i], values[i], signs[i]
+            x, y = rows[i], signs[i]
+            v = value(x)
             now = min(max(alpha[i] - (y * (w[x] @ v + bias) - 1) / norms[i], 0.0), cost[i])
             if now != alpha[i]:
                 step = (now - alpha[i]) * y
@@ -124,9 +128,11 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, id: str = "doc_id", text
         return Quality(np.zeros(1), 0.0, 1.0, 0.0, prior)
     rows = with_texts(docs, sample, id, text)
     kept = score_texts(rows, lambda texts: {"x": [features(t) for t in texts]}, "x array<int>", "doc_id", "text", {"label": F.col("label")})
-    got = kept.toArrow().sort_by("doc_id")
-    y = got["label"].to_numpy().astype(int)
-    rows = [np.asarray(x, np.int32) for x in got["x"].to_numpy()]
+    got = kept.toArrow()
+    ordered = pc.sort_indices(got, [("doc_id", "ascending")]).to_numpy()
+    y = got["label"].to_numpy().astype(int)[ordered]
+    rows = [x.flatten().to_numpy()[a:b] for x in got["x"].chunks for a, b in itertools.pairwise((x.offsets.to_numpy() - x.offsets[0].as_py()).tolist())]
+    rows = [rows[i] for i in ordered]  # views of the one table that came
     if len(set(y)) < 2:
         return Quality(np.zeros(1), 0.0, 1.0, 0.0, totals[1] / sum(totals.values()))
     test = np.arange(len(y)) % 4 == 3

@@ -105,14 +105,24 @@ def test_top_k_matches_brute_force(spark, monkeypatch):
     data += [(400 + i, data[i][1]) for i in range(60)]  # ties
     data += [(None, data[0][1]), (900, None), (901, [1.0, None]), (902, [float("nan")] * 20), (903, [float("inf")] * 20), (1000, [0.5, 0.25])]
     df = spark.createDataFrame([(i, v, "x") for i, v in data], "vec_id bigint, embedding array<float>, v string")
-    for block in (64, 100_000):
-        monkeypatch.setattr(topk, "CANDIDATE_BLOCK", block)
-        monkeypatch.setattr(topk, "QUERY_BLOCK", max(8, block // 16))
+    for most, few in ((8 * 20 * 9, 2048), (8 * 20 * 64, 2048), (1 << 24, 50), (1 << 24, 2048)):
+        monkeypatch.setattr(topk, "MATRIX_BYTES", most)
+        monkeypatch.setattr(topk, "FEW", few)
         assert sorted(rows(topk.top_k(df, F.col("vec_id") % 20 == 0, k=7))) == plain_top(data, 7, 20)
     assert topk.top_k(df.where("false"), F.lit(True)).count() == 0
     assert len(rows(topk.top_k(df.where("vec_id < 3"), F.lit(True), k=10))) == 6
 
 
+def test_best_of_block_of_numbers_beyond_doubles():
+    rng = np.random.default_rng(8)
+    q, c = rng.integers(-(1 << 28), 1 << 28, (40, 50)), rng.integers(-(1 << 28), 1 << 28, (40, 300))
+    whole = q.T @ c
+    floors = np.where(np.arange(50) % 2, np.sort(whole, 1)[:, -5].astype(float), np.nan)
+    for i, (at, scores) in enumerate(topk.best_of_block(q, c, np.full(50, -1), np.arange(300), 5, floors)):
+        want = np.lexsort((np.arange(300), -whole[i]))[:5]
+        assert at.tolist() == want.tolist() and scores.tolist() == whole[i][want].tolist()
+
+
 ODD = ["a\x1fb c", "x\x85y z w", "　lead <|endoftext|> and<|startoftext|>tail", "don't I'll 12 3,4 -- é É é ́x", "tab\tand\x0bvt\x0cff", "ﬁ ǅ 你好 \U0001f600​"]
 
 

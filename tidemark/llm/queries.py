@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontamination, language, line_dedup, mixing, quality, simhash, suffix_dedup, token_files, topk, toxicity
+from tidemark.llm import decontamination, language, line_dedup, mixing, periodic, phrases, quality, simhash, suffix_dedup, token_files, topk, toxicity, vector_dedup
 from tidemark.llm.common import crc32_mod, shared_dir, table
 
 
@@ -136,9 +136,93 @@ FROM keyed k LEFT JOIN hot h ON k.key = h.key GROUP BY k.doc_id
 """
 
 
+def op11_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dedup.near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.95)
+
+
+_OP11_SQL = """
+WITH RECURSIVE v AS MATERIALIZED (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+    AND len([x FOR x IN embedding IF x <> 0]) > 0),
+link AS MATERIALIZED (SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.vec_id <> b.vec_id
+         WHERE list_cosine_similarity(a.e, b.e) >= 0.95),
+reach AS (SELECT vec_id AS x, vec_id AS y FROM embeddings UNION SELECT r.x, l.y FROM reach r JOIN link l ON r.y = l.x),
+low AS (SELECT x, min(y) AS component_id FROM reach GROUP BY 1),
+n AS (SELECT x, count(*) AS n_links FROM link GROUP BY 1)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN low ON vec_id = low.x LEFT JOIN n ON vec_id = n.x
+"""
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): one document in ten, by the crc32 of its id, goes on from some word a by repeating its own words from
+    a on, with a period of a few parts of the rest; the others are as they are."""
+    h = crc32_mod(F.col("doc_id"), 1 << 32)
+    found = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), F.when(h % 10 == 0, F.array_remove(F.split("text", r"[\x20\x09-\x0D]+"), "")).alias("w"))
+    found = found.withColumns({"n": F.size("w"), "a": F.when(F.size("w") > 0, F.col("g") % F.size("w"))})
+    found = found.withColumn("p", 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8)))
+    at = lambda i: F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p")).cast("int")
+    periodic = F.array_join(F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda i: F.get("w", at(i))), " ")
+    return found.select("doc_id", F.when(F.col("a").isNotNull(), periodic).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.periodic_runs(with_planted_runs(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    said = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    found = found.withColumn("x", longest)
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        (-F.col("x.start")).alias("start"),
+        F.col("x.length").alias("length"),
+        (-F.col("x.period")).alias("period"),
+        F.floor(1000 * F.col("x.length") / -F.col("x.period")).alias("exponent_milli"),
+        F.sha2(said, 256).alias("runs_sha256"),
+        F.sha2(F.encode("collapsed", "UTF-8"), 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents").select("text", "lang"), most_words=4, min_count=30, covered=(80, 100), best=2000)
+
+
+_OP13_SQL = r"""
+WITH piece AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+p AS MATERIALIZED (SELECT lang, [x FOR x IN string_split_regex(piece, '[\x20\x09]+') IF x <> ''] AS w FROM piece),
+total AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM p GROUP BY 1),
+f AS MATERIALIZED (
+  SELECT lang, k, phrase, count(*) AS n FROM (
+    SELECT lang, k, unnest([array_to_string(w[i:i + k - 1], ' ') FOR i IN range(1, len(w) - k + 2)]) AS phrase
+    FROM p, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE len(w) >= k)
+  GROUP BY 1, 2, 3 HAVING count(*) >= 30),
+cut AS (
+  SELECT lang, k, phrase, n AS a, c, array_to_string(string_split(phrase, ' ')[1:c], ' ') AS lp,
+         array_to_string(string_split(phrase, ' ')[c + 1:k], ' ') AS rp
+  FROM f, (SELECT unnest([1, 2, 3]) AS c) WHERE k > c),
+s AS (
+  SELECT cut.lang, cut.k, cut.phrase, a, x.n AS l, y.n AS r, c, CAST((CAST(a AS HUGEINT) * 2000000) // (x.n + y.n) AS BIGINT) AS score
+  FROM cut JOIN f x ON x.lang = cut.lang AND x.phrase = lp JOIN f y ON y.lang = cut.lang AND y.phrase = rp),
+best AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1),
+dropped AS (
+  SELECT DISTINCT b.lang, b.phrase FROM best b JOIN (
+    SELECT lang, array_to_string(string_split(phrase, ' ')[i:i + len - 1], ' ') AS phrase, max(n) AS n
+    FROM f, (SELECT unnest([2, 3]) AS len), (SELECT unnest([1, 2, 3]) AS i) WHERE k > len AND i + len - 1 <= k GROUP BY 1, 2) m
+  ON b.lang = m.lang AND b.phrase = m.phrase WHERE 100 * m.n >= 80 * b.a),
+ranked AS (
+  SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) AS rank, b.phrase, a, l, r, score
+  FROM best b LEFT JOIN dropped d ON b.lang = d.lang AND b.phrase = d.phrase WHERE d.phrase IS NULL)
+SELECT ranked.lang, rank, phrase, a, l, r, n, score FROM ranked JOIN total ON ranked.lang = total.lang WHERE rank <= 2000
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_mixing, op2_simhash, op3_toxicity, op4_token_files, op5_decontaminate, op6_topk, op7_suffix_dedup, op8_language, op9_quality, op10_line_dedup)}
+    return {f.__name__: f for f in (op1_mixing, op2_simhash, op3_toxicity, op4_token_files, op5_decontaminate, op6_topk, op7_suffix_dedup, op8_language, op9_quality, op10_line_dedup,
+                                     op11_vector_dedup, op12_periodic, op13_collocations)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_decontaminate": _OP5_SQL, "op6_topk": _OP6_SQL, "op10_line_dedup": _OP10_SQL}
+    return {"op5_decontaminate": _OP5_SQL, "op6_topk": _OP6_SQL, "op10_line_dedup": _OP10_SQL, "op11_vector_dedup": _OP11_SQL, "op13_collocations": _OP13_SQL}

@@ -33,7 +33,9 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import LOWER, UPPER, discard, materialize
 
 #: Words that a task holds before it gives out their counts.
-WORDS_TOGETHER = 2_000_000
+WORDS_TOGETHER = 1_000_000
+#: Rows that leave a task together.
+ROWS_TOGETHER = 50_000
 #: Side of a tile, and the share of its cells that must have a pair for it to be counted directly.
 TILE, CROWDED = 1024, 1 / 16
 #: Bits of the bitmap: 32 for each frequent phrase, within these bounds (128 kB and 16 MB).
@@ -96,15 +98,16 @@ def count_pairs(left: np.ndarray, right: np.ndarray, side: int) -> tuple[np.ndar
 
 
 class _Words(dict):
-    """Numbers the words of one language, out of a list that all languages share."""
+    """Numbers the words of one language, out of lists that all languages share."""
 
-    def __init__(self, lang: str, shared: list[tuple[str, bytes]]):
-        self.lang, self.shared = lang, shared
+    def __init__(self, lang: str, langs: list[str], words: list[bytes]):
+        self.lang, self.langs, self.words = lang, langs, words
         self[BREAK] = 0
 
     def __missing__(self, word: bytes) -> int:
-        self[word] = found = len(self.shared)
-        self.shared.append((self.lang, word))
+        self[word] = found = len(self.words)
+        self.langs.append(self.lang)
+        self.words.append(word)
         return found
 
 
@@ -116,35 +119,36 @@ class _Chunk:
         self.clear()
 
     def clear(self) -> None:
-        self.names: list[tuple[str, bytes]] = [("", BREAK)]
+        self.langs, self.words = [""], [BREAK]
         self.by_lang: dict[str, _Words] = {}
         self.parts, self.size = [], 0
 
     def add(self, lang: str, text: bytes) -> None:
         names = self.by_lang.get(lang)
         if names is None:
-            names = self.by_lang[lang] = _Words(lang, self.names)
+            names = self.by_lang[lang] = _Words(lang, self.langs, self.words)
         words = split_words(text)
-        self.parts += [np.fromiter(map(names.__getitem__, words), np.int64, len(words)), np.zeros(1, np.int64)]
+        self.parts += [np.fromiter(map(names.__getitem__, words), np.int32, len(words)), np.zeros(1, np.int32)]
         self.size += len(words) + 1
 
-    def _given_out(self, counts: np.ndarray, *words: np.ndarray) -> pa.RecordBatch:
-        langs, texts = (pa.array([x[i] for x in self.names]) for i in (0, 1))
-        texts = texts.cast(pa.binary())
-        phrase = pc.binary_join_element_wise(*[texts.take(pa.array(w)) for w in words], pa.scalar(b" ", pa.binary()))
-        return pa.RecordBatch.from_arrays([langs.take(pa.array(words[0])), phrase.cast(pa.string()), pa.array(counts)], schema=_COUNTS)
+    def _given_out(self, counts: np.ndarray, *words: np.ndarray) -> Iterator[pa.RecordBatch]:
+        langs, texts = pa.array(self.langs), pa.array(self.words, pa.binary())
+        for at in range(0, len(counts), ROWS_TOGETHER):
+            part = [pa.array(w[at : at + ROWS_TOGETHER]) for w in words]
+            phrase = pc.binary_join_element_wise(*[texts.take(w) for w in part], pa.scalar(b" ", pa.binary()))
+            yield pa.RecordBatch.from_arrays([langs.take(part[0]), phrase.cast(pa.string()), pa.array(counts[at : at + ROWS_TOGETHER])], schema=_COUNTS)
 
     def counts(self) -> Iterator[pa.RecordBatch]:
         if not self.parts:
             return
         words = np.concatenate(self.parts)
+        self.parts.clear()
         if self.length == 1:
-            found = np.bincount(words, minlength=len(self.names))
+            found = np.bincount(words, minlength=len(self.words))
+            found[0] = 0
             at = np.flatnonzero(found)
-            at = at[at > 0]
-            langs = [self.names[i][0] for i in at]
-            totals = pd.Series(found[at]).groupby(langs, sort=False).sum()
-            yield self._given_out(found[at], at)
+            totals = pd.Series(found[at]).groupby([self.langs[i] for i in at], sort=False).sum()
+            yield from self._given_out(found[at], at)
             yield pa.RecordBatch.from_arrays([pa.array(totals.index.tolist(), pa.string()), pa.nulls(len(totals), pa.string()), pa.array(totals.to_numpy())], schema=_COUNTS)
         else:
             yield from self._longer(words)
@@ -154,7 +158,7 @@ class _Chunk:
         k, n = self.length, len(words) - self.length + 1
         if n < 1:
             return
-        hashes = np.array([word_hash(*x) for x in self.names], np.uint64)
+        hashes = np.fromiter(map(word_hash, self.langs, self.words), np.uint64, len(self.words))
         inner = hashes[words[: n + 1]]
         whole = words[: n + 1] > 0
         for i in range(1, k - 1):
@@ -164,19 +168,20 @@ class _Chunk:
         at = np.flatnonzero(found[:-1] & found[1:])
         if not len(at):
             return
+        del inner, whole, found
         last, names = ranked(words[at + k - 1])
         left, first = ranked(words[at])
         keys = [first]
         for i in range(1, k - 1):  # the phrase but its last word, numbered anew with each word that joins it
-            left, key = ranked(left * len(self.names) + words[at + i])
+            left, key = ranked(left * len(self.words) + words[at + i])
             keys.append(key)
         a, b, counts = count_pairs(left, last, self.side)
         parts = [names[b]]
         for key in reversed(keys[1:]):
-            parts.append(key[a] % len(self.names))
-            a = key[a] // len(self.names)
+            parts.append(key[a] % len(self.words))
+            a = key[a] // len(self.words)
         parts.append(keys[0][a])
-        yield self._given_out(counts, *reversed(parts))
+        yield from self._given_out(counts, *reversed(parts))
 
 
 def holds(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:

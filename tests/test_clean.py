@@ -1,4 +1,5 @@
 import json
+import re
 
 from pyspark.sql import functions as F
 
@@ -145,6 +146,15 @@ def test_upsert_changes_only_what_is_listed(spark, tmp_path):
     sinks.upsert(spark, path, make((1, "A", "B"), (3, "e", "f"), (None, "N", "N")), ["k"], ["a"])
     got = {r.k: (r.a, r.b) for r in spark.read.parquet(path).collect()}
     assert got == {1: ("A", "b"), 2: ("c", "d"), 3: ("e", "f"), None: ("N", "n")}
+    plan = sinks.read_buckets(spark, path, spark.createDataFrame([(3,)], "k int"))._jdf.queryExecution().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*bucket_of_64#\d+ (IN|=)", plan)  # and nothing else is read
+    assert [r.a for r in sinks.read_buckets(spark, path, spark.createDataFrame([(3,)], "k int")).collect()] == ["e"]  # an int finds a bigint
+    files = set((tmp_path / "t").rglob("*.parquet"))
+    sinks.upsert(spark, path, make((3, "E", "F")).withColumn("k", F.col("k").cast("int")), ["k"])
+    assert sinks.read_buckets(spark, path).count() == 4 and len(files - set((tmp_path / "t").rglob("*.parquet"))) == 1
+    sinks.replace(spark, path, make((3, "", ""), (9, "", "")).select("k"), make((9, "i", "j")))
+    assert sorted((str(r.k), r.a) for r in sinks.read_buckets(spark, path).collect()) == [("1", "A"), ("2", "c"), ("9", "i"), ("None", "N")]
+    sinks.replace(spark, path, make((9, "", "")).select("k"), make((9, "", "")).limit(0))
     assert sinks.delete_where(spark.read.parquet(path), make((1, "", ""), (None, "", "")), ["k"]).count() == 2
 
 

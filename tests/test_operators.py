@@ -1,4 +1,7 @@
+import datetime
 import json
+import random
+import shutil
 from datetime import datetime as dt
 
 import pytest
@@ -6,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators import dataset, graph, interval, links, replies, reports, validate, windows
-from tidemark.sources import readers
+from tidemark.sources import readers, sinks
 from tidemark.streaming import stream
 
 T0 = 1767225600  # 2026-01-01
@@ -245,6 +248,65 @@ def test_silver_stream_equals_batch_and_is_idempotent(spark, tmp_path):
     assert [r.last_key for r in spark.read.parquet(audit).collect()] == ["4"]
     stream.run_silver_stream(stream.stream_chat(spark, source, schema), out, bad, f"{tmp_path}/ck", audit)
     assert spark.read.parquet(out).count() == 3
+    shutil.rmtree(f"{out}/batch=0")  # no batch needs the rows of earlier ones to know their ids
+    land("1", "3", "4", "5", "5")
+    assert sorted(r.message_id for r in spark.read.parquet(out).collect()) == ["4", "5"]
+    assert sorted(r.reason for r in spark.read.parquet(bad).collect()) == ["bad_id", "empty"]
+
+
+def test_first_of_repeated_rows_in_a_batch_counts(spark, tmp_path):
+    schema = "message_id string, author_id string, author_name string, ts_raw string, content string, jump_url string, ordinal int"
+    source, out, bad = (f"{tmp_path}/{n}" for n in ("in", "out", "bad"))
+    spark.createDataFrame([("7", "1", "a", str(T0), f"text {i}", "u", i) for i in (3, 1, 2)], schema).repartition(3).write.json(source)
+    stream.run_silver_stream(stream.stream_chat(spark, source, schema), out, bad, f"{tmp_path}/ck")
+    assert [r.content for r in spark.read.parquet(out).collect()] == ["text 1"]
+
+
+def _tickets(spark, rng, n):
+    t = lambda: datetime.datetime.fromtimestamp(T0 + rng.randrange(10**6))
+    said = [(str(i), t(), rng.choice("ab"), "c", [f"T-{rng.randrange(40)}" for _ in range(rng.randrange(3))], [rng.randrange(12)] if rng.random() < 0.4 else []) for i in range(n)]
+    done = [(f"h{i}", f"T-{rng.randrange(40)}", t(), "status", rng.choice(["Done", "Open"])) for i in range(n // 6)]
+    return (spark.createDataFrame(said, "message_id string, ts timestamp, author_name string, content string, mentions_ticket array<string>, mentions_pr array<int>"),
+            spark.createDataFrame(done, "id string, issue_key string, ts timestamp, field string, to_value string"))
+
+
+def test_incremental_windows_equal_those_over_all(spark, tmp_path):
+    """Three batches: messages, then merges of pull requests named before and a ticket that loses its window, then nothing
+    new. Files of buckets without a touched ticket stay as they are, and may even be gone."""
+    rng = random.Random(2)
+    home = f"{tmp_path}/kept"
+    said, done = _tickets(spark, rng, 150)
+    issue_rows = [(f"T-{i}", f"ticket {i}", datetime.datetime.fromtimestamp(T0 + rng.randrange(10**6))) for i in range(38)]
+    issues = spark.createDataFrame(issue_rows, "issue_key string, summary string, created_at timestamp")
+    schema = "pr_number int, merged boolean, merged_at timestamp, merge_sha string"
+    open_ = spark.createDataFrame([(i, False, None, None) for i in range(10)], schema)
+    merged = spark.createDataFrame([(i, True, datetime.datetime.fromtimestamp(T0 + 10**6 + i), f"s{i}") for i in range(0, 10, 4)], schema)
+    columns = ["task_id", "title", "start_ts", "end_ts", "participants", "evidence"]
+
+    def kept():
+        return rows(sinks.read_buckets(spark, f"{home}/windows").select(*columns))
+
+    windows.incremental_windows(home, said, issues, done, open_)
+    assert kept() == rows(windows.baseline_windows(said, issues, done, open_).select(*columns)) != []
+    late, gone = _tickets(spark, rng, 1)[0].limit(0), done.limit(0)
+    files = {p: p.stat().st_mtime_ns for p in (tmp_path / "kept" / "windows").rglob("*.parquet")}
+    touched = windows.incremental_windows(home, late, issues.limit(0), gone, merged)
+    now = merged.unionByName(open_.join(merged, "pr_number", "left_anti"))
+    assert kept() == rows(windows.baseline_windows(said, issues, done, now).select(*columns))
+    named = said.where(F.exists("mentions_pr", lambda x: x % 4 == 0)).select(F.explode("mentions_ticket").alias("t")).distinct()
+    assert rows(touched) == rows(named) and 0 < touched.count() < 38
+    left = [p for p in files if p.exists() and p.stat().st_mtime_ns == files[p]]
+    assert left and {int(p.parent.name.split("=")[1]) for p in left}.isdisjoint(r[0] for r in touched.select(F.pmod(F.xxhash64(F.lower("issue_key")), F.lit(64))).collect())
+    # one ticket alone, with every bucket of messages that isn't its own taken away
+    only = issues.where("issue_key = 'T-7'").withColumn("summary", F.lit("renamed"))
+    own = issues.where("issue_key = 'T-7'").select(F.pmod(F.xxhash64("issue_key"), F.lit(64))).first()[0]
+    for folder in (tmp_path / "kept" / "said").glob("bucket_of_64=*"):
+        if not folder.name.endswith(f"={own}"):
+            shutil.rmtree(folder)
+    before = kept()
+    windows.incremental_windows(home, late, only, gone, merged.limit(0))
+    after = kept()
+    assert [r for r in after if r[0] != "t-7"] == [r for r in before if r[0] != "t-7"] and [r[1] for r in after if r[0] == "t-7"] in ([], ["renamed"])
 
 
 def test_ledger_knows_contents(spark, tmp_path):

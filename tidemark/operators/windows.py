@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import scalars as S
 from tidemark.operators.interval import slice_by_windows
 from tidemark.operators.links import nearest, prs_by_ticket
+from tidemark.sources import sinks
 
 CLOSED = "Done"
 
@@ -64,6 +65,47 @@ def baseline_windows(messages: DataFrame, issues: DataFrame, events: DataFrame,
     )
 
 
+def incremental_windows(home: str, messages: DataFrame, issues: DataFrame, events: DataFrame, pulls: DataFrame, use_done: bool = True) -> DataFrame:
+    """Take up new or changed records and bring the rule windows under `home` up to date; returns the tickets looked at.
+
+    Records are kept dealt out by ticket (messages once for each ticket that they name, issues, status changes) and pull
+    requests by number, beside a table of the tickets that are named together with a number. A ticket is touched by its
+    messages, its issue, its changes, and by pull requests named with it, however long ago. For the touched ones only, the
+    kept records are read again, buckets of others are not, windows are found as by baseline_windows, and take the place of
+    the old ones; a ticket that has none any more loses its window. Taking up the same records again changes nothing."""
+    spark = messages.sparkSession
+
+    def last(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+        """Of several records of a key in one batch the last one."""
+        rest = F.struct(*[c for c in df.columns if c not in keys])
+        found = df.groupBy(*keys).agg(F.max_by(rest, F.struct(*[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in order])).alias("x"))
+        return found.select(*keys, "x.*")
+
+    said = last(messages.select(F.explode(F.array_distinct("mentions_ticket")).alias("issue_key"), "message_id", "ts", "author_name", "mentions_pr"), ["issue_key", "message_id"], ["ts"])
+    changes = last(events.select("issue_key", "id", "ts", "field", "to_value"), ["issue_key", "id"], ["ts"])
+    newest = ["updated_at"] if "updated_at" in issues.columns else []
+    facts = last(issues.select("issue_key", "summary", "created_at", *newest), ["issue_key"], [*newest, "created_at"]).select("issue_key", "summary", "created_at")
+    merges = last(pulls.select("pr_number", "merged", "merged_at", "merge_sha"), ["pr_number"], ["merged", "merged_at"])
+    named = said.select("issue_key", F.explode("mentions_pr").alias("pr_number")).distinct()
+    for name, rows, keys, by in (("said", said, ["issue_key", "message_id"], "issue_key"), ("changes", changes, ["issue_key", "id"], "issue_key"), ("issues", facts, ["issue_key"], "issue_key"),
+                                 ("pulls", merges, ["pr_number"], "pr_number"), ("named", named, ["pr_number", "issue_key"], "pr_number")):
+        sinks.upsert(spark, f"{home}/{name}", rows, keys, deal_by=[by])
+
+    def kept(name: str, like: DataFrame, keys: DataFrame) -> DataFrame:
+        return sinks.read_buckets(spark, f"{home}/{name}", keys) if sinks.is_dealt(spark, f"{home}/{name}") else like.limit(0)
+
+    through = kept("named", named, merges.select("pr_number")).select("issue_key")
+    touched = sinks.settled(reduce(DataFrame.unionByName, [x.select("issue_key") for x in (said, changes, facts, through)]).distinct(), "touched")
+    own = kept("said", said, touched)
+    numbers = own.select(F.explode("mentions_pr").alias("pr_number")).distinct()
+    found = baseline_windows(
+        own.select("message_id", "ts", "author_name", F.lit(None).cast("string").alias("content"), F.array("issue_key").alias("mentions_ticket"), "mentions_pr"),
+        kept("issues", facts, touched), kept("changes", changes, touched), kept("pulls", merges, numbers), use_done,
+    )
+    sinks.replace(spark, f"{home}/windows", touched.select(F.lower("issue_key").alias("task_id")), found)
+    return touched
+
+
 def nearest_windows(messages: DataFrame, events: DataFrame, pulls: DataFrame) -> DataFrame:
     """Windows of tickets that are closed and named together with a merged pull request: the request merged nearest to the
     closing counts. From the first message to the closing or the merge, whichever is later."""

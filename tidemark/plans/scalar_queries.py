@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tidemark.functions import scalars as S
@@ -309,12 +311,15 @@ def enriched_index(spark, sf_dir):
   SELECT c_custkey, c_acctbal, c_mktsegment, CASE WHEN c_custkey % 4 = 0 THEN NULL END AS b FROM customer)
 UNION ALL SELECT -1 - c_custkey, c_acctbal, 'UPDATED' FROM customer WHERE c_custkey % 4 = 0""")
 def upserted_rows(spark, sf_dir):
-    from tidemark.sources.sinks import merged_rows
+    from tidemark.sources import sinks
 
+    path = f"{sinks.shared_folder(spark)}/upserted-{uuid.uuid4().hex}"
     c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"), F.col("c_acctbal").alias("bal"), F.col("c_mktsegment").alias("seg"))
+    sinks.upsert(spark, path, c, ["k"])
     known = c.where("k % 4 = 0").withColumns({"seg": F.lit("UPDATED"), "bal": F.lit(0.0)})
     new = c.where("k % 4 = 0").withColumns({"k": -1 - F.col("k"), "seg": F.lit("UPDATED")})
-    return merged_rows(c, known.unionByName(new), ["k"], ["seg"])
+    sinks.upsert(spark, path, known.unionByName(new), ["k"], ["seg"])
+    return sinks.read_buckets(spark, path)
 
 
 @query("SELECT o_orderkey FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0)")

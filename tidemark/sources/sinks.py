@@ -7,7 +7,7 @@ import tempfile
 import uuid
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -27,18 +27,6 @@ def merged_rows(target: DataFrame, updates: DataFrame, keys: list[str], update_c
     return both.select(*out)
 
 
-def _move(spark: SparkSession, source: str, target: str) -> None:
-    """Put a finished table in the place of another one: the old one goes aside, then away."""
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    new, old, aside = path(source), path(target), path(f"{target}.{uuid.uuid4().hex}.old")
-    fs = old.getFileSystem(spark._jsc.hadoopConfiguration())
-    if fs.exists(old):
-        fs.rename(old, aside)
-    if not fs.rename(new, old):
-        raise OSError(f"{source} can't be put in place of {target}")
-    fs.delete(aside, True)
-
-
 def shared_folder(spark: SparkSession) -> str:
     """The folder in spark.checkpoint.dir, which driver and executors share; one of our own only on one machine."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
@@ -50,19 +38,117 @@ def shared_folder(spark: SparkSession) -> str:
     return found
 
 
+def settled(df: DataFrame, name: str = "settled") -> DataFrame:
+    """df written as a table in the shared folder, and that table: lineage ends there, and executors may go."""
+    spark, path = df.sparkSession, f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def forget(df: DataFrame) -> None:
+    """Delete the tables of settled() that df reads, when nothing else does any more."""
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
-def upsert(spark: SparkSession, path: str, updates: DataFrame, keys: list[str], update_cols: list[str] | None = None) -> None:
-    """Upsert into the Parquet table at path: written beside it in whole, then swapped in. One writer at a time."""
-    if not exists(spark, path):
-        updates.write.parquet(path)
-        return
-    staged = f"{path}.{uuid.uuid4().hex}.new"
-    merged_rows(spark.read.parquet(path), updates, keys, update_cols).write.parquet(staged)
-    _move(spark, staged, path)
+#: Buckets of a table that upsert() makes; each is a partition, so about a gigabyte each is a good size.
+BUCKETS = 64
+_BUCKET = re.compile(r"bucket_of_(\d+)=(\d+)$")
+
+
+def _buckets(spark: SparkSession, path: str) -> tuple[int | None, list[int]]:
+    """How many buckets the table at path is dealt into (None: there is no such table), and those that hold rows."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/bucket_of_*=*")
+    there = found.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(found) or []
+    names = [m for m in (_BUCKET.search(x.getPath().toString()) for x in there) if m]
+    return (int(names[0][1]) if names else None), sorted(int(m[2]) for m in names)
+
+
+def _bucket(keys: list[str], n: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(n)).cast("int")
+
+
+def is_dealt(spark: SparkSession, path: str) -> bool:
+    """Whether upsert() or replace() has put any rows there."""
+    return _buckets(spark, path)[0] is not None
+
+
+def _as_kept(df: DataFrame, table: DataFrame) -> DataFrame:
+    """df with the table's types, as equal values of different types are not dealt out alike."""
+    return df.select([F.col(c).cast(table.schema[c].dataType) if c in table.columns else F.col(c) for c in df.columns])
+
+
+def read_buckets(spark: SparkSession, path: str, keys: DataFrame | None = None) -> DataFrame:
+    """A table that upsert() or replace() keeps; with keys (the columns that deal it out) only the buckets in which rows of
+    those keys can lie, and of these only the rows whose keys are among them."""
+    n, _ = _buckets(spark, path)
+    if n is None:
+        raise FileNotFoundError(f"no table at {path}")
+    rows = spark.read.parquet(path)
+    if keys is not None:
+        keys = _as_kept(keys, rows)
+        rows = rows.where(F.col(f"bucket_of_{n}").isin(_touched(keys, keys.columns, n)))
+        wanted = keys.distinct().select([F.col(k).alias(f"__{k}") for k in keys.columns])
+        rows = rows.join(wanted, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys.columns], "left_semi")
+    return rows.drop(f"bucket_of_{n}")
+
+
+def _touched(df: DataFrame, keys: list[str], n: int) -> list[int]:
+    return sorted(r[0] for r in df.select(_bucket(keys, n)).distinct().collect())
+
+
+def _put(spark: SparkSession, path: str, rows: DataFrame, keys: list[str], n: int, touched: list[int]) -> None:
+    """Put rows in the place of the touched buckets, by Spark's dynamic partition overwrite: it writes beside the table and
+    then moves the finished buckets in. A bucket that holds no rows any more is taken away."""
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = fs_path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    folders = {b: fs_path(f"{path}/bucket_of_{n}={b}") for b in touched}
+    before = {b: {x.getPath().getName() for x in fs.listStatus(f)} for b, f in folders.items() if fs.exists(f)}
+    name = f"bucket_of_{n}"
+    dealt = rows.withColumn(name, _bucket(keys, n)).hint("rebalance", name)
+    dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(name).parquet(path)
+    for b, names in before.items():
+        if names & {x.getPath().getName() for x in fs.listStatus(folders[b])}:  # nothing has come in its place
+            fs.delete(folders[b], True)
+
+
+def upsert(spark: SparkSession, path: str, updates: DataFrame, keys: list[str], update_cols: list[str] | None = None, deal_by: list[str] | None = None,
+           buckets: int = BUCKETS) -> None:
+    """Upsert into the Parquet table at path. The table is dealt into buckets by a hash of its keys (or of deal_by, some of
+    them); only the buckets that updates fall into are read, joined and overwritten, and the table is there all the time.
+    One writer at a time. A table keeps the number of buckets with which it was made. If a run is lost while it moves
+    finished buckets in, run the upsert again."""
+    deal_by = deal_by or keys
+    n, there = _buckets(spark, path)
+    if n is not None:
+        updates = _as_kept(updates, spark.read.parquet(path))
+    n = n or buckets
+    touched = _touched(updates, deal_by, n)
+    if set(touched) & set(there):
+        old = spark.read.parquet(path).where(F.col(f"bucket_of_{n}").isin(touched)).drop(f"bucket_of_{n}")
+        updates = merged_rows(old, updates, keys, update_cols)
+    _put(spark, path, updates, deal_by, n, touched)
+
+
+def replace(spark: SparkSession, path: str, doomed: DataFrame, rows: DataFrame, buckets: int = BUCKETS) -> None:
+    """Take the rows of doomed keys (whose columns deal the table out) away and put rows, which have such keys, in; as with
+    upsert() only the buckets of those keys are read and written."""
+    keys = doomed.columns
+    n, there = _buckets(spark, path)
+    if n is not None:
+        doomed, rows = (_as_kept(df, spark.read.parquet(path)) for df in (doomed, rows))
+    n = n or buckets
+    touched = _touched(doomed.unionByName(rows.select(keys)), keys, n)
+    if set(touched) & set(there):
+        old = spark.read.parquet(path).where(F.col(f"bucket_of_{n}").isin(touched)).drop(f"bucket_of_{n}")
+        rows = delete_where(old, doomed, keys).unionByName(rows)
+    _put(spark, path, rows, keys, n, touched)
 
 
 def rebuild(df: DataFrame, path: str, partition_by: list[str] | None = None, only_touched: bool = False) -> None:

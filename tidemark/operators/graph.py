@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tidemark.sources.sinks import forget, settled
@@ -34,7 +34,8 @@ def commit_edges(commits: DataFrame) -> DataFrame:
 class CommitIndex:
     """nodes: (node, tree, chain, pos), every commit's place. chains: (chain, tree, main, bottom, floor): whether it is the
     main chain of its tree, its lowest place, and how far up the main chain that reaches. cross: (chain, pos, to_chain,
-    to_pos, to_tree, to_reach, level, stretch), the edges between chains, each once for each length of stretches.
+    to_pos, to_tree, to_reach, to_line, level, stretch), the edges between chains, each once for each length of stretches;
+    to_line is the tree whose main chain the edge leads to, if it does.
 
     Where an edge leaves a tree for another one, places on the main chain say nothing: floor and to_reach are null there."""
 
@@ -56,15 +57,16 @@ def _first_parents(edges: DataFrame, more: DataFrame | None) -> DataFrame:
 def _ranked(first: DataFrame) -> DataFrame:
     """(node, tree, chain, pos) by pointer doubling. After k rounds a node knows its ancestor 2 ** k steps down (jump), if it
     has one, how many steps it has been followed down and to where, and the furthest child fewer than 2 ** k steps up."""
-    state = settled(first.select("node", "jump", F.when(F.col("jump").isNull(), 0).otherwise(1).alias("pos"), F.coalesce("jump", "node").alias("tree"), F.struct(F.lit(0).alias("up"), F.col("node").alias("chain")).alias("best")), "chains")
+    state, more = _counted(first.select("node", "jump", F.when(F.col("jump").isNull(), 0).otherwise(1).alias("pos"), F.coalesce("jump", "node").alias("tree"), F.struct(F.lit(0).alias("up"), F.col("node").alias("chain")).alias("best")), "chains", F.col("jump").isNotNull())
     n, step = state.count(), 1
-    while state.where("jump IS NOT NULL").limit(1).count():
+    while more:
         if step > 2 * n:
             raise ValueError("some commits are their own ancestors")
         far = state.select(F.col("node").alias("__at"), F.col("jump").alias("__jump"), F.col("pos").alias("__pos"), F.col("tree").alias("__tree"))
         above = state.where("jump IS NOT NULL").groupBy(F.col("jump").alias("node")).agg(F.max(F.struct((F.col("best.up") + step).alias("up"), F.col("best.chain").alias("chain"))).alias("__above"))
         moved = state.join(far, F.col("jump") == F.col("__at"), "left").join(above, "node", "left")
-        after = settled(moved.select("node", F.col("__jump").alias("jump"), (F.col("pos") + F.coalesce("__pos", F.lit(0))).alias("pos"), F.coalesce("__tree", "tree").alias("tree"), F.greatest("best", "__above").alias("best")), "chains")
+        moved = moved.select("node", F.col("__jump").alias("jump"), (F.col("pos") + F.coalesce("__pos", F.lit(0))).alias("pos"), F.coalesce("__tree", "tree").alias("tree"), F.greatest("best", "__above").alias("best"))
+        after, more = _counted(moved, "chains", F.col("jump").isNotNull())
         forget(state)
         state, step = after, 2 * step
     return state.select("node", "tree", F.col("best.chain").alias("chain"), "pos")
@@ -102,8 +104,8 @@ def index_commits(edges: DataFrame, more: DataFrame | None = None) -> CommitInde
         inside = found.where("tree = to_tree AND NOT __of_main AND reach IS NOT NULL")
         points = found.where("__asks_on").select(F.col("to_chain").alias("chain"), F.col("to_pos").alias("pos"), F.col("chain").alias("__c"), F.col("pos").alias("__p"))
         fresh = _reaches(points, inside).select(F.col("__c").alias("chain"), F.col("__p").alias("pos"), F.col("chain").alias("to_chain"), F.col("pos").alias("to_pos"), F.col("reach").alias("__fresh"))
-        after = settled(found.join(fresh, key, "left").withColumn("__new", F.coalesce(F.col("__fresh") > F.coalesce("reach", F.lit(-1)), F.lit(False))).withColumn("reach", F.greatest("reach", "__fresh")).drop("__fresh"), "edges")
-        changed = after.where("__new").limit(1).count()
+        new = F.coalesce(F.col("__fresh") > F.coalesce("reach", F.lit(-1)), F.lit(False))
+        after, changed = _counted(found.join(fresh, key, "left").withColumn("__new", new).withColumn("reach", F.greatest("reach", "__fresh")).drop("__fresh"), "edges", F.col("__new"))
         forget(found)
         found = after.drop("__new")
         if not changed:
@@ -112,8 +114,10 @@ def index_commits(edges: DataFrame, more: DataFrame | None = None) -> CommitInde
     floors = found.where("tree = to_tree").groupBy("chain", F.col("pos").alias("bottom")).agg(F.max("reach").alias("floor"))
     chains = of_chain.join(lines, "tree").join(floors, ["chain", "bottom"], "left")
     chains = chains.select("chain", "tree", (F.col("chain") == F.col("__main")).alias("main"), "bottom", F.when(~F.col("__stray"), F.when(F.col("chain") == F.col("__main"), F.col("bottom")).otherwise(F.col("floor"))).alias("floor"))
-    cross = found.select("chain", "pos", "to_chain", "to_pos", "to_tree", F.col("reach").alias("to_reach"))
-    return CommitIndex(nodes, settled(chains, "chains"), settled(_stretched(cross), "cross"))
+    chains = settled(chains, "chains")
+    line = chains.where("main AND floor IS NOT NULL").select(F.col("chain").alias("to_chain"), F.col("tree").alias("to_line"))
+    cross = found.join(line, "to_chain", "left").select("chain", "pos", "to_chain", "to_pos", "to_tree", F.col("reach").alias("to_reach"), "to_line")
+    return CommitIndex(nodes, chains, settled(_stretched(cross), "cross"))
 
 
 def _between(spans: DataFrame, cross: DataFrame) -> DataFrame:
@@ -127,19 +131,28 @@ def _between(spans: DataFrame, cross: DataFrame) -> DataFrame:
     return dealt.join(cross, ["chain", "level", "stretch"]).where("pos > over AND pos <= upto").drop("level", "stretch")
 
 
+def _counted(df: DataFrame, name: str, open_: Column) -> tuple[DataFrame, int]:
+    """df written as a table, and how many of its rows are open, counted on the way."""
+    seen = Observation()
+    table = settled(df.observe(seen, F.count_if(open_).alias("n")), name)
+    return table, seen.get["n"]
+
+
 def _closure(index: CommitIndex, seeds: DataFrame, sought: DataFrame) -> DataFrame:
     """(pid, chain, r): how far up each chain the ancestors of seeds (pid, chain, r) go, as far as is needed to tell which of
     the commits sought are among them; sought (pid, tree, low) has the tree in which they all lie and the least place on its
     main chain that they reach, or null and -1."""
-    state = settled(seeds.groupBy("pid", "chain").agg(F.max("r").alias("r")).withColumn("done", F.lit(-1)), "closure")
-    lines = index.chains.select("chain", F.col("tree").alias("__tree"), "main", "floor")
-    while state.where("r > done").limit(1).count():
-        todo = state.where("r > done").join(sought, "pid").join(lines, "chain")
-        cut = F.when(F.col("main") & F.col("floor").isNotNull() & (F.col("tree") == F.col("__tree")), F.col("low"))
-        found = _between(todo.select("pid", "chain", F.greatest("done", cut).alias("over"), F.col("r").alias("upto"), "tree", "low"), index.cross)
+    facts = ["tree", "low", "line"]  # line: the tree whose main chain the chain is, if places on it say anything
+    lines = index.chains.select("chain", F.when(F.col("main") & F.col("floor").isNotNull(), F.col("tree")).alias("line"))
+    first = seeds.groupBy("pid", "chain").agg(F.max("r").alias("r")).join(sought, "pid").join(lines, "chain")
+    state, more = _counted(first.select("pid", "chain", "r", F.lit(-1).alias("done"), *facts), "closure", F.col("r") > F.col("done"))
+    over = F.greatest("done", F.when(F.col("line") == F.col("tree"), F.col("low")))
+    while more:
+        found = _between(state.where("r > done").select("pid", "chain", over.alias("over"), F.col("r").alias("upto"), "tree", "low"), index.cross)
         found = found.where(~F.coalesce((F.col("tree") == F.col("to_tree")) & (F.col("to_reach") < F.col("low")), F.lit(False)))
-        both = state.select("pid", "chain", "r", F.col("r").alias("done")).unionByName(found.select("pid", F.col("to_chain").alias("chain"), F.col("to_pos").alias("r"), F.lit(-1).alias("done")))
-        after = settled(both.groupBy("pid", "chain").agg(F.max("r").alias("r"), F.max("done").alias("done")), "closure")
+        hops = found.select("pid", F.col("to_chain").alias("chain"), F.col("to_pos").alias("r"), F.lit(-1).alias("done"), "tree", "low", F.col("to_line").alias("line"))
+        both = state.select("pid", "chain", "r", F.col("r").alias("done"), *facts).unionByName(hops)
+        after, more = _counted(both.groupBy("pid", "chain").agg(*[F.max(c).alias(c) for c in ("r", "done", *facts)]), "closure", F.col("r") > F.col("done"))
         forget(state)
         state = after
     return state.select("pid", "chain", "r")
@@ -172,15 +185,16 @@ def _walk(index: CommitIndex, pairs: DataFrame) -> DataFrame:
     most = [F.max(c).alias(c) for c in ("l", "r", "done")]
     left = _seeds(index, pairs, "left").select("pid", "chain", F.col("at").alias("l"), none.alias("r"), none.alias("done"))
     right = _seeds(index, pairs, "right").select("pid", "chain", none.alias("l"), F.col("at").alias("r"), none.alias("done"))
-    state = settled(left.unionByName(right).groupBy("pid", "chain").agg(*most), "walk")
     over = F.greatest("r", "done")
-    while state.where(F.col("l") > over).limit(1).count():
+    state, more = _counted(left.unionByName(right).groupBy("pid", "chain").agg(*most), "walk", F.col("l") > over)
+    while more:
         sought = settled(_sought(index, state.where(F.col("l") > over).select("pid", "chain", over.alias("over"))), "sought")
         closed = _closure(index, state.where("r >= 0").join(sought, "pid", "left_semi").select("pid", "chain", "r"), sought)
         met = settled(state.unionByName(closed.select("pid", "chain", none.alias("l"), "r", none.alias("done"))).groupBy("pid", "chain").agg(*most), "walk")
         found = _between(met.select("pid", "chain", over.alias("over"), F.col("l").alias("upto")), index.cross)
         gone = met.withColumn("done", F.greatest("done", F.when(F.col("l") > over, F.col("l"))))
-        after = settled(gone.unionByName(found.select("pid", F.col("to_chain").alias("chain"), F.col("to_pos").alias("l"), none.alias("r"), none.alias("done"))).groupBy("pid", "chain").agg(*most), "walk")
+        hops = found.select("pid", F.col("to_chain").alias("chain"), F.col("to_pos").alias("l"), none.alias("r"), none.alias("done"))
+        after, more = _counted(gone.unionByName(hops).groupBy("pid", "chain").agg(*most), "walk", F.col("l") > over)
         for old in (state, sought, closed, met):
             forget(old)
         state = after

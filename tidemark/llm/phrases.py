@@ -68,6 +68,13 @@ def _mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def ranked(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For each key its number by falling frequency, and the keys in that order."""
+    if len(keys) and keys.max() < 4 * len(keys):  # few enough to be counted at their places
+        times = np.bincount(keys)
+        found = np.flatnonzero(times)
+        order = found[np.argsort(-times[found], kind="stable")]
+        place = np.empty(len(times), np.int64)
+        place[order] = np.arange(len(order))
+        return place[keys], order
     found, number, times = np.unique(keys, return_inverse=True, return_counts=True)
     order = np.argsort(-times, kind="stable")
     place = np.empty(len(order), np.int64)
@@ -79,17 +86,15 @@ def count_pairs(left: np.ndarray, right: np.ndarray, side: int) -> tuple[np.ndar
     """(left, right, count) of the distinct pairs of numbers. Crowded tiles by bincount, the rest by sorting."""
     across = int(right.max(initial=0)) // side + 1
     tile = left // side * across + right // side
-    order = np.argsort(tile, kind="stable")
-    left, right, tile = left[order], right[order], tile[order]
-    edges = np.flatnonzero(np.diff(tile, prepend=-1))
-    sizes = np.diff(edges, append=len(tile))
-    out, sparse = [], np.ones(len(tile), bool)
-    for at, size in zip(edges[sizes >= side * side * CROWDED], sizes[sizes >= side * side * CROWDED], strict=True):
-        part = slice(at, at + size)
+    sizes = np.bincount(tile, minlength=1)
+    crowded = sizes >= max(1, side * side * CROWDED)
+    out = []
+    for t in np.flatnonzero(crowded):
+        part = np.flatnonzero(tile == t)
         cells = np.bincount(left[part] % side * side + right[part] % side)
         hit = np.flatnonzero(cells)
-        out.append((hit // side + left[at] // side * side, hit % side + right[at] // side * side, cells[hit]))
-        sparse[part] = False
+        out.append((hit // side + t // across * side, hit % side + t % across * side, cells[hit]))
+    sparse = ~crowded[tile]
     wide = across * side
     keys = np.sort(left[sparse] * wide + right[sparse])
     starts = np.flatnonzero(np.diff(keys, prepend=-1))

@@ -89,6 +89,19 @@ def test_zip_members(spark, tmp_path):
         z.writestr("a.json", json.dumps({"channel": {"id": "1"}, "messages": [{"id": "5", "author": "x"}]}))
         z.writestr("bad.json", "{")
         z.writestr("note.txt", "no")
+    whole = (tmp_path / "z.zip").read_bytes()
+    (tmp_path / "more").mkdir()
+    (tmp_path / "more" / "short.zip").write_bytes(whole[:-30])  # no table of contents, so a file that isn't JSON
+    (tmp_path / "more" / "spoilt.zip").write_bytes(whole.replace(b'"author"', b'"AUTHOR"'))  # its checksum is wrong
+    (tmp_path / "more" / "plain.json").write_text('{"messages": []}')
+    found = {r.source_file.rsplit("/", 1)[1]: r.error for r in readers.read_zip_json(spark, str(tmp_path / "more"), partitions=3).collect()}
+    assert {k for k, v in found.items() if v is None} == {"plain.json"} and set(found) == {"plain.json", "short.zip", "spoilt.zip!a.json", "spoilt.zip!bad.json"}
+    assert "CRC" in found["spoilt.zip!a.json"]
+    with zipfile.ZipFile(tmp_path / "more" / "many.zip", "w") as z:
+        for i in range(40):
+            z.writestr(f"m{i}.json", "{}")
+    many = readers.read_zip_json(spark, str(tmp_path / "more" / "many.zip"), partitions=8)
+    assert many.select(F.spark_partition_id()).distinct().count() > 4  # one archive is the work of several tasks
     docs = readers.read_zip_json(spark, str(tmp_path / "z.zip"))
     assert docs.where("error IS NOT NULL").count() == 1
     assert [r.message_id for r in readers.normalize_chat(readers.zip_messages(docs)).collect()] == ["5"]
@@ -158,6 +171,29 @@ def test_upsert_changes_only_what_is_listed(spark, tmp_path):
     assert sinks.delete_where(spark.read.parquet(path), make((1, "", ""), (None, "", "")), ["k"]).count() == 1
 
 
+def test_batch_id_is_one_for_one_set_of_files(spark):
+    rows = [(f"p{i}", f"s{i % 7}") for i in range(500)]
+    schema = "path string, sha256 string"
+    one = S.batch_id(spark.createDataFrame(rows, schema), "bronze", "v1").first()[0]
+    again = S.batch_id(spark.createDataFrame(rows[::-1] + rows[:30], schema).repartition(7), "bronze", "v1").first()[0]
+    assert one == again and len(one) == 64
+    other = spark.createDataFrame([*rows[:-1], ("p499", "x")], schema)
+    assert S.batch_id(other, "bronze", "v1").first()[0] != one
+    changed = S.bucket_digests(other).exceptAll(S.bucket_digests(spark.createDataFrame(rows, schema)))
+    assert changed.count() == 1  # the one bucket that needs a look
+    empty = S.batch_id(spark.createDataFrame([], schema), "bronze", "v1").first()[0]
+    assert empty and empty != one
+
+
+def test_nfkc_is_that_of_unicodedata(spark):
+    import unicodedata
+
+    whole = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    said = ["".join(f"a{c}\u0301" for c in whole[i : i + 2000]) for i in range(0, len(whole), 2000)]
+    got = spark.createDataFrame([(i, t) for i, t in enumerate(said)], "i int, t string").select("i", S.nfkc(F.col("t")).alias("t")).collect()
+    assert {r.i: r.t for r in got} == {i: unicodedata.normalize("NFKC", t) for i, t in enumerate(said)}
+
+
 def test_dataset_and_slice_sinks(spark, tmp_path):
     df = spark.createDataFrame([("t1", "messages", "{}"), ("t1", "pulls", "{}"), ("t2", "messages", "{}")], "task_id string, source_table string, row string")
     sinks.write_task_slices(df, f"{tmp_path}/s")

@@ -2,6 +2,7 @@ import datetime
 import json
 import random
 import shutil
+import time
 from datetime import datetime as dt
 
 import pytest
@@ -47,14 +48,21 @@ def test_bounds_of_a_window_are_inside(spark):
     assert plain == [("long", 1), ("long", 2), ("long", 3), ("point", 2), ("w", 1), ("w", 2)]
 
 
-def test_counts_by_window_make_no_pairs_and_lose_none(spark, monkeypatch):
+def test_counts_by_window_make_no_pairs_and_lose_none(spark):
     w = spark.createDataFrame([("w", at(0), at(10)), ("point", at(10), at(10)), ("reversed", at(10), at(0)), ("long", at(-500_000), at(500_000)), ("none", at(900_000), at(900_001)), ("open", None, at(1))], "window_id string, start_ts timestamp, end_ts timestamp")
     r = spark.createDataFrame([("a", at(0)), ("a", at(10)), ("a", at(10)), ("b", at(11)), (None, at(5)), ("b", None), ("b", at(-400_000))], "kind string, ts timestamp")
     plain = rows(interval.slice_by_windows(w, r, "ts", bucket_seconds=None).groupBy("window_id", "kind").agg(F.count(F.lit(1)).alias("n")))
     for size in (1, 600, 86_400):
         assert rows(interval.count_by_windows(w, r, "ts", "kind", bucket_seconds=size)) == plain
-    monkeypatch.setattr(interval, "MOST_KINDS", 1)
-    assert rows(interval.count_by_windows(w, r, "ts", "kind")) == plain
+    rng = random.Random(1)
+    many = spark.createDataFrame([(f"w{i % 70}", at(a), at(a + rng.choice([0, 3, 90, 4000]))) for i, a in enumerate(rng.randrange(10_000) for _ in range(80))], "window_id string, start_ts timestamp, end_ts timestamp")
+    many = many.unionByName(many.limit(5))  # a window that comes twice counts twice
+    kinds = spark.createDataFrame([(f"k{rng.randrange(1500)}", at(rng.randrange(10_000))) for _ in range(4000)], "kind string, ts timestamp")
+    want = many.join(kinds, F.col("ts").between(F.col("start_ts"), F.col("end_ts"))).groupBy("window_id", "kind").agg(F.count(F.lit(1)).alias("n"))
+    assert rows(interval.count_by_windows(many, kinds, "ts", "kind")) == rows(want)
+    sound = many.distinct()
+    near = interval._kinds_near(sound, kinds.withColumnRenamed("ts", "__at"), "kind", "start_ts", "end_ts", 56)
+    assert near.count() < 2 * want.count() + 9 * sound.count()  # not windows times kinds
     keyed = w.where("window_id <> 'open'").withColumn("kind", F.when(F.col("window_id") == "w", None).otherwise(F.lit("a")))
     for size in (None, 600):
         assert rows(interval.slice_by_windows(keyed, r, "ts", key="kind", bucket_seconds=size).where("window_id = 'w'").select("ts")) == [(at(5),)]
@@ -317,3 +325,44 @@ def test_ledger_knows_contents(spark, tmp_path):
         stream.run_ledger_stream(spark, f"{tmp_path}/in", f"{tmp_path}/ledger", f"{tmp_path}/ck", "chat")
         (tmp_path / "in" / "c").write_text("y")
     assert spark.read.parquet(f"{tmp_path}/ledger").count() == 2
+
+
+def test_medians_are_the_upper_ones_and_gather_nothing(spark):
+    rng = random.Random(5)
+    data = [(rng.choice(["a", "b", None]), rng.choice([rng.randrange(5), rng.randrange(10**6), -3]), rng.randrange(3) if rng.random() < 0.9 else None) for _ in range(900)]
+    df = spark.createDataFrame(data, "g string, x int, y int")
+    found = reports.upper_medians(df, ["g"], ["x", "y"])
+    assert "collect_list" not in found._jdf.queryExecution().toString()
+    middle = lambda v: sorted(v)[len(v) // 2]
+    want = [(g, middle([x for k, x, _ in data if k == g]), middle([y for k, _, y in data if k == g and y is not None])) for g in ("a", "b", None)]
+    assert rows(found) == sorted(want, key=repr)
+    whole = reports.upper_medians(df, [], ["x"]).first()
+    assert whole["x"] == middle([x for _, x, _ in data])
+
+
+def test_long_cut_reply_is_read_in_linear_time():
+    item = {"task_id": "AB-1", "title": "some \"quoted\" title, with [brackets] {and} commas", "evidence": {"message_ids": ["1", "2"]}}
+    text = json.dumps({"windows": [item] * 90_000})
+    assert len(text) > 10_000_000
+    began = time.time()
+    value = replies.parsed(text[: len(text) - 77])  # cut in the middle of the last item
+    assert len(value["windows"]) in (89_999, 90_000) and value["windows"][0] == item
+    assert time.time() - began < 60
+    deep = "[" * 100_000 + "1," * 1000
+    assert replies.parsed(deep) is None and time.time() - began < 90
+    assert replies.parsed('{"a": 1, "b": [1, 2, {"c": "x, y') == {"a": 1, "b": [1, 2, {"c": "x, y"}]}
+    assert replies.parsed('{"a": 1, "b"') == {"a": 1} and replies.parsed('{"a": [1, 2 3], "b": 4}') == {"a": [1]}
+
+
+def test_checks_read_each_stream_once(spark, silver):
+    plan = lambda df: df._jdf.queryExecution().analyzed().toString()
+    data = [(str(i % 3), None if i == 1 else "a", " " if i == 2 else "x", at(i)) for i in range(5)]
+    said = spark.createDataFrame(data, "message_id string, author_name string, content string, ts timestamp")
+    said.createOrReplaceTempView("said_once")
+    issues = spark.createDataFrame([("AB-1",), ("nope",)], "issue_key string")
+    commits = spark.createDataFrame([("z",)], "sha string")
+    bad = spark.createDataFrame([("t", "k", "")], "target_table string, entity_key string, reason string")
+    found = validate.check_silver(spark.table("said_once"), issues, commits, bad, "2026-01-01", "2026-01-01 00:03:00")
+    assert plan(found).count("SubqueryAlias said_once") == 1
+    names = [r[0] for r in rows(found)]
+    assert sorted(names) == ["issue_key_shape", "message_blank", "message_outside_range", "message_repeats", "message_repeats", "message_without_author", "quarantine_without_reason", "sha_shape"]

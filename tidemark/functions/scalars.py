@@ -149,10 +149,23 @@ def content_id(*parts: Column, length: int | None = None) -> Column:
     return digest if length is None else F.substring(digest, 1, length)
 
 
+#: Hex digits of a path's digest that name its bucket: 4096 buckets.
+BUCKET_DIGITS = 3
+
+
+def bucket_digests(files: DataFrame, path: str = "path", sha: str = "sha256") -> DataFrame:
+    """(bucket, digest): files, each known by its path and content once, dealt out by a digest of the path, and the digest of
+    each bucket's leaves in order. Sets of files with equal buckets are equal; where some differ, only those need a look."""
+    leaf = F.sha2(F.concat_ws(":", path, sha), 256)
+    each = files.select(F.substring(F.sha2(F.coalesce(F.col(path), F.lit("")), 256), 1, BUCKET_DIGITS).alias("bucket"), leaf.alias("leaf")).distinct()
+    return each.groupBy("bucket").agg(F.sha2(F.array_join(F.array_sort(F.collect_list("leaf")), "\n"), 256).alias("digest"))
+
+
 def batch_id(files: DataFrame, stage: str, version: str, path: str = "path", sha: str = "sha256") -> DataFrame:
-    """One row: the id of a set of files, whatever their order."""
-    each = F.array_join(F.array_sort(F.collect_list(F.concat_ws(":", path, sha))), "\n")
-    return files.agg(F.sha2(F.concat_ws(":", F.lit(version), F.lit(stage), each), 256).alias("batch_id"))
+    """One row: the id of a set of files, whatever their order, repeats or partitions: the root over the digests of their
+    buckets (4096 at most)."""
+    each = F.array_join(F.array_sort(F.collect_list(F.concat_ws(":", "bucket", "digest"))), "\n")
+    return bucket_digests(files, path, sha).agg(F.sha2(F.concat_ws(":", F.lit(version), F.lit(stage), each), 256).alias("batch_id"))
 
 
 def minutes_between(a: Column, b: Column, digits: int = 1) -> Column:

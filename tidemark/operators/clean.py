@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import scalars as S
+from tidemark.operators.scan import Scan, by_place
 
 KEY_LIMIT, RAW_LIMIT = 400, 2000
 
@@ -124,9 +125,8 @@ def recover_naive_ts(histories: DataFrame, issues: DataFrame, stamp: str = "crea
     """Stamps without a zone are replaced: the issue's created_at plus step_minutes for each earlier one of the issue.
     Adds ts and recovered."""
     zoned = F.coalesce(F.col(stamp).rlike(S.ZONE) & F.col(stamp).rlike("[T ]"), F.lit(False)) | F.coalesce(F.col(stamp).rlike(r"^\d+$"), F.lit(False))
-    rows = histories.withColumn("__naive", ~zoned)
-    w = Window.partitionBy("issue_key", "__naive").orderBy(position)
-    rows = rows.withColumn("__nth", F.row_number().over(w) - 1).join(issues.select("issue_key", F.col("created_at").alias("__start")), "issue_key", "left")
+    rows = Scan(histories.withColumn("__naive", ~zoned), ["issue_key", "__naive"], [position], by_place(position)).number("__nth").result()
+    rows = rows.withColumn("__nth", F.col("__nth") - 1).join(issues.select("issue_key", F.col("created_at").alias("__start")), "issue_key", "left")
     own = S.parse_ts(F.col(stamp))["ts"]
     made = F.col("__start") + F.make_interval(mins=(F.col("__nth") * step_minutes).cast("int"))
     recovered = F.col("__naive") & F.col("__start").isNotNull()

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import scalars as S
+from tidemark.operators.scan import Scan, by_place
 
 _CALLS = "array<struct<id: string, name: string, arguments: string>>"
 MESSAGE = f"struct<role: string, content: string, tool_calls: {_CALLS}, tool_call_id: string, name: string>"
@@ -34,10 +35,11 @@ def position_flags(df: DataFrame, group: list[str], order: list[str]) -> DataFra
 
 
 def fold_timeline(df: DataFrame, group: list[str], pos: str, kind: str, text: str) -> DataFrame:
-    """Consecutive rows of one kind become one: (group, kind, first_pos, n, text), texts joined in order."""
-    w = Window.partitionBy(*group).orderBy(pos)
-    starts = F.when(F.lag(kind).over(w).eqNullSafe(F.col(kind)) & (F.row_number().over(w) > 1), 0).otherwise(1)
-    islands = df.withColumn("__start", starts).withColumn("__island", F.sum("__start").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    """Consecutive rows of one kind become one: (group, kind, first_pos, n, text), texts joined in order. pos are whole
+    numbers; a group may hold most of the rows, but the text of what becomes one row has to fit into it."""
+    scan = Scan(df, group, [pos], by_place(pos)).row_before("__prev", F.col(kind))
+    starts = F.when(F.col("__prev").isNotNull() & F.col("__prev.v").eqNullSafe(F.col(kind)), 0).otherwise(1)
+    islands = scan.total("__island", starts).result()
     ordered = F.array_sort(F.collect_list(F.struct(pos, F.coalesce(text, F.lit("")).alias("t"))))
     found = islands.groupBy(*group, "__island", kind).agg(F.min(pos).alias("first_pos"), F.count(F.lit(1)).alias("n"), ordered.alias("__t"))
     return found.withColumn("text", F.array_join(F.transform("__t", lambda x: x["t"]), "")).drop("__t", "__island")

@@ -8,7 +8,6 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
-from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -23,6 +22,7 @@ _QUOTES = str.maketrans({
     "\u00a0": " ", "\u2028": "\n", "\u2029": "\n", "\u200b": None, "\u200c": None, "\u200d": None, "\u2060": None, "\ufeff": None,
 })
 _TOKEN = re.compile(r'"(?:[^"\\]|\\.)*"|"(?:[^"\\]|\\.)*\Z|//[^\n]*|/\*.*?(?:\*/|\Z)|[{}\[\],]|[^"/{}\[\],]+|/', re.S)
+_STRING = re.compile(r'"(?:[^"\\]|\\.)*"', re.S)
 _PAIRS = {"{": "}", "[": "]"}
 
 
@@ -42,50 +42,82 @@ def balanced_values(text: str) -> Iterator[tuple[int, str]]:
         yield start, text[start:]
 
 
-def repairs(text: str) -> Iterator[tuple[str, int | None]]:
-    """(attempt, None): the text, then without comments and trailing commas, then with what is open closed; then (attempt,
-    length of what is left) cut back to each place where it can be closed, from the end."""
-    yield text, None
-    parts, depth = [], []
-    marks: list[tuple[int, list[str]]] = []
-    for m in _TOKEN.finditer(text):
-        t = m[0]
-        if t.startswith(("//", "/*")):
-            continue
-        if t in ("}", "]"):
-            while parts and (not parts[-1].strip() or parts[-1] == ","):
-                parts.pop()
-            if depth and depth[-1] == t:
-                depth.pop()
-        if t == "," and depth:
-            marks.append((len(parts), list(depth)))
-        parts.append(t)
-        if t in _PAIRS:
-            depth.append(_PAIRS[t])
-        elif t in ("}", "]"):
-            marks.append((len(parts), list(depth)))
-    plain = "".join(parts)
-    yield plain, None
-    tail = parts[-1] if parts else ""
-    if tail.startswith('"') and (len(tail) == 1 or not re.fullmatch(r'"(?:[^"\\]|\\.)*"', tail, re.S)):
-        plain += '"'
-    yield plain.rstrip().rstrip(",") + "".join(reversed(depth)), None
-    sizes = [0, *accumulate(map(len, parts))]
-    for n, open_ in reversed(marks):
-        yield "".join(parts[:n]) + "".join(reversed(open_)), sizes[n]
+class _Repairs:
+    """One pass over a text: without comments and trailing commas, what is open at its end, and every place where it could
+    be cut off and closed, with what is open there (a stack whose rest is shared)."""
+
+    def __init__(self, text: str):
+        parts, size, open_ = [], 0, None
+        self.marks: list[tuple[int, tuple | None]] = []
+        for m in _TOKEN.finditer(text):
+            t = m[0]
+            if t.startswith(("//", "/*")):
+                continue
+            if t in ("}", "]"):
+                while parts and (not parts[-1].strip() or parts[-1] == ","):
+                    size -= len(parts.pop())
+                if open_ and open_[0] == t:
+                    open_ = open_[1]
+            if t == "," and open_:
+                self.marks.append((size, open_))
+            parts.append(t)
+            size += len(t)
+            if t in _PAIRS:
+                open_ = (_PAIRS[t], open_)
+            elif t in ("}", "]"):
+                self.marks.append((size, open_))
+        self.plain, self.open = "".join(parts), open_
+        tail = parts[-1] if parts else ""
+        self.in_string = tail.startswith('"') and (len(tail) == 1 or not _STRING.fullmatch(tail))
+
+    @staticmethod
+    def _closers(open_: tuple | None) -> str:
+        out = []
+        while open_:
+            out.append(open_[0])
+            open_ = open_[1]
+        return "".join(out)
+
+    def closed(self) -> str:
+        return (self.plain + '"' * self.in_string).rstrip().rstrip(",") + self._closers(self.open)
+
+    def cut(self, size: int, open_: tuple | None) -> str:
+        return self.plain[:size] + self._closers(open_)
+
+
+def _loaded(text: str):
+    """(value, None), or (None, the place of the first thing that is wrong)."""
+    try:
+        return json.loads(text), None
+    except ValueError as e:
+        return None, e.pos
+    except RecursionError:
+        return None, 0
 
 
 def parsed(text: str):
-    """The first repair that is JSON, or None. Where a text is wrong at some place, so is every cut behind that place."""
-    wrong = None
-    for attempt, size in repairs(text):
-        if size is not None and wrong is not None and size > wrong:
-            continue
-        try:
-            return json.loads(attempt)
-        except ValueError as e:
-            if size is not None:
-                wrong = e.pos
+    """The value of a text that is JSON, or can be made so, or None: as it is, then without comments and trailing commas, then
+    with what is open closed, then cut off at the last place where it can be closed.
+
+    What is wrong at some place stays wrong whatever is cut off behind it, so the first wrong place of the closed text
+    tells which cuts are worth a try: the last one before it, or the next if that one was in the middle of a pair. The time
+    is in proportion to the text."""
+    value, wrong = _loaded(text)
+    if wrong is None:
+        return value
+    repair = _Repairs(text)
+    value, wrong = _loaded(repair.plain)
+    if wrong is None:
+        return value
+    value, wrong = _loaded(repair.closed())
+    if wrong is None:
+        return value
+    for size, open_ in reversed(repair.marks):
+        if size <= wrong:
+            value, at = _loaded(repair.cut(size, open_))
+            if at is None:
+                return value
+            wrong = min(wrong, at)
     return None
 
 
@@ -121,12 +153,12 @@ def parse_model_replies(df: DataFrame, required: list[str], id: str = "reply_id"
                             score = shape_score(value, required)
                             if isinstance(value, list) and required:
                                 value = {required[0]: value}
-                            rows.append((key, json.dumps(value, ensure_ascii=False), score, rank, n * 10_000_000 + at))
-            yield pd.DataFrame(rows, columns=["id", "value", "score", "rank", "pos"])
+                            rows.append((key, json.dumps(value, ensure_ascii=False), score, rank, n, at))
+            yield pd.DataFrame(rows, columns=["id", "value", "score", "rank", "block", "pos"])
 
     kind = df.schema[id].dataType.simpleString()
-    found = df.select(F.col(id).alias("id"), F.col(text).alias("text")).mapInPandas(candidates, f"id {kind}, value string, score int, rank int, pos bigint")
-    best = newest_per(found.where("score > 0"), ["id"], [F.desc("score"), F.asc("rank"), F.desc("pos")])
+    found = df.select(F.col(id).alias("id"), F.col(text).alias("text")).mapInPandas(candidates, f"id {kind}, value string, score int, rank int, block bigint, pos bigint")
+    best = newest_per(found.where("score > 0"), ["id"], [F.desc("score"), F.asc("rank"), F.desc("block"), F.desc("pos")])
     return best.select(F.col("id").alias(id), "value", "score")
 
 

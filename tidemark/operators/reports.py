@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import scalars as S
@@ -65,21 +65,45 @@ def coverage(windows: DataFrame, chunks: DataFrame, tables: list[str]) -> tuple[
     return per, per.agg(F.count(F.lit(1)).alias("windows"), *[F.coalesce(F.sum(t), F.lit(0)).alias(t) for t in tables], F.count_if(nothing).alias("empty"))
 
 
-def upper_median(c: Column) -> Column:
-    """The element at half the number of rows, counted from 0, of the sorted values."""
-    return F.element_at(F.array_sort(F.collect_list(c)), F.floor(F.count(c) / 2).cast("int") + 1)
+#: Values of one range when a median is looked for.
+RANGE = 1024
+
+
+def upper_medians(rows: DataFrame, by: list[str], columns: list[str]) -> DataFrame:
+    """(*by, a column for each of columns): the element at half the number of rows, counted from 0, of the sorted whole
+    numbers of the column in each group; nulls are left out.
+
+    Rows are counted by value first. The range of values that holds the element is told from the sums of the ranges, and
+    only the values of that range are put in order."""
+    pairs = F.inline(F.array(*[F.struct(F.lit(c).alias("__of"), F.col(c).cast("bigint").alias("__v")) for c in columns]))
+    counts = rows.select(*by, pairs).where("__v IS NOT NULL").groupBy(*by, "__of", "__v").agg(F.count(F.lit(1)).alias("__n"))
+    counts = counts.withColumn("__range", F.floor(F.col("__v") / RANGE))
+    group = [*by, "__of"]
+    below = Window.partitionBy(*group).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = counts.groupBy(*group, "__range").agg(F.sum("__n").alias("__n")).withColumns({"__before": F.coalesce(F.sum("__n").over(below), F.lit(0)), "__all": F.sum("__n").over(Window.partitionBy(*group))})
+    at = F.floor(F.col("__all") / 2)
+    held = ranges.where((F.col("__before") <= at) & (at < F.col("__before") + F.col("__n"))).select(*[F.col(c).alias(f"__k{i}") for i, c in enumerate([*group, "__range"])], (at - F.col("__before")).alias("__at"))
+    few = counts.join(held, [F.col(c).eqNullSafe(F.col(f"__k{i}")) for i, c in enumerate([*group, "__range"])]).select(*group, "__v", "__n", "__at")
+    upto = Window.partitionBy(*group).orderBy("__v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = few.withColumn("__upto", F.sum("__n").over(upto)).where("__upto > __at").groupBy(*group).agg(F.min("__v").alias("__v"))
+    made = [F.max(F.when(F.col("__of") == c, F.col("__v"))).alias(c) for c in columns]
+    return found.groupBy(*by).agg(*made)
 
 
 def dataset_stats(conversations: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Examples; least, upper median and most messages and tool calls; roles; tokens (a quarter of the characters, divided
     once). by: of each split."""
+    by = by or []
     size = F.size("messages").cast("bigint")
     calls = F.size(F.filter("messages", lambda m: m["role"] == "tool")).cast("bigint")
     chars = F.aggregate("messages", F.lit(0).cast("bigint"), lambda n, m: n + F.coalesce(F.length(m["content"]), F.lit(0)))
-    rows = conversations.select(*(by or []), size.alias("n"), calls.alias("c"), chars.alias("chars"), F.transform("messages", lambda m: m["role"]).alias("roles"))
+    rows = conversations.select(*by, size.alias("n"), calls.alias("c"), chars.alias("chars"), F.transform("messages", lambda m: m["role"]).alias("roles"))
     roles = [F.sum(F.size(F.filter("roles", (lambda r: lambda x: x == r)(r)))).alias(f"n_{r}") for r in ("system", "user", "assistant", "tool")]
-    made = [F.count(F.lit(1)).alias("examples"), F.min("n").alias("min_turns"), upper_median(F.col("n")).alias("median_turns"), F.max("n").alias("max_turns"), F.min("c").alias("min_calls"), upper_median(F.col("c")).alias("median_calls"), F.max("c").alias("max_calls"), *roles, F.floor(F.sum("chars") / 4).alias("tokens")]
-    return rows.groupBy(*by).agg(*made) if by else rows.agg(*made)
+    made = [F.count(F.lit(1)).alias("examples"), F.min("n").alias("min_turns"), F.max("n").alias("max_turns"), F.min("c").alias("min_calls"), F.max("c").alias("max_calls"), *roles, F.floor(F.sum("chars") / 4).alias("tokens")]
+    middle = upper_medians(rows, by, ["n", "c"]).select(*[F.col(b).alias(f"__b{i}") for i, b in enumerate(by)], F.col("n").alias("median_turns"), F.col("c").alias("median_calls"))
+    same = [F.col(b).eqNullSafe(F.col(f"__b{i}")) for i, b in enumerate(by)] or F.lit(True)
+    found = (rows.groupBy(*by).agg(*made) if by else rows.agg(*made)).join(middle, same, "left")
+    return found.select(*by, "examples", "min_turns", "median_turns", "max_turns", "min_calls", "median_calls", "max_calls", *[f"n_{r}" for r in ("system", "user", "assistant", "tool")], "tokens")
 
 
 def usage_totals(usage: DataFrame, by: list[str] | None = None) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidemark.functions import scalars as S
-from tidemark.operators.links import orphans
+from tidemark.operators.scan import Scan
 
 
 def violations(df: DataFrame, check: str, key: str | Column, detail: str | Column = "", where: Column | None = None) -> DataFrame:
@@ -23,6 +23,29 @@ def all_of(*parts: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def _keyed_checks(df: DataFrame, tests: dict[str, tuple[Column, Column, Column]]) -> DataFrame:
+    """Several tests of a row, check: (condition, key, detail), in one pass over df."""
+    marks = [F.when(where, F.struct(F.lit(check).alias("check"), key.cast("string").alias("key"), detail.cast("string").alias("detail"))) for check, (where, key, detail) in tests.items()]
+    return df.select(F.inline(F.filter(F.array(*marks), lambda x: x.isNotNull())))
+
+
+def row_checks(df: DataFrame, key: str | Column, tests: dict[str, tuple[Column, str | Column]], repeats: str) -> DataFrame:
+    """The violations of several tests, check: (condition, detail), of each row, and a check named `repeats` of keys that
+    several rows have, in one pass over df: a row gives its key and the list of what is wrong with it, these are counted,
+    and each finding is given out as often as it came."""
+    key = (F.col(key) if isinstance(key, str) else key).cast("string")
+
+    def said(check: str, detail: Column) -> Column:
+        return F.struct(F.lit(check).alias("check"), key.alias("key"), detail.cast("string").alias("detail"))
+
+    marks = [F.when(where, said(check, F.lit(detail) if isinstance(detail, str) else detail)) for check, (where, detail) in tests.items()]
+    found = df.select(F.inline(F.filter(F.array(said(repeats, F.lit(None)), *marks), lambda x: x.isNotNull())))
+    per = found.groupBy("check", "key", "detail").agg(F.count(F.lit(1)).alias("n"))
+    each = F.when(F.col("check") != repeats, F.sequence(F.lit(1), F.col("n"))).when(F.col("n") > 1, F.array(F.lit(1).cast("bigint")))
+    again = F.col("check") == repeats
+    return per.select("check", F.when(again, F.coalesce("key", F.lit(""))).otherwise(F.col("key")).alias("key"), F.when(again, F.col("n").cast("string")).otherwise(F.col("detail")).alias("detail"), F.explode(each).alias("__i")).drop("__i")
+
+
 def check_conversations(df: DataFrame, id: str = "window_id") -> DataFrame:
     """messages: three at least, a system message first, an assistant that says something last, a tool used. One pass: a
     row gets the list of what is wrong with it."""
@@ -73,11 +96,13 @@ def check_silver(messages: DataFrame, issues: DataFrame, commits: DataFrame, bad
     """Cleaned streams: unique, spoken by known authors, in the time range, keys in shape, every quarantined row with a
     reason."""
     outside = (F.col("ts") < F.lit(first).cast("timestamp")) | (F.col("ts") > F.lit(last).cast("timestamp"))
+    said = {
+        "message_blank": (F.coalesce(F.trim("content"), F.lit("")) == "", ""),
+        "message_without_author": (S.present(F.col("author_name")).isNull(), ""),
+        "message_outside_range": (outside, F.col("ts")),
+    }
     return all_of(
-        repeated_keys(messages, ["message_id"], "message_repeats"),
-        violations(messages, "message_blank", "message_id", "", F.coalesce(F.trim("content"), F.lit("")) == ""),
-        violations(messages, "message_without_author", "message_id", "", S.present(F.col("author_name")).isNull()),
-        violations(messages, "message_outside_range", "message_id", F.col("ts"), outside),
+        row_checks(messages, "message_id", said, repeats="message_repeats"),
         violations(issues, "issue_key_shape", "issue_key", "", ~S.valid(F.col("issue_key"), S.TICKET_KEY)),
         violations(commits, "sha_shape", "sha", "", ~S.valid(F.col("sha"), S.SHA)),
         violations(bad, "quarantine_without_reason", "entity_key", F.col("target_table"), S.present(F.col("reason")).isNull()),
@@ -85,10 +110,10 @@ def check_silver(messages: DataFrame, issues: DataFrame, commits: DataFrame, bad
 
 
 def check_order(df: DataFrame, group: list[str], order: str, ts: str, check: str) -> DataFrame:
-    """Rows whose time is before that of the row before them; rows without a time are passed over."""
-    rows = df.where(F.col(ts).isNotNull())
-    prev = F.lag(ts).over(Window.partitionBy(*group).orderBy(order))
-    return violations(rows.withColumn("__prev", prev), check, F.concat_ws("|", *group, order), F.col("__prev"), F.col(ts) < F.col("__prev"))
+    """Rows whose time is before that of the row before them; rows without a time are passed over. A group may hold most of
+    the rows."""
+    rows = Scan(df.where(F.col(ts).isNotNull()), group, [order]).last_before("__prev", F.col(ts)).rows
+    return violations(rows, check, F.concat_ws("|", *group, order), F.col("__prev"), F.col(ts) < F.col("__prev"))
 
 
 def check_bronze_shape(archives: DataFrame, histories: DataFrame, issues: DataFrame) -> DataFrame:
@@ -97,29 +122,37 @@ def check_bronze_shape(archives: DataFrame, histories: DataFrame, issues: DataFr
 
     archives: normalised messages with source_file, ordinal, message_id, ts, declared; histories: issue_key, position, ts;
     issues: issue_key, created_at, updated_at."""
-    counted = archives.groupBy("source_file").agg(F.count(F.lit(1)).alias("n"), F.max("declared").alias("declared"))
-    lives = histories.join(issues.select("issue_key", "created_at", "updated_at"), "issue_key")
+    counted = archives.groupBy("source_file").agg(F.count(F.lit(1)).alias("__n"), F.max("declared").alias("__declared"))
+    files = Scan(archives, ["source_file"], ["ordinal"]).last_before("__prev", F.col("ts")).rows
+    lives = Scan(histories, ["issue_key"], ["position"]).last_before("__prev", F.col("ts")).rows
+    lives = lives.join(issues.groupBy("issue_key").agg(F.collect_set(F.struct("created_at", "updated_at")).alias("__lives")), "issue_key", "left")
     return all_of(
-        violations(counted, "message_count", "source_file", F.concat_ws("/", "n", "declared"), F.col("n") != F.col("declared")),
-        violations(archives, "message_id_shape", "message_id", F.col("source_file"), ~S.valid(F.col("message_id"), S.SNOWFLAKE)),
-        check_order(archives, ["source_file"], "ordinal", "ts", "message_order"),
-        check_order(histories, ["issue_key"], "position", "ts", "history_order"),
-        violations(lives, "history_outside_issue", "issue_key", F.col("ts"), (F.col("ts") < F.col("created_at")) | (F.col("ts") > F.col("updated_at"))),
-    )
+        violations(counted, "message_count", "source_file", F.concat_ws("/", "__n", "__declared"), F.col("__n") != F.col("__declared")),
+        _keyed_checks(files, {
+            "message_id_shape": (~S.valid(F.col("message_id"), S.SNOWFLAKE), F.col("message_id"), F.col("source_file")),
+            "message_order": (F.col("ts") < F.col("__prev"), F.concat_ws("|", "source_file", "ordinal"), F.col("__prev")),
+        }),
+        _keyed_checks(lives, {
+            "history_order": (F.col("ts") < F.col("__prev"), F.concat_ws("|", "issue_key", "position"), F.col("__prev")),
+            "history_outside_issue": (F.exists("__lives", lambda x: (F.col("ts") < x["created_at"]) | (F.col("ts") > x["updated_at"])), F.col("issue_key"), F.col("ts")),
+        }),
+    )
 
 
 def check_git(commits: DataFrame, pulls: DataFrame) -> DataFrame:
     """Commits and pull requests: parents and merge commits exist, merges have two parents, nothing is merged more than a
     second before its merge commit was made."""
-    parents = commits.select(F.col("sha").alias("child"), F.explode("parent_shas").alias("sha"))
-    merges = pulls.where("merged").select("pr_number", F.col("merge_sha").alias("sha"), "merged_at")
-    dated = merges.join(commits.select("sha", "authored_at", F.size("parent_shas").alias("n")), "sha")
-    return all_of(
-        violations(orphans(parents, commits, "sha"), "parent_unknown", "child", F.col("sha")),
-        violations(orphans(merges, commits, "sha"), "merge_unknown", "pr_number", F.col("sha")),
-        violations(dated, "merge_parents", "pr_number", F.col("n"), F.col("n") != 2),
-        violations(dated, "merged_before_commit", "pr_number", F.col("merged_at"), F.unix_seconds("merged_at") < F.unix_seconds("authored_at") - 1),
-    )
+    parents = commits.select(F.explode("parent_shas").alias("sha"), F.lit(False).alias("merge"), F.col("sha").cast("string").alias("key"))
+    merges = pulls.where("merged").select(F.col("merge_sha").alias("sha"), F.lit(True).alias("merge"), F.col("pr_number").cast("string").alias("key"), "merged_at")
+    made = commits.select(F.col("sha").alias("__sha"), "authored_at", F.size("parent_shas").alias("n"), F.row_number().over(Window.partitionBy("sha").orderBy("authored_at")).alias("__i"))
+    asks = parents.unionByName(merges, allowMissingColumns=True).join(made, F.col("sha") == F.col("__sha"), "left").where(F.col("merge") | F.coalesce(F.col("__i") == 1, F.lit(True)))
+    gone, merge = F.col("sha").isNotNull() & F.col("__sha").isNull(), F.col("merge")
+    return _keyed_checks(asks, {
+        "parent_unknown": (~merge & gone, F.col("key"), F.col("sha")),
+        "merge_unknown": (merge & gone, F.col("key"), F.col("sha")),
+        "merge_parents": (merge & (F.col("n") != 2), F.col("key"), F.col("n")),
+        "merged_before_commit": (merge & (F.unix_seconds("merged_at") < F.unix_seconds("authored_at") - 1), F.col("key"), F.col("merged_at")),
+    })
 
 
 def check_cross_stream(windows: DataFrame, messages: DataFrame, pulls: DataFrame, issues: DataFrame, minutes: int = 30) -> DataFrame:
@@ -149,9 +182,12 @@ def defect_count(messages: DataFrame, id: str = "message_id", text: str = "conte
 
 def check_gold(windows: DataFrame, chunks: DataFrame, patches: DataFrame, expected_eval: int | None = None, least_patch: int = 200) -> DataFrame:
     """Sliced windows: none empty, each longer than nothing, patches are diffs of some size, as many in `eval` as expected."""
+    held = windows.join(chunks.select(F.col("window_id").alias("__held")).distinct(), F.col("window_id") == F.col("__held"), "left")
     parts = [
-        violations(windows.join(chunks.select("window_id").distinct(), "window_id", "left_anti"), "window_empty", "window_id"),
-        violations(windows, "no_duration", "window_id", "", ~F.coalesce(F.col("end_ts") > F.col("start_ts"), F.lit(False))),
+        _keyed_checks(held, {
+            "window_empty": (F.col("__held").isNull(), F.col("window_id"), F.lit("")),
+            "no_duration": (~F.coalesce(F.col("end_ts") > F.col("start_ts"), F.lit(False)), F.col("window_id"), F.lit("")),
+        }),
         violations(patches, "patch_not_a_diff", "window_id", F.length("patch"), ~F.coalesce(F.contains("patch", F.lit("diff --git ")), F.lit(False)) | (F.length("patch") < least_patch)),
     ]
     if expected_eval is not None:

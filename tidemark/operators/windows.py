@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import scalars as S
 from tidemark.operators.interval import slice_by_windows
 from tidemark.operators.links import nearest, prs_by_ticket
+from tidemark.operators.scan import Scan
 from tidemark.sources import sinks
 
 CLOSED = "Done"
@@ -245,8 +246,8 @@ def slice_chunks(windows: DataFrame, silver: dict[str, DataFrame], stamps: dict[
     for name, df in silver.items():
         long.append(df.select(F.lit(name).alias("source_table"), F.col(keys[name]).cast("string").alias("source_key"), stamps[name].cast("timestamp").alias("ts"), F.to_json(F.struct(*df.columns)).alias("row")))
     found = slice_by_windows(spans, reduce(DataFrame.unionByName, long), "ts", bucket_seconds=bucket_seconds)
-    w = Window.partitionBy("window_id", "source_table").orderBy("ts", "source_key")
-    return found.withColumn("ordinal", F.row_number().over(w)).select("window_id", "source_table", "source_key", "ts", "ordinal", "row")
+    hours = F.floor(F.unix_seconds("ts") / 3600)  # a window may hold most of a stream
+    return Scan(found, ["window_id", "source_table"], ["ts", "source_key"], hours).number("ordinal").rows.select("window_id", "source_table", "source_key", "ts", F.col("ordinal").cast("int").alias("ordinal"), "row")
 
 
 def empty_windows(windows: DataFrame, chunks: DataFrame) -> DataFrame:

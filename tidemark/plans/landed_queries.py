@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import zipfile
+
+import pandas as pd
+import pyarrow as pa
+import pyarrow.fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -150,6 +155,35 @@ def tables_read(spark, sf_dir):
     return readers.read_table(spark, path, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
 
 
+def _zips(spark, sf_dir) -> str:
+    """A zip for fifty users, with a JSON member for each one and his events; every seventh member is cut short."""
+    path = f"{_shared(spark)}/zips"
+    message = F.struct(F.col("event_id").cast("string").alias("id"), F.unix_seconds("ts").cast("string").alias("timestamp"), F.col("props").alias("content"))
+    per = events(spark, sf_dir).groupBy("user_id").agg(F.array_sort(F.collect_list(message)).alias("messages"))
+    doc = F.to_json(F.struct(F.struct(F.col("user_id").cast("string").alias("id")).alias("channel"), "messages"))
+    docs = per.select(F.floor(F.col("user_id") / 50).alias("shard"), "user_id", F.when(F.col("user_id") % 7 == 3, F.substring(doc, 1, 30)).otherwise(doc).alias("doc"))
+
+    def pack(key, rows):
+        store, base = pa.fs.FileSystem.from_uri(path)
+        store.create_dir(base)
+        with store.open_output_stream(f"{base}/{key[0]}.zip") as out, zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as held:
+            held.writestr("notes.txt", "no JSON")
+            for user, doc in zip(rows["user_id"], rows["doc"], strict=True):
+                held.writestr(f"u{user}.json", doc)
+        return pd.DataFrame({"n": [len(rows)]})
+
+    docs.groupBy("shard").applyInPandas(pack, "n bigint").agg(F.sum("n")).collect()
+    return path
+
+
+@query("""SELECT 'u' || user_id || '.json' AS member, user_id % 7 = 3 AS broken, CAST(sum(CASE WHEN user_id % 7 = 3 THEN 0 ELSE 1 END) AS BIGINT) AS messages FROM events GROUP BY 1, 2""")
+def zips_read(spark, sf_dir):
+    docs = readers.read_zip_json(spark, _zips(spark, sf_dir))
+    member = F.element_at(F.split("source_file", "!"), -1).alias("member")
+    n = readers.zip_messages(docs).groupBy(member).agg(F.count(F.lit(1)).alias("n"))
+    return docs.select(member, F.col("error").isNotNull().alias("broken")).join(n, "member", "left").select("member", "broken", F.coalesce("n", F.lit(0)).alias("messages"))
+
+
 # incremental forms
 
 

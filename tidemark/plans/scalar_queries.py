@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions import scalars as S
 from tidemark.operators import clean, dataset, links, reports, validate
@@ -106,7 +107,9 @@ def content_ids(spark, sf_dir):
     return table(spark, sf_dir, "customer").select("c_custkey", S.content_id(F.col("c_custkey"), F.col("c_mktsegment"), length=16).alias("id"))
 
 
-@query("""SELECT sha256('v1:bronze:' || string_agg(x, chr(10) ORDER BY x)) AS batch_id FROM (SELECT CAST(p_partkey AS VARCHAR) || ':' || md5(p_name) AS x FROM part)""")
+@query("""WITH leaf AS (SELECT DISTINCT substr(sha256(CAST(p_partkey AS VARCHAR)), 1, 3) AS bucket, sha256(CAST(p_partkey AS VARCHAR) || ':' || md5(p_name)) AS leaf FROM part),
+b AS (SELECT bucket, sha256(string_agg(leaf, chr(10) ORDER BY leaf)) AS digest FROM leaf GROUP BY 1)
+SELECT sha256('v1:bronze:' || string_agg(bucket || ':' || digest, chr(10) ORDER BY bucket)) AS batch_id FROM b""")
 def file_batch_id(spark, sf_dir):
     files = table(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("path"), F.md5("p_name").alias("sha256"))
     return S.batch_id(files, "bronze", "v1")
@@ -330,4 +333,14 @@ def cascade_delete(spark, sf_dir):
     return delete_where(table(spark, sf_dir, "orders"), doomed, ["o_custkey"]).select("o_orderkey")
 
 
+@query("""SELECT 'column_missing' AS "check", 'o_gone' AS key UNION ALL SELECT 'column_extra', column_name FROM (DESCRIBE SELECT * FROM orders) WHERE column_name NOT IN ('o_orderkey', 'o_custkey', 'o_totalprice')
+UNION ALL SELECT 'column_type', 'o_totalprice' WHERE (SELECT count(*) FROM orders) > 0""")
+def order_schema(spark, sf_dir):
+    from tidemark.operators.validate import check_schema
+
+    o = table(spark, sf_dir, "orders")
+    want = T.StructType([*[o.schema[c] for c in ("o_orderkey", "o_custkey")], T.StructField("o_totalprice", T.BinaryType()), T.StructField("o_gone", T.StringType())])
+    return check_schema(o, want).select("check", "key")
+
+
 QUERIES, ORACLES = query.queries, query.oracles

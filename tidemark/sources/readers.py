@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-import io
 import json
+import re
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -77,32 +80,70 @@ def normalize_chat(raw: DataFrame) -> DataFrame:
     return found.where(F.col("message_id").isNotNull()).withColumn("ts_epoch", parse_epoch(F.col("ts_raw")))
 
 
-def read_zip_json(spark: SparkSession, path: str) -> DataFrame:
-    """Like read_chat_archives, for zip files whose members are JSON documents, and for plain JSON files among them. A
-    file that is neither gives a row whose error says so. Members are read one at a time."""
-
-    def each(name: str, content: bytes) -> Iterator[tuple[str, bytes]]:
-        if not zipfile.is_zipfile(io.BytesIO(content)):
-            yield name, content
-            return
-        with zipfile.ZipFile(io.BytesIO(content)) as held:
-            for m in sorted(held.namelist()):
-                if m.endswith(".json"):
-                    yield f"{name}!{m}", held.read(m)
-
-    def members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for name, content in zip(batch["path"], batch["content"], strict=True):
-                for where, blob in each(name, content):
-                    try:
-                        text, error = blob.decode("utf-8-sig"), None
-                        json.loads(text)
-                    except ValueError as e:
-                        text, error = None, str(e)[:200]
-                    yield pd.DataFrame({"source_file": [where], "document": [text], "error": [error]})
-
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    return files.select("path", "content").mapInPandas(members, "source_file string, document string, error string")
+_OPENED = "source_file string, archive string, member string, error string"
+_READ = "source_file string, document string, error string"
+
+
+def _opened(uri: str):
+    """A file of any store that has a reader, to be read from any place on."""
+    store, path = pa.fs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", uri))
+    return store.open_input_file(path)
+
+
+def _is_zip(file) -> bool:
+    try:
+        return zipfile.is_zipfile(file)
+    except ValueError:  # a file shorter than the end of any archive
+        return False
+
+
+def _table_of_contents(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The JSON members of each archive, by its table of contents alone; a file that is none is its own only member."""
+    for batch in batches:
+        for uri in batch["path"]:
+            rows = [(uri, uri, None, None)]
+            try:
+                with _opened(uri) as file:
+                    if _is_zip(file):
+                        file.seek(0)
+                        with zipfile.ZipFile(file) as held:
+                            rows = [(f"{uri}!{m}", uri, m, None) for m in sorted(set(held.namelist())) if m.endswith(".json")]
+            except (OSError, ValueError, zipfile.BadZipFile, NotImplementedError) as e:
+                rows = [(uri, uri, None, str(e)[:200])]
+            yield pd.DataFrame(rows, columns=["source_file", "archive", "member", "error"])
+
+
+def _members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Each member read from its place in its archive."""
+    for batch in batches:
+        for where, uri, member, error in batch.itertuples(index=False):
+            text = None
+            if error is None:
+                try:
+                    with _opened(uri) as file:
+                        if member is None:
+                            blob = file.read()
+                        else:
+                            with zipfile.ZipFile(file) as held:
+                                blob = held.read(member)
+                    text = blob.decode("utf-8-sig")
+                    json.loads(text)
+                except (OSError, ValueError, zipfile.BadZipFile, zlib.error, NotImplementedError, RuntimeError) as e:  # encrypted ones are RuntimeErrors
+                    text, error = None, str(e)[:200]
+            yield pd.DataFrame({"source_file": [where], "document": [text], "error": [error]})
+
+
+def read_zip_json(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
+    """Like read_chat_archives, for zip files whose members are JSON documents, and for plain JSON files among them:
+    (source_file, document, error). What can't be read, decompressed or parsed gives a row whose error says so.
+
+    Spark lists the files without reading them. A first task opens each archive where its table of contents lies; its
+    members are then dealt out over all tasks (`partitions`; as many as the session shuffles into, if None), and each is
+    read from its own place. So an archive may be of any size and is the work of many tasks; only a member has to fit into
+    memory. Stores are opened by Arrow (local, HDFS, S3, GCS)."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path")
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return files.mapInPandas(_table_of_contents, _OPENED).repartition(n, "source_file").mapInPandas(_members, _READ)
 
 
 def zip_messages(documents: DataFrame) -> DataFrame:

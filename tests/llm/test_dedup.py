@@ -55,17 +55,21 @@ def test_fingerprints_match_the_definition(spark):
     assert Counter(map(tuple, got)) == Counter((i, f"{plain_fingerprint(t):016x}") for i, t, _ in AWKWARD)
 
 
-@pytest.mark.parametrize("join_up_to", [0, 32])
-def test_links_lose_no_close_pair(spark, monkeypatch, join_up_to):
+@pytest.mark.parametrize(("join_up_to", "bits"), [(0, 2), (32, 2), (0, 4), (32, 4), (0, 6)])
+def test_links_lose_no_close_pair(spark, monkeypatch, join_up_to, bits):
     monkeypatch.setattr(simhash, "JOIN_UP_TO", join_up_to)
     rng = random.Random(2)
     fps = set()
     for _ in range(40):
         x = rng.getrandbits(64)
-        fps |= {x} | {x ^ (1 << rng.randrange(64)) ^ (1 << rng.randrange(64)) for _ in range(rng.choice((1, 3, 40)))}
+        for _ in range(rng.choice((1, 3, 40))):
+            turned = x
+            for bit in rng.sample(range(64), bits):
+                turned ^= 1 << bit
+            fps |= {x, turned}
     fps = [f - (1 << 64) if f >> 63 else f for f in fps]
-    got = rows(simhash.link_fingerprints(spark.createDataFrame([(f,) for f in fps], "fp bigint")))
-    close = [(a, b) for a in fps for b in fps if a < b and ((a ^ b) & (1 << 64) - 1).bit_count() <= 2]
+    got = rows(simhash.link_fingerprints(spark.createDataFrame([(f,) for f in fps], "fp bigint"), bits))
+    close = [(a, b) for a in fps for b in fps if a < b and ((a ^ b) & (1 << 64) - 1).bit_count() <= bits]
     assert set(map(tuple, map(sorted, got))) <= set(close)
     assert roots(got, fps) == roots(close, fps)
 
@@ -177,3 +181,10 @@ def test_decontamination_matches_plain_search(spark):
     assert decontamination.hits(awkward(spark, []), none).count() == 0
 
 
+
+
+def test_one_of_each_group_keeps_clashing_names(spark):
+    """Columns that are named as those that operators make inside are kept as they are."""
+    docs = spark.createDataFrame([(1, "a b c d e f", "x", 1, "y"), (2, "a b c d e f", "x", 1, "y"), (3, "other text", "z", 2, "w")], "doc_id bigint, text string, __row string, __kept int, __kept_row string")
+    kept = simhash.keep_one(docs, simhash.near_copies(docs, shingle=5, similarity=0.8))
+    assert kept.columns == docs.columns and sorted(map(tuple, kept.collect())) == [tuple(r) for r in docs.collect() if r["doc_id"] != 2]

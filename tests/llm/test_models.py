@@ -219,3 +219,21 @@ def test_mixing_spends_each_budget(spark):
     many = mixing.repeated(mixed)
     assert many.columns == df.columns and many.count() == sum(r["__copies"] for r in got)
     assert mixing.mix(df.where("false"))[0].count() == 0
+
+
+def test_language_landmarks_stay_bounded_however_many_labels():
+    for kinds, per in ((1, 300), (4, 200), (100, 3), (129, 2), (1000, 1)):
+        codes = np.repeat(np.arange(kinds), per)
+        marks = language.landmarks(codes, kinds)
+        assert len(set(marks.tolist())) == len(marks) <= language.LANDMARKS
+        assert len(set(codes[marks].tolist())) >= min(kinds, language.LANDMARKS)
+
+
+def test_language_learns_every_one_of_many_labels(spark, monkeypatch):
+    monkeypatch.setattr(language, "ROWS", 600)
+    rows = [(i, " ".join(chr(97 + i % 26) * 3 + chr(97 + i // 26 % 8) * 2 for _ in range(6)), f"l{i % 200}") for i in range(2000)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    assert len(language.fit(df).names) == 200
+    monkeypatch.setattr(language, "ROWS", 150)
+    with pytest.raises(ValueError):
+        language.fit(df)

@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-import re
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
-from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.sources.sinks import forget as discard
+from tidemark.sources.sinks import shared_folder as shared_dir
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: The characters [\x20\x09-\x0D].
 BLANKS = " \t\n\x0b\x0c\r"
@@ -26,23 +26,19 @@ def ascii_lower(text: Column) -> Column:
     return F.when(F.length(text) == F.octet_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that df doesn't have yet."""
+    taken = {c.lower() for c in df.columns}
+    while (name := f"__{name}") in taken:
+        pass
+    return name
+
+
 def crc32_mod(doc_id: Column, m: int) -> Column:
     """crc32 of the id as text, modulo m; a null id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % m
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; one of our own only where the session names none and runs on one
-    machine."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not found:
-        if not re.match(r"local($|\[)", spark.sparkContext.master):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        found = Path(tempfile.mkdtemp(prefix="shared-")).as_uri()
-        spark.sparkContext.setCheckpointDir(found)
-    return found
-
-
 def keep_batches_small(spark: SparkSession, rows: int = 1000) -> None:
     """From now on Arrow batches of this session have at most so many rows, also where the caller runs what is returned."""
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
@@ -69,11 +65,3 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     with small_batches(df.sparkSession):
         df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def discard(df: DataFrame) -> None:
-    """Delete a table made by materialize() that nothing reads any more."""
-    spark = df.sparkSession
-    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -24,6 +24,8 @@ BITS, SIZES = 13, (2, 3, 4)
 WIDTH = 1 << BITS
 #: Sampled rows for each language and in all, and landmarks in all, at most.
 PER_CLASS, ROWS, LANDMARKS = 800, 16_000, 128
+#: Rows of a label's share from which the share can be relied on to have some; below, one more is taken.
+SURELY = 30
 #: Texts of a matrix product, and characters that are hashed at once.
 TEXTS, CHARS = 256, 2_000_000
 _PLAIN = np.array([c if chr(c).isalpha() else 32 for c in range(128)], np.uint32)
@@ -80,10 +82,22 @@ class Languages:
         return {"lang_pred": names.astype(object), "score": scores}
 
 
+def landmarks(codes: np.ndarray, kinds: int) -> np.ndarray:
+    """The rows that serve as landmarks, LANDMARKS at most: as many of each label, or one each of labels evenly apart."""
+    first = np.concatenate([np.flatnonzero(codes == k)[: max(1, LANDMARKS // kinds)] for k in range(kinds)])
+    return first if len(first) <= LANDMARKS else first[np.linspace(0, len(first) - 1, LANDMARKS).astype(int)]
+
+
 def fit(rows: DataFrame, label: str = "lang", id: str = "doc_id", text: str = "text", ridge: float = 1e-2) -> Languages:
     named = rows.select(F.col(id).alias("doc_id"), F.col(text).alias("text"), F.col(label).alias("label")).where("label IS NOT NULL AND text IS NOT NULL")
     kinds = max(1, named.select("label").distinct().count())
-    sample = bounded_sample(named, "label", min(PER_CLASS, ROWS // kinds))
+    if kinds > ROWS:
+        raise ValueError(f"more than {ROWS} labels")
+    per_class = min(PER_CLASS, ROWS // kinds)
+    sample = bounded_sample(named, "label", per_class)
+    if per_class < SURELY:  # a share of so few rows can miss all of a label's
+        one = named.groupBy("label").agg(F.min_by(F.struct("doc_id", "text"), F.xxhash64("doc_id")).alias("x")).select("x.doc_id", "x.text", "label")
+        sample = sample.unionByName(one)
     got = score_texts(sample, lambda texts: {"x": [b.tobytes() for a, z in _groups(texts) for b in np.packbits(presence(texts[a:z]), axis=1)]}, "x binary", "doc_id", "text", {"label": F.col("label")})
     got = got.toArrow().sort_by("doc_id")
     labels = got["label"].to_pylist()
@@ -93,8 +107,7 @@ def fit(rows: DataFrame, label: str = "lang", id: str = "doc_id", text: str = "t
     x = np.unpackbits(np.frombuffer(b"".join(got["x"].to_pylist()), np.uint8).reshape(len(labels), -1), axis=1).astype(np.float32)
     x /= np.sqrt(np.maximum(x.sum(1, keepdims=True), 1))
     codes = np.array([names.index(v) for v in labels])
-    each = -(-LANDMARKS // len(names))
-    marks = x[np.concatenate([np.flatnonzero(codes == k)[:each] for k in range(len(names))])]
+    marks = x[landmarks(codes, len(names))]
     values, vectors = np.linalg.eigh(marks @ marks.T)
     good = values > 1e-6 * values.max()
     root = vectors[:, good] / np.sqrt(values[good])

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import LOWER, UPPER, discard, materialize
+from tidemark.llm.common import LOWER, UPPER, materialize
 
 #: Words that a task holds before it gives out their counts.
 WORDS_TOGETHER = 1_000_000

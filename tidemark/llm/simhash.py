@@ -35,12 +35,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import BLANKS, UPPER, LOWER, materialize
+from tidemark.llm.common import BLANKS, UPPER, LOWER, materialize, unused
 from tidemark.llm.components import connected_components
 from tidemark.llm.features import text_parts
 
 #: link_fingerprints resolves keys that more distinct fingerprints share by probes instead of a join; both ways are exact.
 JOIN_UP_TO = 32
+#: Bits up to which there are few enough probes (2081 for 4 bits); for more, every block is joined, however many share it.
+PROBED_BITS = 4
 #: Crowded blocks of near_copies are dealt into chunks of about so many fingerprints, and of so many shingles.
 CHUNK, CHUNK_SHINGLES = 256, 500_000
 _TO_LOWER = bytes.maketrans(UPPER.encode(), LOWER.encode())
@@ -126,14 +128,18 @@ def link_fingerprints(distinct: DataFrame, max_bits: int = 2) -> DataFrame:
     size = dealt.groupBy("way", "key").agg(F.count(F.lit(1)).alias("sharing")).where("sharing > 1")
     shared = materialize(dealt.join(size, ["way", "key"]), "simhash-blocks")
 
-    few = shared.where(F.col("sharing") <= JOIN_UP_TO)
+    few = shared if max_bits > PROBED_BITS else shared.where(F.col("sharing") <= JOIN_UP_TO)
     joined = few.select("way", "key", F.col("fp").alias("a")).join(few.select("way", "key", F.col("fp").alias("b")), ["way", "key"])
     edges = joined.where("a < b").where(_close(max_bits)).select("a", "b")
+    if max_bits > PROBED_BITS:
+        return edges.distinct()
 
     many = shared.where(F.col("sharing") > JOIN_UP_TO)
-    flips = [0, *(1 << i for i in range(64))]
+    single = [0, *(1 << i for i in range(64))]
+    flips = set(single)
     for _ in range((max_bits + 1) // 2 - 1):
-        flips = sorted({x ^ y for x in flips for y in flips[:65]})
+        flips = {x ^ y for x in flips for y in single}
+    flips = sorted(flips)
     outside = {way: [_signed(f) for f in flips if not f & (k & (1 << 64) - 1)] for way, k in enumerate(keys)}
     turned = F.col("fp")
     probes = F.lit(None).cast("array<bigint>")
@@ -368,9 +374,11 @@ def keep_one(docs: DataFrame, found: DataFrame, id: str = "doc_id") -> DataFrame
     rows that of the smallest digest. Equal rows count as one."""
     one = found.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("one"))
     firsts = one.select(F.col("one.doc_id").alias("__kept"), F.col("one.row").alias("__kept_row"))
-    named = docs.withColumn("__row", row_digest(docs))
-    kept = named.join(firsts, F.col(id).eqNullSafe(F.col("__kept")) & (F.col("__row") == F.col("__kept_row")), "left_semi")
-    return kept.dropDuplicates([id, "__row"]).drop("__row")
+    row, kept_id, kept_row = (unused(docs, c) for c in ("row", "kept", "kept_row"))
+    firsts = firsts.toDF(kept_id, kept_row)
+    named = docs.withColumn(row, row_digest(docs))
+    kept = named.join(firsts, F.col(id).eqNullSafe(F.col(kept_id)) & (F.col(row) == F.col(kept_row)), "left_semi")
+    return kept.dropDuplicates([id, row]).drop(row)
 
 
 def as_hex(fp: Column) -> Column:

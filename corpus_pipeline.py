@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontamination, mixing, quality, simhash, token_files
-from tidemark.llm.common import keep_batches_small, shared_dir, table
+from tidemark.llm.common import keep_batches_small, shared_dir, table, unused
 
 #: A document is rejected below this score. Clean documents score far above it, junk far below.
 REJECT_BELOW = 0.5
@@ -45,14 +45,18 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     named = docs.select(F.struct("doc_id", simhash.row_digest(docs).alias("row")).alias("__id"), "text")
     found = decontamination.hits(named, table(spark, sf_dir, "benchmark"), id="__id")
     dirty = found.where(F.size("spans") > 0).select(F.col("doc_id.doc_id").alias("__dirty"), F.col("doc_id.row").alias("__dirty_row"))
-    same = F.col("doc_id").eqNullSafe(F.col("__dirty")) & (F.col("__row") == F.col("__dirty_row"))
-    return docs.withColumn("__row", simhash.row_digest(docs)).join(dirty, same, "left_anti").drop("__row")
+    row, dirty_id, dirty_row = (unused(docs, c) for c in ("row", "dirty", "dirty_row"))
+    same = F.col("doc_id").eqNullSafe(F.col(dirty_id)) & (F.col(row) == F.col(dirty_row))
+    return docs.withColumn(row, simhash.row_digest(docs)).join(dirty.toDF(dirty_id, dirty_row), same, "left_anti").drop(row)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document once, and those of smaller sources up to MAX_REPEAT times, to tempered weights."""
-    mixed, _ = mixing.mix(docs, max_repeat=MAX_REPEAT)
-    return mixing.repeated(mixed)
+    own = {unused(docs, f"{i}"): c for i, c in enumerate(docs.columns)}  # names that the mix can't clash with
+    kept = ["doc_id", "source", "text"]
+    named = docs.select(*kept, *[F.col(c).alias(n) for n, c in own.items() if c not in kept])
+    mixed, _ = mixing.mix(named, max_repeat=MAX_REPEAT)
+    return mixing.repeated(mixed).select(*[F.col(c if c in kept else n).alias(c) for n, c in own.items()])
 
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

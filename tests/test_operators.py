@@ -110,8 +110,10 @@ def test_chunks_text_and_files(silver, spark):
     chunks = windows.slice_chunks(w, named)
     assert rows(chunks.groupBy("source_table").count()) == [("changelog", 2), ("commits", 1), ("issues", 1), ("messages", 3), ("pulls", 2)]
     assert rows(windows.empty_windows(w, chunks).select("window_id")) == [("w2",)]
-    text = {r.window_id: r for r in windows.render_evidence(w, chunks).collect()}
-    assert text["w1"].chat.split("\n")[0] == "[2026-01-01T00:00:00Z] ann: start AB-1" and text["w1"].pull_requests == "#9 open (bob)\n#7 fix (ann)" and text["w2"].chat == ""
+    text = {(r.window_id, r.section, r.part): r.text for r in windows.render_evidence(w, chunks).collect()}
+    assert text["w1", "chat", 0].split("\n")[0] == "[2026-01-01T00:00:00Z] ann: start AB-1" and text["w1", "pull_requests", 0] == "#9 open (bob)\n#7 fix (ann)" and text["w2", None, None] is None
+    parts = {(r.section, r.part): r.text for r in windows.render_evidence(w, chunks, most_lines=2).where("window_id = 'w1'").collect()}
+    assert "\n".join(parts["chat", i] for i in (0, 1)) == text["w1", "chat", 0] and parts["chat", 1].count("\n") == 0
     assert rows(windows.touched_files(chunks)) == [("w1", "a", "Merge"), ("w1", "b", "Merge")]
     brief = json.loads(windows.task_briefs(w, chunks, spark.createDataFrame([("w1", "p")], "window_id string, path string")).where("window_id = 'w1'").first()["brief"])
     assert brief["duration_minutes"] == 60.0 and brief["messages"] == 3 and brief["documents"] == ["p"]

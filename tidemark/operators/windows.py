@@ -311,8 +311,14 @@ def task_briefs(windows: DataFrame, chunks: DataFrame, documents: DataFrame) ->
     return full.select("window_id", F.to_json(made).alias("brief"))
 
 
-def render_evidence(windows: DataFrame, chunks: DataFrame) -> DataFrame:
-    """(window_id, title, chat, events, commits, pull_requests): the slice of each window as text, line by line in order."""
+#: Streams that are rendered, and what their section is called.
+SECTIONS = {"messages": "chat", "changelog": "events", "commits": "commits", "pulls": "pull_requests"}
+
+
+def render_evidence(windows: DataFrame, chunks: DataFrame, most_lines: int = 2000) -> DataFrame:
+    """(window_id, title, section, part, text): the slice of each window as text, line by line in order, in sections (chat,
+    events, commits, pull_requests) and parts of most_lines lines each, numbered from 0; nothing is gathered beyond a part. A
+    window without any lines has one row without a section."""
     j = lambda p: F.coalesce(F.get_json_object("row", f"$.{p}"), F.lit(""))
     at = S.iso_z(F.col("ts"))
     line = (
@@ -321,15 +327,12 @@ def render_evidence(windows: DataFrame, chunks: DataFrame) -> DataFrame:
         .when(F.col("source_table") == "commits", F.concat(F.substring("source_key", 1, 8), F.lit(" "), j("author_name"), F.lit(": "), j("message")))
         .when(F.col("source_table") == "pulls", F.concat(F.lit("#"), j("pr_number"), F.lit(" "), j("title"), F.lit(" ("), j("author"), F.lit(")")))
     )
-    lines = chunks.withColumn("line", line).where("line IS NOT NULL")
-
-    def text(table: str) -> Column:
-        items = F.collect_list(F.when(F.col("source_table") == table, F.struct("ordinal", "line")))
-        return F.array_join(F.transform(F.array_sort(items), lambda x: x["line"]), "\n")
-
-    names = {"messages": "chat", "changelog": "events", "commits": "commits", "pulls": "pull_requests"}
-    bodies = lines.groupBy("window_id").agg(*[text(t).alias(n) for t, n in names.items()])
-    return windows.select("window_id", "title").join(bodies, "window_id", "left").fillna("", list(names.values()))
+    section = F.element_at(F.create_map(*[F.lit(x) for pair in SECTIONS.items() for x in pair]), F.col("source_table"))
+    part = F.floor((F.col("ordinal") - 1) / most_lines).cast("int")
+    lines = chunks.where(F.col("source_table").isin(list(SECTIONS))).select("window_id", section.alias("section"), part.alias("part"), "ordinal", line.alias("line"))
+    ordered = F.array_sort(F.collect_list(F.struct("ordinal", "line")))
+    bodies = lines.where("line IS NOT NULL").groupBy("window_id", "section", "part").agg(F.array_join(F.transform(ordered, lambda x: x["line"]), "\n").alias("text"))
+    return windows.select("window_id", "title").join(bodies, "window_id", "left")
 
 
 def touched_files(chunks: DataFrame) -> DataFrame:

@@ -4,8 +4,10 @@ from collections import Counter
 import numpy as np
 import pytest
 from helpers import AWKWARD, awkward
+from pyspark.sql import functions as F
 
 from tidemark.llm import suffix_dedup
+from tidemark.llm.common import materialize
 
 
 def plain(docs):
@@ -54,6 +56,17 @@ def test_repeats_match_plain_counting(spark, monkeypatch, groups, part, at_once)
         assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in got) == plain(docs)
 
 
+def test_strings_with_equal_hashes_are_told_apart(spark):
+    docs = corpus(1)[:40] + corpus(1)[60:]
+    df = spark.createDataFrame([(i, n, t) for n, (i, t) in enumerate(docs)], "doc_id bigint, mark bigint, text string")
+    found = suffix_dedup.runs(df)
+    ranges = lambda x: {(r.doc_id, r.mark, s) for r in x.collect() for s in range(r.start, r.start + r.n)}
+    want = ranges(suffix_dedup.repeats(df))
+    blind = found.withColumn("ctx", F.lit(0).cast("bigint")).withColumn("alt", F.lit(0).cast("bigint"))
+    half = found.withColumn("ctx", F.col("ctx") % 2).withColumn("alt", F.lit(0).cast("bigint"))
+    assert want and all(ranges(suffix_dedup.settle(df, materialize(x, "suffix-runs"))) == want for x in (blind, half))
+
+
 def test_awkward_rows(spark):
     rows = [r for r in AWKWARD if r[0] != 7] + [(7, "word " * 300, "en")]
     got = suffix_dedup.remove_repeats(awkward(spark, rows)).collect()

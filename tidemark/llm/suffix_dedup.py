@@ -18,8 +18,10 @@ ANCHOR-byte substring of least hash, at the same offset, so only suffixes whose
    one string.
 
 Counts are partial aggregates and wide keys are dealt out, so no passage, however common, comes to one task. Texts
-travel twice, compressed, to the intervals of their documents. What the sort decides is verified byte by byte; whole
-repeats rest on 128 bits of two hashes of their bytes (beside the anchor's).
+travel three times, compressed, to the intervals of their documents. Nothing rests on hashes: what the sort decides is
+verified byte by byte, pieces of wide keys are grouped by their bytes, and the bytes of all whole repeats are grouped as
+well (by a partial aggregate, so a common passage is one row a task). Should strings of one key and context differ, they
+are told apart by their bytes and settled anew.
 
 Defined cases: null and texts shorter than LENGTH lose nothing; rows that repeat an id are separate documents (so a
 repeated row repeats all its strings); null ids are kept. Other columns of the input are not read.
@@ -213,9 +215,6 @@ def repeated_starts(raw: np.ndarray, starts: np.ndarray, segment: np.ndarray) ->
     return found
 
 
-_OPEN = "key bigint, doc_id {kind}, mark bigint, start int, n int, anchor int, single boolean, raw binary"
-
-
 def _resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Open runs, sorted by key, to the ranges (doc_id, mark, start, n) of their starts whose strings repeat. Runs that
     are not single are only there for others to be found equal to."""
@@ -306,11 +305,12 @@ def _finer(wide: DataFrame, width: int) -> DataFrame:
 def _dealt(wide: DataFrame) -> tuple[list[DataFrame], list[DataFrame]]:
     """Runs of wide keys to (ranges that repeat, runs for the sort in groups of GROUP_RUNS at most)."""
     ranges, sortable = [], []
+    same = ["key", "ctx", "alt", "raw"]
     for width in WIDTHS:
         pieces = materialize(_finer(wide, width).withColumn("piece", F.monotonically_increasing_id()), "suffix-pieces")
-        kinds = materialize(pieces.groupBy("key", "ctx", "alt").agg(F.count(F.lit(1)).alias("often"), F.min("piece").alias("piece")), "suffix-kinds")
-        twice = kinds.where("often > 1").select("key", "ctx", "alt")
-        ranges.append(pieces.where("single").join(twice, ["key", "ctx", "alt"]).select("doc_id", "mark", "start", "n"))
+        kinds = materialize(pieces.groupBy(*same).agg(F.count(F.lit(1)).alias("often"), F.min("piece").alias("piece")), "suffix-kinds")
+        twice = kinds.where("often > 1").select(*same)
+        ranges.append(pieces.where("single").join(twice, same).select("doc_id", "mark", "start", "n"))
         if width == 1:  # different strings
             break
         sizes = kinds.groupBy("key").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
@@ -342,51 +342,93 @@ def _with_lists(docs: DataFrame, lists: DataFrame, how: str) -> DataFrame:
     return _packed(docs).alias("d").join(lists.alias("l"), same, how).select("d.*", "l.items")
 
 
+def _cut_out(docs: DataFrame, lists: DataFrame, fields: str) -> DataFrame:
+    """(fields, doc_id, mark, raw): for each item of a document's list, its fields and the bytes that its strings cover."""
+    names = [field.split()[0] for field in fields.split(", ")]
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        read = zstandard.ZstdDecompressor()
+        for batch in batches:
+            flat = batch["items"].flatten()
+            owner = np.repeat(np.arange(len(batch)), batch["items"].value_lengths().to_numpy())
+            spans = zip(owner.tolist(), flat.field("start").to_pylist(), flat.field("n").to_pylist(), strict=True)
+            raws, size, done, text, text_of = [], 0, 0, b"", -1
+            for i, (row, start, n) in enumerate(spans):
+                if row != text_of:
+                    text, text_of = read.decompress(batch["packed"][row].as_py()), row
+                raws.append(text[start : start + n + LENGTH - 1])
+                size += len(raws[-1])
+                if size > OUT_BYTES or i == len(owner) - 1:
+                    take = pa.array(owner[done : i + 1])
+                    columns = [flat.field(f).slice(done, len(raws)) for f in names]
+                    ids = [batch[c].take(take) for c in ("doc_id", "mark")]
+                    yield pa.RecordBatch.from_arrays([*columns, *ids, pa.array(raws, pa.binary())], [*names, "doc_id", "mark", "raw"])
+                    raws, size, done = [], 0, i + 1
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return _with_lists(docs, lists, "inner").mapInArrow(cut, f"{fields}, doc_id {kind}, mark bigint, raw binary")
+
+
+def _told_apart(docs: DataFrame, shared: DataFrame, whole: DataFrame) -> DataFrame | None:
+    """shared with `twin`, a number by which different strings of one key, ctx and alt differ; None if there are none."""
+    hashes = ["key", "ctx", "alt"]
+    lists = whole.groupBy("doc_id", "mark").agg(F.collect_list(F.struct(*hashes, "start", "n")).alias("items"))
+    cut = _cut_out(docs, lists, "key bigint, ctx bigint, alt bigint, start int, n int")
+    strings = cut.groupBy(*hashes, "raw").agg(F.count(F.lit(1)).alias("often"))
+    clashes = materialize(strings.groupBy(*hashes).agg(F.count(F.lit(1)).alias("strings")).where("strings > 1").select(*hashes), "suffix-clashes")
+    if clashes.isEmpty():
+        discard(clashes)
+        return None
+    apart = materialize(cut.join(clashes, hashes, "left_semi"), "suffix-apart")
+    twins = materialize(apart.select(*hashes, "raw").distinct().withColumn("twin", F.monotonically_increasing_id() + 1), "suffix-twins")
+    twins = apart.join(twins, [*hashes, "raw"]).select("doc_id", "mark", "start", "twin")
+    same = F.expr("s.doc_id <=> t.doc_id AND s.mark = t.mark AND s.start = t.start")
+    told = shared.drop("twin", "several").alias("s").join(twins.alias("t"), same, "left").select("s.*", F.coalesce("t.twin", F.lit(0)).alias("twin"))
+    keys = clashes.select("key").distinct().withColumn("clash", F.lit(True))
+    told = told.join(shared.groupBy("key").agg(F.first("several").alias("several")), "key").join(keys, "key", "left")
+    return materialize(told.withColumn("several", F.col("several") | F.coalesce("clash", F.lit(False))).drop("clash"), "suffix-told")
+
+
 def repeats(docs: DataFrame) -> DataFrame:
     """(doc_id, mark, start, n): for documents (doc_id, mark, text), ranges of starts whose strings start elsewhere."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    found = materialize(runs(docs), "suffix-runs")
+    return settle(docs, materialize(runs(docs), "suffix-runs"))
+
+
+def settle(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """The ranges of `repeats` from the runs `found` of docs, a table that is deleted when it has been read."""
     ends = [f(c).alias(f"{c}_{f.__name__}") for c in ("ctx", "alt") for f in (F.min, F.max)]
     keys = found.groupBy("key").agg(F.count(F.lit(1)).alias("often"), *ends).where("often > 1")
     keys = materialize(keys.select("key", F.expr("ctx_min <> ctx_max OR alt_min <> alt_max").alias("several")), "suffix-keys")
-    shared = materialize(found.join(keys, "key"), "suffix-shared")
+    shared = materialize(found.join(keys, "key").withColumn("twin", F.lit(0).cast("bigint")), "suffix-shared")
     discard(found)
-    several = shared.where("several")
-    own = F.struct("doc_id", "mark", "start", "n", "anchor")
-    kinds = materialize(several.groupBy("key", "ctx", "alt").agg(F.count(F.lit(1)).alias("often"), F.min_by(own, F.struct("mark", "start")).alias("own")), "suffix-kinds")
-    twice = kinds.where("often > 1").select("key", "ctx", "alt")
-    whole = shared.where("NOT several").unionByName(several.join(twice, ["key", "ctx", "alt"]), allowMissingColumns=True)
+    kinds, whole = _kinds(shared)
+    told = _told_apart(docs, shared, whole)
+    if told is not None:
+        kinds, whole = _kinds(told)
 
     groups = kinds.groupBy("key").agg((F.count(F.lit(1)) > GROUP_RUNS).alias("wide"))
     item = F.struct("key", "wide", "own.start", "own.n", "own.anchor", (F.col("often") == 1).alias("single"))
     open_ = kinds.join(groups, "key").select("own.doc_id", "own.mark", item.alias("item"))
     lists = open_.groupBy("doc_id", "mark").agg(F.collect_list("item").alias("items"))
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fields = ["key", "wide", "start", "n", "anchor", "single"]
-        read = zstandard.ZstdDecompressor()
-        for batch in batches:
-            items = batch["items"]
-            flat, sizes = items.flatten(), items.value_lengths().to_numpy()
-            start, n = flat.field("start").to_numpy(), flat.field("n").to_numpy()
-            raws, at = [], 0
-            for packed, size in zip(batch["packed"].to_pylist(), sizes, strict=True):
-                text = read.decompress(packed)
-                raws += [text[s : s + c + LENGTH - 1] for s, c in zip(start[at : at + size], n[at : at + size], strict=True)]
-                at += size
-            take = pa.array(np.repeat(np.arange(len(batch)), sizes))
-            got = {f: flat.field(f) for f in fields} | {"doc_id": batch["doc_id"].take(take), "mark": batch["mark"].take(take), "raw": pa.array(raws, pa.binary())}
-            order = ["wide", "key", "doc_id", "mark", "start", "n", "anchor", "single", "raw"]
-            yield pa.RecordBatch.from_arrays([got[c] for c in order], order)
-
-    pieces = materialize(_with_lists(docs, lists, "inner").mapInArrow(cut, f"wide boolean, {_OPEN.format(kind=kind)}"), "suffix-open")
+    pieces = materialize(_cut_out(docs, lists, "wide boolean, key bigint, start int, n int, anchor int, single boolean"), "suffix-open")
     wide = pieces.where("wide").drop("wide")
     ranges, sortable = ([], []) if wide.isEmpty() else _dealt(wide)
     groups = reduce(DataFrame.unionByName, sortable, pieces.where("NOT wide").drop("wide"))
+    kind = docs.schema["doc_id"].dataType.simpleString()
     resolved = groups.repartition("key").sortWithinPartitions("key").mapInArrow(_resolve, f"doc_id {kind}, mark bigint, start int, n int")
     return reduce(DataFrame.unionByName, ranges, whole.select("doc_id", "mark", "start", "n").unionByName(resolved))
 
 
+def _kinds(shared: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of runs whose key repeats: the kinds of context of keys with several, each with one run of its own, and the whole repeats."""
+    kind = ["key", "ctx", "alt", "twin"]
+    several = shared.where("several")
+    own = F.struct("doc_id", "mark", "start", "n", "anchor")
+    kinds = materialize(several.groupBy(*kind).agg(F.count(F.lit(1)).alias("often"), F.min_by(own, F.struct("mark", "start")).alias("own")), "suffix-kinds")
+    twice = kinds.where("often > 1").select(*kind)
+    return kinds, shared.where("NOT several").unionByName(several.join(twice, kind), allowMissingColumns=True)
+
+
 def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept): every row's UTF-8 text without the bytes that a repeated string
     covers, as binary."""

@@ -368,3 +368,22 @@ def test_checks_read_each_stream_once(spark, silver):
     assert plan(found).count("SubqueryAlias said_once") == 1
     names = [r[0] for r in rows(found)]
     assert sorted(names) == ["issue_key_shape", "message_blank", "message_outside_range", "message_repeats", "message_repeats", "message_without_author", "quarantine_without_reason", "sha_shape"]
+
+
+def test_sets_of_keys(spark):
+    rng = random.Random(8)
+    sets = [[(rng.choice([None, 1, 2, 3, 4, 5]), rng.choice([None, "a", "b"]), i) for i in range(n)] for n in (14, 9, 0, 11)]
+    frames = [spark.createDataFrame(s, "k int, name string, held int").drop(*([] if i else ["held"])) for i, s in enumerate(sets)]
+    plain = [{r[:2] for r in s} for s in sets]
+    some = [0, 1, 3]
+    for use in (some, [0, 1, 2, 3], [2, 0], [1]):
+        held, has = [plain[i] for i in use], [frames[i].repartition(3) for i in use]
+        assert rows(links.in_any(has, "k", "name")) == sorted(set.union(*held), key=repr)
+        assert rows(links.in_all(has, "k", "name")) == sorted(set.intersection(*held), key=repr)
+        assert rows(links.in_first_only(has, "k", "name")) == sorted(held[0].difference(*held[1:]), key=repr)
+        want = [(*k, sum(1 << i for i, s in enumerate(held) if k in s)) for k in set.union(*held)]
+        assert rows(links.membership(has, "k", "name")) == sorted(want, key=repr)
+    assert links.membership([frames[0].limit(1)] * 62, "k").first().held == (1 << 62) - 1
+    for wrong in ([], [frames[0]] * 63):
+        with pytest.raises(ValueError):
+            links.membership(wrong, "k")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -101,6 +103,31 @@ def orphans(child: DataFrame, parent: DataFrame, on: str, parent_on: str | None
     return child.where(F.col(on).isNotNull()).join(keys, on, "left_anti")
 
 
+def membership(sets: list[DataFrame], *on: str) -> DataFrame:
+    """(on, held): every distinct key of the sets; bit i of `held` says whether the i-th set has it (up to 62 sets). One
+    union and one aggregate, combined before its shuffle, however many the sets; null keys equal one another, repeats
+    count once, other columns are not read. No key column may be called held."""
+    if not 0 < len(sets) < 63 or "held" in on:
+        raise ValueError("membership takes 1 to 62 sets and no key called held")
+    marked = [s.select(*on, F.lit(1 << i).cast("long").alias("held")) for i, s in enumerate(sets)]
+    return reduce(DataFrame.unionByName, marked).groupBy(*on).agg(F.bit_or("held").alias("held"))
+
+
+def in_any(sets: list[DataFrame], *on: str) -> DataFrame:
+    """The distinct keys of all sets together."""
+    return membership(sets, *on).drop("held")
+
+
+def in_all(sets: list[DataFrame], *on: str) -> DataFrame:
+    """The distinct keys that every set has."""
+    return membership(sets, *on).where(F.col("held") == (1 << len(sets)) - 1).drop("held")
+
+
+def in_first_only(sets: list[DataFrame], *on: str) -> DataFrame:
+    """The distinct keys of the first set that no other has."""
+    return membership(sets, *on).where("held = 1").drop("held")
+
+
 def task_documents(tasks: DataFrame, documents: DataFrame, attachments: DataFrame) -> DataFrame:
     """(task_id, path): documents linked to a task by its ticket, or attached to messages of its slice (task_id, path). Two
     equi-joins and a distinct union, not a join with OR."""

@@ -230,17 +230,26 @@ def naive_recovered(spark, sf_dir):
 
 @query("SELECT DISTINCT doc_id FROM (SELECT doc_id FROM labels UNION SELECT doc_id FROM documents WHERE lang = 'en')")
 def union_of_ids(spark, sf_dir):
-    return table(spark, sf_dir, "labels").select("doc_id").union(table(spark, sf_dir, "documents").where("lang = 'en'").select("doc_id")).distinct()
+    return links.in_any([table(spark, sf_dir, "labels"), table(spark, sf_dir, "documents").where("lang = 'en'")], "doc_id")
 
 
 @query("SELECT doc_id FROM documents EXCEPT SELECT doc_id FROM labels")
 def ids_except(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id").subtract(table(spark, sf_dir, "labels").select("doc_id"))
+    return links.in_first_only([table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")], "doc_id")
 
 
 @query("SELECT doc_id FROM documents WHERE lang = 'de' INTERSECT SELECT doc_id FROM labels WHERE toxic = 1")
 def ids_in_both(spark, sf_dir):
-    return table(spark, sf_dir, "documents").where("lang = 'de'").select("doc_id").intersect(table(spark, sf_dir, "labels").where("toxic = 1").select("doc_id"))
+    return links.in_all([table(spark, sf_dir, "documents").where("lang = 'de'"), table(spark, sf_dir, "labels").where("toxic = 1")], "doc_id")
+
+
+@query("""SELECT source, lang, bit_or(bit) AS held FROM (SELECT source, lang, CAST(1 AS BIGINT) AS bit FROM documents
+UNION ALL SELECT source, lang, 2 FROM documents JOIN labels USING (doc_id) WHERE toxic = 1
+UNION ALL SELECT source, lang, 4 FROM documents JOIN labels USING (doc_id) WHERE quality = 0) GROUP BY ALL""")
+def sets_of_sources(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    marked = docs.join(labels.select("doc_id", "toxic", "quality"), "doc_id")
+    return links.membership([docs, marked.where("toxic = 1"), marked.where("quality = 0")], "source", "lang")
 
 
 @query("SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_orderdate DESC, o_orderkey DESC LIMIT 50")

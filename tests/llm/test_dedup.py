@@ -117,6 +117,32 @@ def test_line_dedup_matches_plain_counts(spark):
     assert line_dedup.LineDedup.build(awkward(spark, []), 3).apply(awkward(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("room", [line_dedup.PROBE_BYTES, -1])
+def test_lines_of_documents_that_were_not_counted(spark, monkeypatch, room):
+    """With filters in every task and, where they are too large for that, with none; among the texts one of nearly 5 MB of varied lines."""
+    monkeypatch.setattr(line_dedup, "PROBE_BYTES", room)
+    monkeypatch.setattr(line_dedup, "SHARD_KEYS", 20)
+    rng = random.Random(11)
+    schema = "doc_id string, text string"
+    some = lambda n: "\n".join(f" Line {int(rng.paretovariate(0.4)) % 9000}\t" for _ in range(n))
+    counted = [(str(i), some(30)) for i in range(120)]
+    others = [("x", some(500_000)), (None, some(5)), (None, some(5)), ("y", None), ("z", ""), ("z", "line 1\n\nLINE 1")]
+    state = line_dedup.LineDedup.build(spark.createDataFrame(counted, schema), 4)
+    assert state.shards > 20 and len(others[0][1]) > 4_000_000
+    key = lambda x: x.strip(" \t\n\x0b\x0c\r").lower()
+    held = Counter(k for _, t in counted for k in {key(x) for x in t.split("\n")} if k)
+    want = Counter()
+    for i, t in others:
+        lines = (t or "").split("\n")
+        kept = [x for x in lines if held[key(x)] < 4]
+        want[i, len(lines), len(lines) - len(kept), "\n".join(kept)] += 1
+    got = spark.createDataFrame(others, schema)
+    assert Counter(rows(state.apply(got))) == want
+    if room > 0:  # nearly all lines that are not frequent are ruled out before they are rows
+        asked = line_dedup.likely_lines(got.withColumn("mark", F.lit(0).cast("long")), state.filters, state.shards).count()
+        assert 0 <= asked - sum(n * c for (_, _, n, _), c in want.items()) < 0.02 * 500_000
+
+
 def test_line_dedup_is_reversible(spark):
     more = [(100 + i, "omega\nonly here %d" % i, "en") for i in range(4)]
     old, new = awkward(spark), awkward(spark, more)

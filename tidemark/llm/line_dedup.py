@@ -6,9 +6,14 @@ holds for each shard of the key space a cuckoo filter of the keys that reach `mi
 Bloom filter, can forget a key, so a deletion that takes a key below the threshold is undone in the filter too. A
 filter answer of "no" is final; a "yes" is confirmed against `counts`.
 
+The filters are asked where the documents are read: a line becomes a row, and takes part in the join with `counts`,
+only after a "yes". For that every task holds all filters, while they take PROBE_BYTES or less together; beyond that
+all lines are joined with `counts`, which gives the same result. The documents need not be those that were counted.
+
 Defined cases: a null or empty text is one empty line, and empty keys are never dropped. Each row counts as one
 document, also where rows repeat a doc_id. Null ids are kept. Other columns of the input are not read. A change that
-outgrows a shard's filter builds that filter anew from the exact counts.
+outgrows a shard's filter builds that filter anew from the exact counts. A text of many lines is one array of hashes in
+its own row, 20 bytes a line beside the text.
 """
 
 from __future__ import annotations
@@ -17,13 +22,16 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import BLANKS, ascii_lower, materialize
 
-#: Keys of the exact table for each shard; a shard's filter and the keys that probe it stay this small.
+#: Keys of the exact table for each shard; a shard's filter and what changes it stay this small.
 SHARD_KEYS = 100_000
+#: Bytes of all filters that a task holds at most, some three for each frequent key.
+PROBE_BYTES = 32 << 20
 SLOTS, KICKS = 4, 500
 
 
@@ -153,25 +161,51 @@ def update_filters(filters: DataFrame, before: DataFrame, after: DataFrame, min_
     return changed.where("filter IS NOT NULL").unionByName(anew)
 
 
-def frequent_keys(keys: DataFrame, counts: DataFrame, filters: DataFrame, min_docs: int, shards: int) -> DataFrame:
-    """Those of the distinct `keys` (h1, h2) that are in min_docs documents: filtered by shard, then confirmed."""
-
-    def probe(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
-        if not len(held) or not len(asked):
-            return asked.iloc[:0][["h1", "h2"]]
-        known = CuckooFilter(table=np.frombuffer(held["filter"].iloc[0], np.uint16).reshape(-1, SLOTS))
-        return asked.loc[known.contains(asked.h1.to_numpy(), asked.h2.to_numpy()), ["h1", "h2"]]
-
-    asked = keys.select("h1", "h2", _shard(shards)).groupBy("shard")
-    maybe = asked.cogroup(filters.groupBy("shard")).applyInPandas(probe, "h1 bigint, h2 bigint")
-    return maybe.join(counts.where(F.col("n_docs") >= min_docs), ["h1", "h2"]).select("h1", "h2")
-
-
-def drop_lines(docs: DataFrame, frequent: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_lines, n_dropped, kept): each document without the lines whose key is in `frequent`."""
+def _held(filters: DataFrame) -> dict[int, bytes] | None:
+    """Every filter by its shard, or None where they take more than PROBE_BYTES."""
+    size = filters.agg(F.sum(F.octet_length("filter"))).first()[0] or 0
+    return {r["shard"]: bytes(r["filter"]) for r in filters.collect()} if size <= PROBE_BYTES else None
+
+
+def _prober(held, shards: int):
+    """Arrow batches of (doc_id, mark, lines) to the lines (doc_id, mark, pos, h1, h2) that the filters may hold."""
+
+    def run(batches):
+        known = {s: CuckooFilter(table=np.frombuffer(b, np.uint16).reshape(-1, SLOTS)) for s, b in held.value.items()}
+        for batch in batches:
+            lines = batch.column("lines")
+            each, owner = lines.flatten(), lines.value_parent_indices()
+            h1, h2 = (each.field(c).to_numpy() for c in ("h1", "h2"))
+            shard = ((h1.view(np.uint64) >> np.uint64(32)) % np.uint64(shards)).astype(np.int64)
+            order = np.argsort(shard, kind="stable")
+            found, ends = [], np.flatnonzero(np.diff(shard[order])) + 1
+            for at in np.split(order, ends) if len(order) else ():
+                if (asked := known.get(int(shard[at[0]]))) is not None:
+                    found.append(at[asked.contains(h1[at], h2[at])])
+            yes = pa.array(np.concatenate(found) if found else np.empty(0, np.int64))
+            rows = owner.take(yes)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(rows), batch.column("mark").take(rows), *[each.field(c).take(yes) for c in ("pos", "h1", "h2")]],
+                                             names=["doc_id", "mark", "pos", "h1", "h2"])
+
+    return run
+
+
+def likely_lines(rows: DataFrame, filters: DataFrame, shards: int) -> DataFrame:
+    """(doc_id, mark, pos, h1, h2): the lines of rows (doc_id, mark, text) but those that the filters rule out, and empty ones."""
+    each = F.transform(_keys(F.col("text")), lambda k, i: F.struct(k.alias("key"), i.alias("pos")))
+    hashed = F.transform(F.filter(each, lambda x: x["key"] != ""), lambda x: F.struct(x["pos"].alias("pos"), *_digest(x["key"])))
+    listed = rows.select("doc_id", "mark", hashed.alias("lines"))
+    if (held := _held(filters)) is None:
+        return listed.select("doc_id", "mark", F.inline("lines"))
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return listed.mapInArrow(_prober(rows.sparkSession.sparkContext.broadcast(held), shards), f"doc_id {kind}, mark bigint, pos int, h1 bigint, h2 bigint")
+
+
+def drop_lines(docs: DataFrame, counts: DataFrame, filters: DataFrame, min_docs: int, shards: int, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, n_lines, n_dropped, kept): each document without the lines that are in min_docs documents or more."""
     rows = docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("mark"))
-    lines = rows.select("doc_id", "mark", F.posexplode(_keys(F.col("text"))).alias("pos", "key")).where("key <> ''")
-    hits = lines.select("doc_id", "mark", "pos", *_digest(F.col("key"))).join(frequent, ["h1", "h2"])
+    frequent = counts.where(F.col("n_docs") >= min_docs).select("h1", "h2")
+    hits = likely_lines(rows, filters, shards).join(frequent, ["h1", "h2"])
     gone = hits.groupBy("doc_id", "mark").agg(F.collect_set("pos").alias("gone"))
     both = rows.alias("d").join(gone.alias("g"), F.expr("d.doc_id <=> g.doc_id AND d.mark <=> g.mark"), "left")
     found = both.select("d.doc_id", _lines(F.col("d.text")).alias("lines"), F.coalesce("g.gone", F.array().cast("array<int>")).alias("gone"))
@@ -211,7 +245,6 @@ class LineDedup:
     def delete(self, docs: DataFrame, text: str = "text") -> LineDedup:
         return self._after(docs, -1, text)
 
-    def apply(self, docs: DataFrame, id: str = "doc_id", text: str = "text", keys: DataFrame | None = None) -> DataFrame:
-        """docs without frequent lines. keys: their distinct (h1, h2), where the caller has them."""
-        asked = line_counts(docs, text) if keys is None else keys
-        return drop_lines(docs, frequent_keys(asked, self.counts, self.filters, self.min_docs, self.shards), id, text)
+    def apply(self, docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+        """docs without frequent lines."""
+        return drop_lines(docs, self.counts, self.filters, self.min_docs, self.shards, id, text)

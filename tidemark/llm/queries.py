@@ -56,7 +56,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     state = line_dedup.LineDedup.build(docs, min_docs=10)
-    kept = state.apply(docs, keys=state.counts)
+    kept = state.apply(docs)
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.encode("kept", "UTF-8"), 256).alias("kept_sha256"))
 
 

@@ -3,6 +3,7 @@ import json
 import random
 import shutil
 import time
+from collections import Counter, defaultdict
 from datetime import datetime as dt
 
 import pytest
@@ -387,3 +388,31 @@ def test_sets_of_keys(spark):
     for wrong in ([], [frames[0]] * 63):
         with pytest.raises(ValueError):
             links.membership(wrong, "k")
+
+
+def test_snapshots_are_compared_by_buckets(spark):
+    rng = random.Random(4)
+    schema = "a string, b string, body string, change string"
+    before = [(str(i % 50), str(i), f"body {i}", "x") for i in range(2000)] + [(None, "n", "one", "x"), ("n", None, "two", "x"), (None, None, None, "x"), ("r", "r", "p", "x"), ("r", "r", "q", "x")]
+    after = [r if rng.random() > 0.01 else (*r[:2], "other", "x") for r in before if r[1] not in ("7", "8")]
+    after = [(x, y, "two" if (x, y) == (None, "n") else "one" if (x, y) == ("n", None) else body, z) for x, y, body, z in after]  # contents that change places
+    after += [("new", "new", None, "x"), ("r", "r", "q", "x")]
+    rng.shuffle(after)
+
+    def plain(old, new):
+        held = [defaultdict(Counter), defaultdict(Counter)]
+        for side, data in zip(held, (old, new), strict=True):
+            for x, y, body, _ in data:
+                side[x, y][body] += 1
+        for key in {*held[0], *held[1]}:
+            if held[0][key] != held[1][key]:
+                yield (*key, "changed" if held[0][key] and held[1][key] else "new" if held[1][key] else "deleted")
+
+    make = lambda data: spark.createDataFrame(data, schema)
+    got = lambda old, new: sorted(map(tuple, links.snapshot_diff(make(old), make(new), ["a", "b"], "body").collect()), key=repr)
+    for old, new in ((before, after), (after, before), (before, before), ([], after), (before, []), ([], [])):
+        assert got(old, new) == sorted(plain(old, new), key=repr)
+    sides = links._both_sides(make(before), make(after), ["a", "b"], "body")
+    assert links.changed_buckets(sides, ["a", "b"]).count() <= len(got(before, after)) < 50
+    same = links._both_sides(make(before), make(before[::-1]).repartition(7), ["a", "b"], "body")
+    assert links.changed_buckets(same, ["a", "b"]).count() == 0

@@ -164,25 +164,24 @@ def enrich_index(index: DataFrame, ref: DataFrame, key: str, cols: list[str]) ->
 
 
 #: Buckets that rows of two snapshots are dealt into; the list of those that differ is no longer than this.
-SNAPSHOT_BUCKETS = 1 << 16
+SNAPSHOT_BUCKETS = 4096
 
 
-def _both_sides(before: DataFrame, after: DataFrame, keys: list[str], content: str) -> DataFrame:
-    """(keys, __digest, __side, __bucket): the rows of before with -1, those of after with 1; null contents equal one another."""
-    digest = F.coalesce(F.sha2(F.col(content).cast("string"), 256), F.lit(""))
-    marked = [df.select(*keys, digest.alias("__digest"), F.lit(n).alias("__side")) for df, n in ((before, -1), (after, 1))]
-    return marked[0].unionByName(marked[1]).withColumn("__bucket", F.pmod(F.xxhash64(*_told_apart(keys)), F.lit(SNAPSHOT_BUCKETS)))
+def _told_apart(columns: list[str]) -> list[Column]:
+    """Columns for a hash that passes over nulls: each with whether it is null."""
+    return [c for k in columns for c in (F.col(k).isNull(), F.col(k))]
 
 
-def _told_apart(keys: list[str]) -> list[Column]:
-    """Key columns for a hash that passes over nulls: each with whether it is null."""
-    return [c for k in keys for c in (F.col(k).isNull(), F.col(k))]
+def _both_sides(before: DataFrame, after: DataFrame, keys: list[str], content: str) -> DataFrame:
+    """(keys, __content, __side, __bucket): the rows of before with -1, those of after with 1."""
+    marked = [df.select(*keys, F.col(content).cast("string").alias("__content"), F.lit(n).alias("__side")) for df, n in ((before, -1), (after, 1))]
+    return marked[0].unionByName(marked[1]).withColumn("__bucket", F.pmod(F.xxhash64(*_told_apart(keys)), F.lit(SNAPSHOT_BUCKETS)))
 
 
 def changed_buckets(sides: DataFrame, keys: list[str]) -> DataFrame:
     """(__bucket): buckets whose rows differ between the sides. Two 64-bit hashes of each row are summed by halves, one side
     against the other, whatever the order; equal buckets come to zero. The sums are combined before their shuffle."""
-    hashes = [F.xxhash64(F.lit(seed), *_told_apart(keys), F.col("__digest")) for seed in (1, 2)]
+    hashes = [F.xxhash64(F.lit(seed), *_told_apart([*keys, "__content"])) for seed in (1, 2)]
     halves = [half for h in hashes for half in (h.bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned(h, 32))]
     sums = [F.sum(half * F.col("__side")).alias(f"__sum{i}") for i, half in enumerate(halves)]
     apart = reduce(Column.__or__, [F.col(f"__sum{i}") != 0 for i in range(len(halves))])
@@ -191,11 +190,13 @@ def changed_buckets(sides: DataFrame, keys: list[str]) -> DataFrame:
 
 def snapshot_diff(before: DataFrame, after: DataFrame, keys: list[str], content: str) -> DataFrame:
     """(keys, change): keys that are new, changed or deleted between two snapshots, by a digest of content. Null keys equal one
-    another; a key with several rows is unchanged where both snapshots hold the same contents for it equally often.
+    another, and so do null contents; a key with several rows is unchanged where both snapshots hold the same contents for
+    it equally often.
 
     Only rows of buckets that differ are shuffled and compared, so two large snapshots with few changes cost two scans."""
     sides = _both_sides(before, after, keys, content)
     rows = sides.join(F.broadcast(changed_buckets(sides, keys)), "__bucket", "left_semi")  # SNAPSHOT_BUCKETS rows at most
+    rows = rows.withColumn("__digest", F.unhex(F.sha2("__content", 256)))
     held = rows.groupBy(*keys, "__digest").agg(F.count_if(F.col("__side") < 0).alias("__b"), F.count_if(F.col("__side") > 0).alias("__a"))
     found = held.groupBy(*keys).agg(F.sum("__b").alias("__b"), F.sum("__a").alias("__a"), F.bool_or(F.col("__b") != F.col("__a")).alias("__apart"))
     change = F.when(F.col("__b") == 0, "new").when(F.col("__a") == 0, "deleted").when(F.col("__apart"), "changed")

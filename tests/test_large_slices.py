@@ -5,7 +5,7 @@ import random
 
 import pytest
 
-from tidemark.operators import windows
+from tidemark.operators import dataset, windows
 
 T0 = d.datetime(2026, 1, 1)
 
@@ -98,3 +98,28 @@ def test_authors_of_proposals_make_no_pairs(spark, no_pairs):
     issues, pulls = spark.createDataFrame([], "issue_key string"), spark.createDataFrame([], "pr_number int, merged boolean")
     kept, _ = windows.validate_windows(spark.createDataFrame(row, kinds), silver["messages"], issues, pulls, bounds)
     assert kept.first().participants == sorted({x for _, ts, x, _ in said if x is not None and ts is not None and ts <= at(120)})
+
+
+@pytest.mark.parametrize("block", [windows.BLOCK, 8])
+def test_texts_of_streams_are_whole(spark, no_pairs, monkeypatch, block):
+    """A chat of 600 lines or more in one window is one text, whatever blocks it is cut into."""
+    monkeypatch.setattr(windows, "BLOCK", block)
+    said, pulls, silver = streams(spark, 900)
+    rows = [*ROWS, ("all", at(-1), at(400))]
+    want = {}
+    for w, a, b in rows:
+        for ts, name, k, t in inside(said, pulls, a, b):
+            if name == "messages":
+                who = next(x for key, _, x, _ in said if key == k) or ""
+                want[w] = want.get(w, []) + [f"[{ts:%Y-%m-%dT%H:%M:%SZ}] {who}: {t}"]
+    got = windows.render_streams(spans(spark, rows), silver).where("section = 'chat'").collect()
+    assert {r.window_id: r.text.split("\n") for r in got} == want and len(got) == len(want) and len(want["all"]) == 900
+
+
+@pytest.mark.parametrize("limit", [1, 37, 100_000])
+def test_examples_of_streams_read_what_they_show(spark, no_pairs, limit):
+    said, pulls, silver = streams(spark)
+    w = spans(spark, ROWS).selectExpr("*", "'t' AS title", "'s' AS summary")
+    got = {r.window_id: r.messages[1].content for r in dataset.examples_from_streams(w, silver, "sys", limit).collect()}
+    texts = {x: [t[:limit] for *_, t in inside(said, pulls, a, b)] for x, a, b in ROWS}
+    assert got == {x: "\n".join(t)[:limit] for x, t in texts.items() if t}

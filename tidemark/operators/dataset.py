@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import scalars as S
+from tidemark.operators import windows as slices
 from tidemark.operators.scan import Scan, by_place
 
 _CALLS = "array<struct<id: string, name: string, arguments: string>>"
@@ -105,16 +106,33 @@ def build_conversations(runs: DataFrame, steps: DataFrame, windows: DataFrame, t
     return done.where(sound & (F.size("messages") >= 3)).select("window_id", "run_id", "messages", "n_tool_calls", "dropped_tool_names")
 
 
+def _said() -> Column:
+    return F.coalesce(F.get_json_object("row", "$.content"), F.get_json_object("row", "$.message"), F.get_json_object("row", "$.title"))
+
+
+def _examples(windows: DataFrame, body: DataFrame, system: str) -> DataFrame:
+    answer = F.coalesce(S.present(F.col("summary")), S.present(F.col("title")))
+    return windows.join(body, "window_id").where(answer.isNotNull()).select("window_id", F.array(_message("system", F.lit(system)), _message("user", F.col("body")), _message("assistant", answer)).alias("messages"))
+
+
 def examples_from_slices(windows: DataFrame, chunks: DataFrame, system: str, limit: int = SLICE_LIMIT) -> DataFrame:
     """(window_id, messages): system, the text of the window's slice as the user, its summary as the assistant."""
-    text = F.coalesce(F.get_json_object("row", "$.content"), F.get_json_object("row", "$.message"), F.get_json_object("row", "$.title"))
-    said = chunks.select("window_id", "ts", "source_table", "ordinal", F.substring(text, 1, limit).alias("t")).where("t IS NOT NULL")
+    said = chunks.select("window_id", "ts", "source_table", "ordinal", F.substring(_said(), 1, limit).alias("t")).where("t IS NOT NULL")
     upto = Window.partitionBy("window_id").orderBy("ts", "source_table", "ordinal").rowsBetween(Window.unboundedPreceding, -1)
     first = said.withColumn("before", F.coalesce(F.sum(F.length("t") + 1).over(upto), F.lit(0))).where(F.col("before") < limit)  # the rest would be cut off
     lines = first.groupBy("window_id").agg(F.array_sort(F.collect_list(F.struct("ts", "source_table", "ordinal", "t"))).alias("x"))
     body = lines.select("window_id", F.substring(F.array_join(F.transform("x", lambda x: x["t"]), "\n"), 1, limit).alias("body"))
-    answer = F.coalesce(S.present(F.col("summary")), S.present(F.col("title")))
-    return windows.join(body, "window_id").where(answer.isNotNull()).select("window_id", F.array(_message("system", F.lit(system)), _message("user", F.col("body")), _message("assistant", answer)).alias("messages"))
+    return _examples(windows, body, system)
+
+
+def examples_from_streams(windows: DataFrame, silver: dict[str, DataFrame], system: str, limit: int = SLICE_LIMIT) -> DataFrame:
+    """The examples of examples_from_slices, of the streams themselves: a window reads no more than the text that it shows, so
+    the work is in proportion to records, windows and what they show, not to what they hold."""
+    if not slices._repeated(windows).isEmpty():
+        return examples_from_slices(windows, slices.slice_chunks(windows, silver), system, limit)
+    lines = slices._long(silver, None, None).select(F.lit("all").alias("section"), "ts", "source_table", "source_key", F.substring(_said(), 1, limit).alias("t"))
+    body = slices.window_texts(windows, lines, ["all"], ["source_table", "source_key"], limit)
+    return _examples(windows, body.select("window_id", F.col("text").alias("body")), system)
 
 
 def split_dataset(df: DataFrame, id: str, seed: str = "0", val_fraction: float = 0.15, held: DataFrame | None = None) -> DataFrame:

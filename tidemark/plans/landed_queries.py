@@ -20,26 +20,31 @@ from tidemark.streaming import stream
 query = Registry()
 
 
-def _landed(spark, docs: DataFrame) -> str:
-    """A folder with a JSON file for each `shard`, which holds that shard's `doc`s as an array."""
+def _landed(spark, rows: DataFrame, shard: F.Column, order: str, *docs: F.Column) -> str:
+    """A folder with a JSON file for each shard, which holds its rows' docs as an array. Rows are dealt out as they are and
+    become text where it is written."""
     path = f"{_shared(spark)}/landed"
-    whole = docs.select("shard", F.to_json("doc").alias("doc")).groupBy("shard").agg(F.concat(F.lit("["), F.array_join(F.array_sort(F.collect_list("doc")), ","), F.lit("]")).alias("value"))
-    whole.write.partitionBy("shard").text(path)
+    line = F.to_json(docs[0]) if len(docs) == 1 else F.explode(F.array(*map(F.to_json, docs)))
+    sinks.write_texts(rows.withColumn("shard", shard), path, ["shard"], [order], line, ("[", ",\n", "]\n"))
     return path
 
 
 def _archives(spark, sf_dir) -> str:
     """A channel a user, with its events as messages; every third exporter writes other names."""
-    other = F.col("event_id") % 3 == 0
-    person = F.to_json(F.struct(F.col("user_id").cast("string").alias("id"), F.col("event_type").alias("name")))
-    epoch = F.unix_seconds("ts").cast("string")
-    message = F.struct(
-        F.when(~other, F.col("event_id").cast("string")).alias("id"), F.when(other, F.col("event_id").cast("string")).alias("message_id"), F.when(~other, epoch).alias("timestamp"),
-        F.when(other, epoch).alias("ts"), F.col("props").alias("content"), F.when(~other, F.from_json(person, "id string, name string")).alias("author"),
-    )
-    per = events(spark, sf_dir).groupBy("user_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("event_id", message.alias("m")))), lambda x: x["m"]).alias("messages"))
+
+    def message(e):
+        other, epoch, id = e["event_id"] % 3 == 0, F.unix_seconds(e["ts"]).cast("string"), e["event_id"].cast("string")
+        author = F.struct(e["user_id"].cast("string").alias("id"), e["event_type"].alias("name"))
+        return F.struct(
+            F.when(~other, id).alias("id"), F.when(other, id).alias("message_id"), F.when(~other, epoch).alias("timestamp"),
+            F.when(other, epoch).alias("ts"), e["props"].alias("content"), F.when(~other, author).alias("author"),
+        )
+
+    own = F.struct("event_id", "ts", "user_id", "event_type", "props")
+    per = events(spark, sf_dir).groupBy("user_id").agg(F.array_sort(F.collect_list(own)).alias("said"))
     channel = F.struct(F.col("user_id").cast("string").alias("id"), F.lit("c").alias("name"))
-    return _landed(spark, per.select(F.floor(F.col("user_id") / 50).alias("shard"), F.struct(channel.alias("channel"), F.struct(F.lit("g").alias("id")).alias("guild"), "messages").alias("doc")))
+    doc = F.struct(channel.alias("channel"), F.struct(F.lit("g").alias("id")).alias("guild"), F.transform("said", message).alias("messages"))
+    return _landed(spark, per, F.floor(F.col("user_id") / 50), "user_id", doc)
 
 
 @query("""SELECT CAST(event_id AS VARCHAR) AS message_id, CAST(user_id AS VARCHAR) AS channel_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS INTEGER) AS ordinal,
@@ -56,18 +61,23 @@ def archive_scanned(spark, sf_dir):
 
 def _issue_files(spark, sf_dir) -> str:
     """An issue an order, saved twice with another update, and a history a line."""
-    item = F.array(F.struct(F.lit("status").alias("field"), F.lit("a").alias("fromString"), F.col("l_returnflag").alias("toString")))
-    history = F.struct(F.col("l_linenumber").cast("string").alias("id"), F.struct(F.lit("ann").alias("displayName")).alias("author"), F.lit("2026-01-01T00:00:00Z").alias("created"), item.alias("items"))
-    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", history.alias("h")))).alias("x"))
-    both = table(spark, sf_dir, "orders").join(lines, F.col("o_orderkey") == F.col("l_orderkey")).withColumn("save", F.explode(F.array(F.lit(1), F.lit(2))))
-    fields = F.struct(
-        F.col("o_orderpriority").alias("summary"), F.struct(F.col("o_orderstatus").alias("name")).alias("status"), F.lit("2026-01-01T00:00:00Z").alias("created"),
-        F.concat(F.lit("2026-01-0"), F.col("save").cast("string"), F.lit("T00:00:00Z")).alias("updated"),
-    )
-    changelog = F.when(F.col("save") == 1, F.struct(F.transform("x", lambda x: x["h"]).alias("histories")))
-    key = F.concat(F.lit("ORD-"), F.col("o_orderkey").cast("string"))
-    doc = F.struct(F.col("o_orderkey").cast("string").alias("id"), key.alias("key"), fields.alias("fields"), changelog.alias("changelog"))
-    return _landed(spark, both.select(F.floor(F.col("o_orderkey") / 500).alias("shard"), doc.alias("doc")))
+
+    def history(line):
+        item = F.array(F.struct(F.lit("status").alias("field"), F.lit("a").alias("fromString"), line["l_returnflag"].alias("toString")))
+        return F.struct(line["l_linenumber"].cast("string").alias("id"), F.struct(F.lit("ann").alias("displayName")).alias("author"), F.lit("2026-01-01T00:00:00Z").alias("created"), item.alias("items"))
+
+    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_returnflag"))).alias("x"))
+    both = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_orderstatus").join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
+
+    def doc(save):
+        fields = F.struct(
+            F.col("o_orderpriority").alias("summary"), F.struct(F.col("o_orderstatus").alias("name")).alias("status"), F.lit("2026-01-01T00:00:00Z").alias("created"),
+            F.lit(f"2026-01-0{save}T00:00:00Z").alias("updated"),
+        )
+        changelog = F.when(F.lit(save == 1), F.struct(F.transform("x", history).alias("histories")))
+        return F.struct(F.col("o_orderkey").cast("string").alias("id"), F.concat(F.lit("ORD-"), F.col("o_orderkey").cast("string")).alias("key"), fields.alias("fields"), changelog.alias("changelog"))
+
+    return _landed(spark, both, F.floor(F.col("o_orderkey") / 500), "o_orderkey", doc(1), doc(2))
 
 
 @query("""SELECT 'ORD-' || o_orderkey AS issue_key, o_orderstatus AS status, o_orderpriority AS summary, d AS day FROM orders, (SELECT unnest([1, 2]) AS d) WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem)""")
@@ -91,7 +101,7 @@ def commits_read(spark, sf_dir):
         F.sha1(F.col("p_partkey").cast("string")).alias("sha"), F.struct(author.alias("author"), F.col("p_name").alias("message")).alias("commit"), F.array(parent).alias("parents"),
         F.struct(F.col("p_size").alias("additions")).alias("stats"),
     )
-    found = readers.read_commits(spark, _landed(spark, p.select(F.floor(F.col("p_partkey") / 100).alias("shard"), doc.alias("doc"))))
+    found = readers.read_commits(spark, _landed(spark, p, F.floor(F.col("p_partkey") / 100), "p_partkey", doc))
     return found.select("sha", "author_name", "authored_raw", "message", "parent_shas", "stats.additions")
 
 
@@ -101,7 +111,7 @@ def pulls_read(spark, sf_dir):
         F.col("o_orderkey").cast("string").alias("number"), F.col("o_orderpriority").alias("title"), (F.col("o_orderstatus") == "F").alias("merged"),
         F.struct(F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("login")).alias("user"),
     )
-    found = readers.read_pulls(spark, _landed(spark, table(spark, sf_dir, "orders").select(F.floor(F.col("o_orderkey") / 500).alias("shard"), doc.alias("doc"))))
+    found = readers.read_pulls(spark, _landed(spark, table(spark, sf_dir, "orders"), F.floor(F.col("o_orderkey") / 500), "o_orderkey", doc))
     return found.select("pr_number", "title", "merged", F.col("user.login").alias("author"))
 
 
@@ -109,7 +119,7 @@ def pulls_read(spark, sf_dir):
 def pr_events_read(spark, sf_dir):
     e = events(spark, sf_dir)
     doc = F.struct(F.lit("pull").alias("type"), F.col("event_type").alias("action"), F.col("event_id").alias("number"), F.unix_seconds("ts").cast("string").alias("created_at"))
-    return readers.read_pr_events(spark, _landed(spark, e.select(F.floor(F.col("event_id") / 500).alias("shard"), doc.alias("doc")))).select("event_key", "action")
+    return readers.read_pr_events(spark, _landed(spark, e, F.floor(F.col("event_id") / 500), "event_id", doc)).select("event_key", "action")
 
 
 def _customer_files(spark, sf_dir) -> str:

@@ -38,9 +38,15 @@ PULLS = (
 EVENTS = "type string, action string, number int, created_at string, actor string, merge_commit_sha string"
 
 
+#: What no JSON text has in it, in any encoding: a file is one record.
+_NEVER = "\0" * 8
+
+
 def _json(spark: SparkSession, path: str, schema: str, recursive: bool = True) -> DataFrame:
-    """One row for each document, or for each element of a file that holds an array."""
-    reader = spark.read.schema(schema).option("multiLine", True).option("recursiveFileLookup", recursive)
+    """One row for each document, or for each element of a file that holds an array.
+
+    Read as one record of bytes, not by multiLine: that opens the file again for each value that stays JSON text."""
+    reader = spark.read.schema(schema).option("lineSep", _NEVER).option("recursiveFileLookup", recursive)
     return reader.json(path).select("*", F.col("_metadata.file_path").alias("source_file"))
 
 

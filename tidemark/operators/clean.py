@@ -97,7 +97,7 @@ def clean_issues(df: DataFrame, mode: str = "freshest", key_pattern: str = S.TIC
         sound = sound.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
     else:
         sound = dedupe_first(sound.withColumn("__at", F.col("__updated.ts")), ["key", "__at"], [order]).drop("__at")
-    clean, bad = _split(sound.unionByName(judged.where("__reason IS NOT NULL")), "issues", "key", [])
+    clean, bad = sound.drop("__reason"), _split(judged, "issues", "key", [])[1]
     return clean.select(
         F.col("key").alias("issue_key"), S.clean_text(F.col("fields.summary")).alias("summary"), S.clean_text(F.col("fields.description")).alias("description"),
         F.col("fields.status.name").alias("status"), S.or_default(F.col("fields.reporter.displayName"), "unknown").alias("reporter"),

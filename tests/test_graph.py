@@ -118,3 +118,12 @@ def test_many_ancestors_are_left_to_the_index(spark, monkeypatch):
     monkeypatch.undo()
     monkeypatch.setattr(graph, "LAYERS", 3)
     assert graph.ancestors(e, spark.createDataFrame([(7,)], "tip int")).count() == 8
+
+
+def test_what_is_known_of_a_commit_is_its_edges(spark):
+    """A code an edge, and one for a root: two thirds of what codes for the commits themselves would add."""
+    e = spark.createDataFrame([(i, p) for i in range(2, 100) for p in {i // 2, i // 3} - {0}], "child int, parent int")
+    links, tips, _ = graph._small_numbers(e, spark.createDataFrame([(99,), (200,)], "node int"))
+    got = {r.id: sorted((c >> 32, c & graph.ITSELF) for c in r.known) for r in graph._closed(links, tips, True).collect()}
+    parents = {i: sorted({i // 2, i // 3} - {0}) for i in range(2, 100)}
+    assert got[99] == sorted([(x, p) for x in reached(parents, 99) for p in parents.get(x, [graph.ITSELF])]) and got[200] == [(200, graph.ITSELF)]

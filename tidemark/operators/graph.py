@@ -26,7 +26,7 @@ from tidemark.sources.sinks import forget, settled
 STRETCHES, MOST = [16 * 64**i for i in range(5)], 64
 #: What a history may have at most, for ancestors to be kept as arrays: layers, and ancestors (with their edges) of a commit.
 LAYERS, ANCESTORS = 32, 4096
-#: The parent of a code that stands for a commit itself.
+#: The parent of a code that stands for a commit without parents.
 ITSELF = (1 << 32) - 1
 
 
@@ -234,7 +234,7 @@ def _small_numbers(edges: DataFrame, tips: DataFrame) -> tuple[DataFrame, DataFr
 
 def _closed(edges: DataFrame, tips: DataFrame, with_edges: bool) -> DataFrame | None:
     """(id, known): the ancestors of each of tips (node) and of all that they reach, themselves included; with_edges: their edges
-    as codes, child << 32 | parent, and a code with ITSELF for each. None if the history has more layers or ancestors than
+    as codes, child << 32 | parent, and a code with ITSELF for each that has no parents. None if the history has more layers or ancestors than
     that is meant for. A commit's layer is its longest way from a tip; the deepest are done first."""
     edges = settled(edges, "links")
     layer, more = _counted(tips.where("node IS NOT NULL").select(F.col("node").alias("id")).distinct(), "layer", F.lit(True))
@@ -254,7 +254,7 @@ def _closed(edges: DataFrame, tips: DataFrame, with_edges: bool) -> DataFrame |
     for depth, far in links.where("below IS NOT NULL").select("depth", "below").distinct().collect():
         asked.setdefault(depth, []).append(far)
     code = lambda parent: F.shiftleft(F.col("id"), 32).bitwiseOR(parent)
-    own = F.array(code(F.lit(ITSELF)), code(F.col("parent"))) if with_edges else F.array("id")
+    own = F.array(code(F.col("parent"))) if with_edges else F.array("id")
     roots = F.array(code(F.lit(ITSELF))) if with_edges else F.array("id")
     done: dict[int, DataFrame] = {}
     for depth in reversed(range(len(layers))):

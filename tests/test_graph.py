@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.operators import graph
 
@@ -127,3 +128,20 @@ def test_what_is_known_of_a_commit_is_its_edges(spark):
     got = {r.id: sorted((c >> 32, c & graph.ITSELF) for c in r.known) for r in graph._closed(links, tips, True).collect()}
     parents = {i: sorted({i // 2, i // 3} - {0}) for i in range(2, 100)}
     assert got[99] == sorted([(x, p) for x in reached(parents, 99) for p in parents.get(x, [graph.ITSELF])]) and got[200] == [(200, graph.ITSELF)]
+
+
+def test_named_edges_are_made_once(spark):
+    """What makes edges may be dear: cleaning of all commits."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def told(x):
+        seen.add(1)
+        return x
+
+    rows = [(f"c{i}", f"c{i // p}") for i in range(2, 50) for p in (2, 3)]
+    e = spark.createDataFrame(rows, "child string, parent string").withColumn("child", F.udf(told, "string").asNondeterministic()("child"))
+    links, tips, names = graph._small_numbers(e, spark.createDataFrame([("c7",), (None,), ("zz",)], "node string"))
+    name = {r.id: r.node for r in names.collect()}
+    assert sorted(name) == list(range(len({x for r in rows for x in r}) + 1))
+    assert {(name[r.child], name[r.parent]) for r in links.collect()} == set(rows) and {name[r.node] for r in tips.collect()} == {"c7", "zz"}
+    assert seen.value == len(rows)

@@ -224,7 +224,9 @@ def _small_numbers(edges: DataFrame, tips: DataFrame) -> tuple[DataFrame, DataFr
         if least is None or (least >= 0 and most < (1 << 31)):
             number = lambda df: df.select([F.col(c).cast("bigint").alias(c) for c in df.columns])
             return number(edges), number(tips.select("node")), None
-    dealt = nodes.where("node IS NOT NULL").distinct().withColumn("b", F.pmod(F.xxhash64("node"), F.lit(1024)))
+    edges = settled(edges, "edges")  # read more than once, and what makes them may be dear
+    nodes = edges.select(F.explode(F.array("child", "parent")).alias("node")).unionByName(tips.select("node"))
+    dealt = settled(nodes.where("node IS NOT NULL").distinct().withColumn("b", F.pmod(F.xxhash64("node"), F.lit(1024))), "nodes")
     before = dealt.groupBy("b").agg(F.count(F.lit(1)).alias("n")).select("b", F.coalesce(F.sum("n").over(Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
     rank = F.row_number().over(Window.partitionBy("b").orderBy("node"))
     names = settled(dealt.withColumn("rank", rank).join(before, "b").select((F.col("before") + F.col("rank") - 1).cast("bigint").alias("id"), "node"), "names")

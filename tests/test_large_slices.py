@@ -4,8 +4,9 @@ import datetime as d
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
-from tidemark.operators import dataset, windows
+from tidemark.operators import dataset, interval, windows
 
 T0 = d.datetime(2026, 1, 1)
 
@@ -123,3 +124,12 @@ def test_examples_of_streams_read_what_they_show(spark, no_pairs, limit):
     got = {r.window_id: r.messages[1].content for r in dataset.examples_from_streams(w, silver, "sys", limit).collect()}
     texts = {x: [t[:limit] for *_, t in inside(said, pulls, a, b)] for x, a, b in ROWS}
     assert got == {x: "\n".join(t)[:limit] for x, t in texts.items() if t}
+
+
+def test_pairs_are_dealt_over_all_tasks(spark):
+    """Few bytes make many pairs: not as many tasks as records have bytes or files."""
+    records = spark.range(0, 2000, numPartitions=1).select("id", F.timestamp_seconds(F.col("id") * 60).alias("ts"))
+    w = records.where("id % 10 = 0").select(F.col("id").alias("window_id"), F.col("ts").alias("start_ts"), (F.col("ts") + F.expr("INTERVAL 20 MINUTES")).alias("end_ts"))
+    got = interval.slice_by_windows(w, records, "ts", bucket_seconds=600).select("window_id", "id")
+    assert got.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions")) > 1
+    assert sorted(map(tuple, got.collect())) == [(a, b) for a in range(0, 2000, 10) for b in range(a, min(a + 21, 2000))]

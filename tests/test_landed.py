@@ -5,6 +5,7 @@ import json
 from pyspark.sql import functions as F
 
 from tidemark.operators import clean
+from tidemark.plans import landed_queries as landed
 from tidemark.sources import readers, sinks
 
 
@@ -53,3 +54,27 @@ def test_arrays_of_docs_need_no_gathering(spark, tmp_path):
     sinks.write_texts(df, f"file://{tmp_path}/in", ["shard"], ["id"], F.to_json(F.struct("id")), ("[", ",", "]"), "all.json")
     got = {p.parent.name: [x["id"] for x in json.loads(p.read_text())] for p in (tmp_path / "in").rglob("all.json")}
     assert got == {f"shard={k}": list(range(k, 40_000, 3)) for k in range(3)}
+
+
+def test_shares_of_an_export_have_a_bound(spark, monkeypatch):
+    """A task lands as many records however many there are, not a part of them that the session's settings give."""
+    monkeypatch.setattr(landed, "RECORDS", 100)
+    seen = {}
+
+    def held(rows, path, by, order, line, around, tasks=None):
+        seen.update(rows=rows.select("x", F.spark_partition_id().alias("share")), tasks=tasks)
+
+    monkeypatch.setattr(sinks, "write_texts", held)
+    sf = "/root/testdata/sf0.001"
+    landed._issue_files(spark, sf)
+    lines = spark.read.parquet(f"{sf}/lineitem.parquet").count()
+    most = seen["rows"].groupBy("share").agg(F.sum(F.size("x")).alias("n")).agg(F.max("n"), F.sum("n")).first()
+    assert seen["tasks"] == -(-lines // 100) > 4
+    assert most[1] == lines and most[0] <= 3 * 100
+
+
+def test_files_are_dealt_over_the_tasks_asked_for(spark, tmp_path):
+    rows = spark.range(400).select((F.col("id") % 40).alias("shard"), "id")
+    sinks.write_texts(rows, tmp_path.as_uri(), ["shard"], ["id"], F.col("id").cast("string"), tasks=20)
+    found = spark.read.text(str(tmp_path), recursiveFileLookup=True)
+    assert sorted(int(r[0]) for r in found.collect()) == list(range(400)) and len(found.inputFiles()) == 40

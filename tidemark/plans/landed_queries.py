@@ -20,12 +20,21 @@ from tidemark.streaming import stream
 query = Registry()
 
 
-def _landed(spark, rows: DataFrame, shard: F.Column, order: str, *docs: F.Column) -> str:
-    """A folder with a JSON file for each shard, which holds its rows' docs as an array. Rows are dealt out as they are and
-    become text where it is written."""
+#: Records of a table that make up a task's share of an export, about. Shares stay that large however many records there are.
+RECORDS = 250_000
+
+
+def _tasks(records: DataFrame) -> int:
+    """Over how many tasks an export of these records is dealt: all cores, or more where shares would be too large."""
+    return max(records.sparkSession.sparkContext.defaultParallelism, -(-records.count() // RECORDS))
+
+
+def _landed(spark, rows: DataFrame, tasks: int, shard: F.Column, order: str, *docs: F.Column) -> str:
+    """A folder with a JSON file for each shard, which holds its rows' docs as an array. Rows are dealt out as they are, over so
+    many tasks, and become text where it is written."""
     path = f"{_shared(spark)}/landed"
     line = F.to_json(docs[0]) if len(docs) == 1 else F.explode(F.array(*map(F.to_json, docs)))
-    sinks.write_texts(rows.withColumn("shard", shard), path, ["shard"], [order], line, ("[", ",\n", "]\n"))
+    sinks.write_texts(rows.withColumn("shard", shard), path, ["shard"], [order], line, ("[", ",\n", "]\n"), tasks=tasks)
     return path
 
 
@@ -41,10 +50,12 @@ def _archives(spark, sf_dir) -> str:
         )
 
     own = F.struct("event_id", "ts", "user_id", "event_type", "props")
-    per = events(spark, sf_dir).groupBy("user_id").agg(F.array_sort(F.collect_list(own)).alias("said"))
+    e = events(spark, sf_dir)
+    tasks = _tasks(e)
+    per = e.repartition(tasks, "user_id").groupBy("user_id").agg(F.array_sort(F.collect_list(own)).alias("said"))
     channel = F.struct(F.col("user_id").cast("string").alias("id"), F.lit("c").alias("name"))
     doc = F.struct(channel.alias("channel"), F.struct(F.lit("g").alias("id")).alias("guild"), F.transform("said", message).alias("messages"))
-    return _landed(spark, per, F.floor(F.col("user_id") / 50), "user_id", doc)
+    return _landed(spark, per, tasks, F.floor(F.col("user_id") / 50), "user_id", doc)
 
 
 @query("""SELECT CAST(event_id AS VARCHAR) AS message_id, CAST(user_id AS VARCHAR) AS channel_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS INTEGER) AS ordinal,
@@ -66,8 +77,11 @@ def _issue_files(spark, sf_dir) -> str:
         item = F.array(F.struct(F.lit("status").alias("field"), F.lit("a").alias("fromString"), line["l_returnflag"].alias("toString")))
         return F.struct(line["l_linenumber"].cast("string").alias("id"), F.struct(F.lit("ann").alias("displayName")).alias("author"), F.lit("2026-01-01T00:00:00Z").alias("created"), item.alias("items"))
 
-    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_returnflag"))).alias("x"))
-    both = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_orderstatus").join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag")
+    tasks = _tasks(lines)
+    per = lines.repartition(tasks, "l_orderkey").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_returnflag"))).alias("x"))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_orderstatus").repartition(tasks, "o_orderkey")
+    both = orders.join(per, F.col("o_orderkey") == F.col("l_orderkey"))
 
     def doc(save):
         fields = F.struct(
@@ -77,7 +91,7 @@ def _issue_files(spark, sf_dir) -> str:
         changelog = F.when(F.lit(save == 1), F.struct(F.transform("x", history).alias("histories")))
         return F.struct(F.col("o_orderkey").cast("string").alias("id"), F.concat(F.lit("ORD-"), F.col("o_orderkey").cast("string")).alias("key"), fields.alias("fields"), changelog.alias("changelog"))
 
-    return _landed(spark, both, F.floor(F.col("o_orderkey") / 500), "o_orderkey", doc(1), doc(2))
+    return _landed(spark, both, tasks, F.floor(F.col("o_orderkey") / 500), "o_orderkey", doc(1), doc(2))
 
 
 @query("""SELECT 'ORD-' || o_orderkey AS issue_key, o_orderstatus AS status, o_orderpriority AS summary, d AS day FROM orders, (SELECT unnest([1, 2]) AS d) WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem)""")
@@ -101,7 +115,7 @@ def commits_read(spark, sf_dir):
         F.sha1(F.col("p_partkey").cast("string")).alias("sha"), F.struct(author.alias("author"), F.col("p_name").alias("message")).alias("commit"), F.array(parent).alias("parents"),
         F.struct(F.col("p_size").alias("additions")).alias("stats"),
     )
-    found = readers.read_commits(spark, _landed(spark, p, F.floor(F.col("p_partkey") / 100), "p_partkey", doc))
+    found = readers.read_commits(spark, _landed(spark, p, _tasks(p), F.floor(F.col("p_partkey") / 100), "p_partkey", doc))
     return found.select("sha", "author_name", "authored_raw", "message", "parent_shas", "stats.additions")
 
 
@@ -111,7 +125,8 @@ def pulls_read(spark, sf_dir):
         F.col("o_orderkey").cast("string").alias("number"), F.col("o_orderpriority").alias("title"), (F.col("o_orderstatus") == "F").alias("merged"),
         F.struct(F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("login")).alias("user"),
     )
-    found = readers.read_pulls(spark, _landed(spark, table(spark, sf_dir, "orders"), F.floor(F.col("o_orderkey") / 500), "o_orderkey", doc))
+    o = table(spark, sf_dir, "orders")
+    found = readers.read_pulls(spark, _landed(spark, o, _tasks(o), F.floor(F.col("o_orderkey") / 500), "o_orderkey", doc))
     return found.select("pr_number", "title", "merged", F.col("user.login").alias("author"))
 
 
@@ -119,7 +134,7 @@ def pulls_read(spark, sf_dir):
 def pr_events_read(spark, sf_dir):
     e = events(spark, sf_dir)
     doc = F.struct(F.lit("pull").alias("type"), F.col("event_type").alias("action"), F.col("event_id").alias("number"), F.unix_seconds("ts").cast("string").alias("created_at"))
-    return readers.read_pr_events(spark, _landed(spark, e, F.floor(F.col("event_id") / 500), "event_id", doc)).select("event_key", "action")
+    return readers.read_pr_events(spark, _landed(spark, e, _tasks(e), F.floor(F.col("event_id") / 500), "event_id", doc)).select("event_key", "action")
 
 
 def _customer_files(spark, sf_dir) -> str:

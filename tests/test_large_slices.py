@@ -117,6 +117,22 @@ def test_texts_of_streams_are_whole(spark, no_pairs, monkeypatch, block):
     assert {r.window_id: r.text.split("\n") for r in got} == want and len(got) == len(want) and len(want["all"]) == 900
 
 
+def test_windows_of_nearly_one_length_share_blocks(spark, no_pairs, monkeypatch):
+    """Lines are shuffled once, half of them twice, not twice for each length of windows."""
+    assert windows._blocks([0, 1, 2]) == [2] * 11 and windows._blocks([2, 3]) == [3] * 11
+    assert windows._blocks([0, 1, 10]) == [1, 1, *[10] * 9] and windows._blocks([0]) == [0] * 11
+    frame, dealt = type(spark.range(0)), []
+    group = frame.groupBy
+    monkeypatch.setattr(frame, "groupBy", lambda self, *by: (dealt.append(self) if "block" in by else None, group(self, *by))[1])
+    monkeypatch.setattr(windows, "BLOCK", 256)
+    said, pulls, silver = streams(spark, 900)
+    rows = [(f"w{n}-{i}", at(i), at(i + n)) for n in (6, 12, 30) for i in range(0, 300, 7)]
+    got = {r.window_id: len(r.text.split("\n")) for r in windows.render_streams(spans(spark, rows), {"messages": silver["messages"]}).collect()}
+    want = {w: n for w, a, b in rows if (n := sum(name == "messages" for _, name, *_ in inside(said, pulls, a, b)))}
+    assert got == want and len(dealt) == 1
+    assert dealt[0].select("level").distinct().count() == 1 and 900 <= dealt[0].count() <= 1.6 * 900
+
+
 @pytest.mark.parametrize("limit", [1, 37, 100_000])
 def test_examples_of_streams_read_what_they_show(spark, no_pairs, limit):
     said, pulls, silver = streams(spark)

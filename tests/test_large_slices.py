@@ -2,11 +2,13 @@
 
 import datetime as d
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import dataset, interval, windows
+from tidemark.operators import dataset, interval, reports, windows
+from tidemark.plans import registry
 
 T0 = d.datetime(2026, 1, 1)
 
@@ -149,3 +151,32 @@ def test_pairs_are_dealt_over_all_tasks(spark):
     got = interval.slice_by_windows(w, records, "ts", bucket_seconds=600).select("window_id", "id")
     assert got.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions")) > 1
     assert sorted(map(tuple, got.collect())) == [(a, b) for a in range(0, 2000, 10) for b in range(a, min(a + 21, 2000))]
+
+
+#: Several windows with the same bounds, one of them twice under one id, beside those of ROWS.
+SHARED = [*ROWS, *[(f"s{i}", at(20), at(90)) for i in range(5)], ("s0", at(20), at(90)), ("two", at(0), at(50)), ("two", at(40), at(90))]
+
+
+def pairs_of(said, pulls, rows):
+    return [(w, name) for w, a, b in rows for _, name, *_ in inside(said, pulls, a, b)]
+
+
+def test_counts_of_windows_with_the_same_bounds(spark, no_pairs):
+    said, pulls, silver = streams(spark)
+    want = Counter(pairs_of(said, pulls, SHARED))
+    assert {(r.window_id, r.source_table): r.n for r in windows.chunk_counts(spans(spark, SHARED), silver).collect()} == want
+
+
+def test_a_summary_of_chunks_takes_counts(spark, no_pairs):
+    said, pulls, silver = streams(spark)
+    pairs = pairs_of(said, pulls, SHARED)
+    want = {name: (sum(t == name for _, t in pairs), len({w for w, t in pairs if t == name})) for name in ("messages", "pulls")}
+    got = reports.chunk_summary(windows.chunk_counts(spans(spark, SHARED), silver))
+    assert {r.source_table: (r["rows"], r.windows) for r in got.collect()} == want
+
+
+@pytest.mark.parametrize("name", ["chunk_summary"])
+def test_queries_that_count_make_no_pairs(spark, no_pairs, tmp_path, name):
+    rows = [(i, T0 + d.timedelta(minutes=3 * i), i % 7, ["click", "purchase", "error", "signup", "view"][i % 5], "{}") for i in range(200)]
+    spark.createDataFrame(rows, "event_id bigint, ts timestamp, user_id bigint, event_type string, props string").write.parquet(f"{tmp_path}/events.parquet")
+    assert registry.queries()[name](spark, str(tmp_path)).count() >= 1

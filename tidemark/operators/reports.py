@@ -22,8 +22,13 @@ def latest(df: DataFrame, keys: list[str], ts: str, tie: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.max_by(F.struct(*own), F.struct(ts, tie)).alias("x")).select(*keys, "x.*")
 
 
+def chunk_rows(chunks: DataFrame) -> Column:
+    """How many records a row stands for: chunks are those of windows.slice_chunks, or their counts by windows.chunk_counts."""
+    return F.col("n") if "n" in chunks.columns else F.lit(1).cast("bigint")
+
+
 def chunk_summary(chunks: DataFrame) -> DataFrame:
-    return chunks.groupBy("source_table").agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("window_id").alias("windows")).orderBy(F.desc("rows"), "source_table")
+    return chunks.groupBy("source_table").agg(F.sum(chunk_rows(chunks)).alias("rows"), F.count_distinct("window_id").alias("windows")).orderBy(F.desc("rows"), "source_table")
 
 
 def overlaps(chunks: DataFrame, keys: list[str]) -> DataFrame:

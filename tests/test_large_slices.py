@@ -175,7 +175,16 @@ def test_a_summary_of_chunks_takes_counts(spark, no_pairs):
     assert {r.source_table: (r["rows"], r.windows) for r in got.collect()} == want
 
 
-@pytest.mark.parametrize("name", ["chunk_summary"])
+def test_coverage_takes_counts(spark, no_pairs):
+    said, pulls, silver = streams(spark)
+    n = Counter(pairs_of(said, pulls, ROWS))
+    per, total = reports.coverage(spans(spark, ROWS), windows.chunk_counts(spans(spark, ROWS), silver), ["messages", "pulls"])
+    assert {r.window_id: (r.messages, r.pulls) for r in per.collect()} == {w: (n[w, "messages"], n[w, "pulls"]) for w, *_ in ROWS}
+    empty = sum(n[w, "messages"] + n[w, "pulls"] == 0 for w, *_ in ROWS)
+    assert tuple(total.first()) == (len(ROWS), sum(v for (_, t), v in n.items() if t == "messages"), sum(v for (_, t), v in n.items() if t == "pulls"), empty) and empty >= 3
+
+
+@pytest.mark.parametrize("name", ["chunk_summary", "slice_coverage"])
 def test_queries_that_count_make_no_pairs(spark, no_pairs, tmp_path, name):
     rows = [(i, T0 + d.timedelta(minutes=3 * i), i % 7, ["click", "purchase", "error", "signup", "view"][i % 5], "{}") for i in range(200)]
     spark.createDataFrame(rows, "event_id bigint, ts timestamp, user_id bigint, event_type string, props string").write.parquet(f"{tmp_path}/events.parquet")

@@ -64,7 +64,7 @@ def watermarks(streams: dict[str, tuple[DataFrame, str, str]]) -> DataFrame:
 
 def coverage(windows: DataFrame, chunks: DataFrame, tables: list[str]) -> tuple[DataFrame, DataFrame]:
     """Counters of each window, and their totals with the number of windows that hold nothing."""
-    counts = chunks.groupBy("window_id").agg(*[F.count_if(F.col("source_table") == t).alias(t) for t in tables])
+    counts = chunks.groupBy("window_id").agg(*[F.sum(F.when(F.col("source_table") == t, chunk_rows(chunks)).otherwise(0)).alias(t) for t in tables])
     per = windows.select("window_id").join(counts, "window_id", "left").fillna(0, tables)
     nothing = reduce(lambda a, b: a & b, [F.col(t) == 0 for t in tables])
     return per, per.agg(F.count(F.lit(1)).alias("windows"), *[F.coalesce(F.sum(t), F.lit(0)).alias(t) for t in tables], F.count_if(nothing).alias("empty"))

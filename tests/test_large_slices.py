@@ -184,7 +184,7 @@ def test_coverage_takes_counts(spark, no_pairs):
     assert tuple(total.first()) == (len(ROWS), sum(v for (_, t), v in n.items() if t == "messages"), sum(v for (_, t), v in n.items() if t == "pulls"), empty) and empty >= 3
 
 
-@pytest.mark.parametrize("name", ["chunk_summary", "slice_coverage"])
+@pytest.mark.parametrize("name", ["chunk_summary", "slice_coverage", "windows_without_chunks"])
 def test_queries_that_count_make_no_pairs(spark, no_pairs, tmp_path, name):
     rows = [(i, T0 + d.timedelta(minutes=3 * i), i % 7, ["click", "purchase", "error", "signup", "view"][i % 5], "{}") for i in range(200)]
     spark.createDataFrame(rows, "event_id bigint, ts timestamp, user_id bigint, event_type string, props string").write.parquet(f"{tmp_path}/events.parquet")

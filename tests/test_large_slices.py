@@ -1,9 +1,11 @@
 """Slices, counts and texts of windows without pairs of window and record being shuffled, sorted or made."""
 
 import datetime as d
+import itertools
 import random
 from collections import Counter
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -189,3 +191,19 @@ def test_queries_that_count_make_no_pairs(spark, no_pairs, tmp_path, name):
     rows = [(i, T0 + d.timedelta(minutes=3 * i), i % 7, ["click", "purchase", "error", "signup", "view"][i % 5], "{}") for i in range(200)]
     spark.createDataFrame(rows, "event_id bigint, ts timestamp, user_id bigint, event_type string, props string").write.parquet(f"{tmp_path}/events.parquet")
     assert registry.queries()[name](spark, str(tmp_path)).count() >= 1
+
+
+@pytest.mark.parametrize("ids", [windows.IDS, 3])
+def test_texts_of_the_same_bounds_follow_on_one_another(spark, no_pairs, monkeypatch, tmp_path, ids):
+    """Each text is in one file only, all its windows in a row, and a file holds few texts, so a dictionary of them is small."""
+    monkeypatch.setattr(windows, "IDS", ids)
+    monkeypatch.setattr(windows, "ALIKE", 4000)
+    said, pulls, silver = streams(spark, 900)
+    rows = [(f"w{i}-{k}", at(i), at(i + 12)) for i in range(0, 300, 5) for k in range(8)] + [(None, at(0), at(12))]
+    windows.render_streams(spans(spark, rows), {"messages": silver["messages"]}).write.parquet(f"{tmp_path}/texts")
+    got = [(r.window_id, r.text) for r in spark.read.parquet(f"{tmp_path}/texts").collect()]
+    want = {w: sum(name == "messages" for _, name, *_ in inside(said, pulls, a, b)) for w, a, b in rows}
+    assert {w: len(t.split("\n")) for w, t in got} == want and len(got) == len(rows)
+    files = [[r.text for r in pq.read_table(f).to_pandas().itertuples()] for f in sorted(tmp_path.glob("texts/*.parquet"))]
+    assert all(len(set(texts)) == len([t for t, _ in itertools.groupby(texts)]) for texts in files)
+    assert sum(len(set(texts)) for texts in files) == len({t for _, t in got}) and max(len(set(texts)) for texts in files) <= 12 < len(files)

@@ -207,3 +207,20 @@ def test_texts_of_the_same_bounds_follow_on_one_another(spark, no_pairs, monkeyp
     files = [[r.text for r in pq.read_table(f).to_pandas().itertuples()] for f in sorted(tmp_path.glob("texts/*.parquet"))]
     assert all(len(set(texts)) == len([t for t, _ in itertools.groupby(texts)]) for texts in files)
     assert sum(len(set(texts)) for texts in files) == len({t for _, t in got}) and max(len(set(texts)) for texts in files) <= 12 < len(files)
+
+
+@pytest.mark.parametrize("key", [None, "kind"])
+def test_windows_with_the_same_bounds_are_joined_once(spark, monkeypatch, key):
+    """Pairs of a record and windows that are alike follow on one another, always in one order of windows."""
+    monkeypatch.setattr(interval, "SHARE", 100)
+    records = spark.range(600).select("id", F.timestamp_seconds(F.col("id") * 60).alias("ts"), F.when(F.col("id") % 3 > 0, F.col("id") % 3).alias("kind"))
+    rows = [(f"w{i}-{k}", at, at + d.timedelta(minutes=20), i % 3 or None) for i, at in ((i, d.datetime(1970, 1, 1) + d.timedelta(minutes=i)) for i in range(0, 600, 50)) for k in range(8)]
+    rows += [(None, *rows[0][1:]), rows[0], ("back", rows[0][2], rows[0][1], None)]
+    w = spark.createDataFrame(rows, "window_id string, start_ts timestamp, end_ts timestamp, kind bigint")
+    w = w if key else w.drop("kind")
+    found = interval.slice_by_windows(w, records, "ts", key=key, bucket_seconds=600)
+    assert found.columns == [*w.columns, "id", "ts", *([] if key else ["kind"])]
+    got = [(r.window_id, r.id) for r in found.collect()]
+    minute = lambda x: int((x - d.datetime(1970, 1, 1)).total_seconds() // 60)
+    want = [(x, i) for x, a, b, k in rows for i in range(600) if minute(a) <= i <= minute(b) and (key is None or (i % 3 or None) == k)]
+    assert Counter(got) == Counter(want) and len({i for _, i in want}) == len([i for i, _ in itertools.groupby(i for _, i in got)])

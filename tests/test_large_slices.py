@@ -224,3 +224,11 @@ def test_windows_with_the_same_bounds_are_joined_once(spark, monkeypatch, key):
     minute = lambda x: int((x - d.datetime(1970, 1, 1)).total_seconds() // 60)
     want = [(x, i) for x, a, b, k in rows for i in range(600) if minute(a) <= i <= minute(b) and (key is None or (i % 3 or None) == k)]
     assert Counter(got) == Counter(want) and len({i for _, i in want}) == len([i for i, _ in itertools.groupby(i for _, i in got)])
+
+
+def test_ordinals_of_windows_with_the_same_bounds(spark):
+    said, pulls, silver = streams(spark)
+    rows = [(f"{w}-{k}", a, b) for w, a, b in ROWS for k in range(6)]
+    got = sorted((r.window_id, r.source_table, r.source_key, r.ordinal) for r in windows.slice_chunks(spans(spark, rows), silver, bucket_seconds=600).collect())
+    want = [(w, name, k, n) for w, a, b in rows for name in ("messages", "pulls") for n, (_, _, k, _) in enumerate([r for r in inside(said, pulls, a, b) if r[1] == name], 1)]
+    assert got == sorted(want) and len(want) > 1800
